@@ -19,6 +19,18 @@ def lay_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(name) for name in partition_by])
 
 
+def one_file_each(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """One file per output partition, dealt over a fixed number of tasks.
+
+    For rollups: they are small but have many partitions, so the cost is in opening
+    files, and merging tasks by size would leave all of that to a single one.
+    """
+    if not partition_by:
+        return df
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *partition_by)
+
+
 def lay_out_stream(df: DataFrame, partition_by: Sequence[str], files: int = 4) -> DataFrame:
     """The same for a streaming sink, where AQE does not re-plan: at most `files` per partition.
 

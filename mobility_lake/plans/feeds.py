@@ -12,7 +12,7 @@ from mobility_lake import contracts
 from mobility_lake.catalog import Lake
 from mobility_lake.operators.conform import event_date_from_parts
 from mobility_lake.operators.dedup import dedup_events
-from mobility_lake.operators.layout import lay_out_stream
+from mobility_lake.operators.layout import lay_out_stream, one_file_each
 from mobility_lake.operators.quality import accepted, rejected
 from mobility_lake.operators.rollup import RollupSpec, rollup
 from mobility_lake.plans import gold
@@ -198,4 +198,5 @@ def rebuild_gold(spark: SparkSession, lake: Lake, feed: str, spec: RollupSpec) -
         rollup(prepare(rows) if prepare else rows, spec),
         lake.table("gold", spec.name),
         gold.HOUR,
+        one_file_each,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mobility_lake.operators.layout import lay_out
 
+Layout = Callable[[DataFrame, Sequence[str]], DataFrame]
+
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -63,9 +65,11 @@ def lake_stream(
     return reader.parquet(path)
 
 
-def lake_rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def lake_rebuild(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), layout: Layout = lay_out
+) -> None:
     """Replace the whole table."""
-    writer = lay_out(df, partition_by).write.mode("overwrite")
+    writer = layout(df, partition_by).write.mode("overwrite")
     # Explicit, so a session set to dynamic overwrite cannot leave old partitions behind.
     writer = writer.option("partitionOverwriteMode", "static")
     if partition_by:
@@ -73,10 +77,12 @@ def lake_rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     writer.parquet(path)
 
 
-def lake_replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def lake_replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], layout: Layout = lay_out
+) -> None:
     """Replace only the partitions that `df` has rows for."""
     (
-        lay_out(df, partition_by)
+        layout(df, partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

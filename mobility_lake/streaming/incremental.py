@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from mobility_lake.operators.dedup import dedup_events
-from mobility_lake.operators.layout import lay_out
+from mobility_lake.operators.layout import lay_out, one_file_each
 from mobility_lake.operators.rollup import (
     RollupSpec,
     distinct_values,
@@ -118,7 +118,7 @@ def refresh_touched(
             rows = dedup_events(rows, dedup_keys, dedup_order)
         if prepare_rows:
             rows = prepare_rows(rows)
-        lake_replace_partitions(rollup(rows, spec), gold, partition_by)
+        lake_replace_partitions(rollup(rows, spec), gold, partition_by, one_file_each)
 
     return _start(stream, apply, checkpoint, trigger, name)
 
@@ -146,7 +146,7 @@ def append_partials(
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = prepare_rows(batch) if prepare_rows else batch
         partials = rollup_partial(rows, spec).withColumn("batch_id", F.lit(batch_id))
-        lake_replace_partitions(partials, path, partition_by)
+        lake_replace_partitions(partials, path, partition_by, one_file_each)
 
     return _start(stream, apply, checkpoint, trigger, name)
 
