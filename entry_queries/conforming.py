@@ -95,7 +95,7 @@ def json_pick_paths(spark, sf):
 )
 def resolve_alias(spark, sf):
     records = record_envelope(v.trip_records(spark, sf))
-    parsed = records.withColumn("value", F.from_json("value", contracts.TRIP_PAYLOAD))
+    parsed = c.pick_fields(records, contracts.TRIP_PAYLOAD.names)
     defaults = {"status": contracts.DEFAULT_STATUS, "source": contracts.DEFAULT_SOURCE}
     return parsed.select(
         "offset",
@@ -131,8 +131,8 @@ def event_time(spark, sf):
 )
 def event_time_precedence(spark, sf):
     records = record_envelope(v.trip_records(spark, sf))
-    parsed = records.withColumn("value", F.from_json("value", contracts.TRIP_PAYLOAD))
-    candidates = ("event_ts", "value.ts_evento", "broker_ts", "ingest_ts")
+    parsed = c.pick_fields(records, ["ts_evento"])
+    candidates = ("event_ts", c.JSON_FIELD + "ts_evento", "broker_ts", "ingest_ts")
     return parsed.select("offset", c.resolve_event_time(parsed, candidates).alias("event_ts"))
 
 

@@ -7,31 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The event-time spellings seen on the feeds beyond the ISO default.
-EVENT_TIME_PATTERNS = (
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ssX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSX",
-)
 
-
-def parse_event_time(text: Column, patterns: Sequence[str] = EVENT_TIME_PATTERNS) -> Column:
+def parse_event_time(text: Column, patterns: Sequence[str] = ()) -> Column:
     """Text to timestamp; NULL when no spelling fits, never an error.
 
-    The cast reads almost every spelling, so the pattern parsers behind it run only
-    on the rows it could not read. A bare time of day is refused: the cast would
-    complete it with today's date and replays would differ.
+    The cast reads every spelling the feeds use: `T` or a space between date and time,
+    any number of decimals, `Z`, `+03`, `+0300` and `+03:00` offsets or none (then UTC).
+    `patterns` are tried in order on what it could not read; keep them few, a pattern
+    that does not fit costs an exception per row.
+
+    A bare time of day is refused: the cast would complete it with today's date and a
+    replay would give another result.
     """
     text = F.trim(text)
-    by_cast = F.when(~text.rlike(r"^T?\d{1,2}:"), text.try_cast("timestamp"))
-    without_zulu = F.regexp_replace(text, "Z$", "")
-    by_pattern = [
-        F.try_to_timestamp(text if pattern.endswith("X") else without_zulu, F.lit(pattern))
-        for pattern in patterns
-    ]
-    return F.coalesce(by_cast, *by_pattern)
+    time_only = F.instr(text, ":").between(1, 4)
+    by_cast = F.when(~time_only, text.try_cast("timestamp"))
+    return F.coalesce(by_cast, *[F.try_to_timestamp(text, F.lit(p)) for p in patterns])
 
 
 def iso_utc(ts: Column) -> Column:

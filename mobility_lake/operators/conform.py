@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from mobility_lake.functions.times import date_from_parts, day_of, parse_event_time
 
+JSON_FIELD = "_json_"
+
 CALENDAR = {
     "event_date": F.to_date,
     "event_hour": F.hour,
@@ -28,10 +30,25 @@ def parse_payload(
     A malformed record gives NULL in every field; a field of the wrong type is NULL
     and leaves the others alone. The row itself is always kept.
     """
-    parsed = F.from_json(F.col(value).cast("string"), schema).alias("_payload")
+    parsed = parsed_once(F.col(value).cast("string"), schema).alias("_payload")
     return df.select(*keep, parsed).select(*keep, "_payload.*")
 
 
+def parsed_once(text: Column, schema: T.StructType) -> Column:
+    """JSON text as a struct that is not parsed again by the filters above it.
+
+    A filter on a plain `from_json` column is pushed below the projection and parses the
+    text once more per field it looks at; it cannot move below a generator.
+    """
+    return F.explode(F.array(F.from_json(text, schema)))
+
+
+def pick_fields(df: DataFrame, fields: Sequence[str], value: str = "value") -> DataFrame:
+    """Add JSON fields of `value` as text columns named `JSON_FIELD + name`, in one parse."""
+    names = [JSON_FIELD + name for name in fields]
+    return df.select("*", F.json_tuple(F.col(value), *fields).alias(*names))
+
+
 def first_existing(df: DataFrame, names: Sequence[str]) -> str | None:
     """First of `names` that is a column of `df`."""
     present = set(df.columns)
@@ -46,19 +63,21 @@ def resolve_alias(
     default: object = None,
     payload: str = "value",
 ) -> Column:
-    """First non-NULL among the columns that exist, then JSON fields of `payload`, then `default`.
+    """First non-NULL among the columns that exist, then JSON fields, then `default`.
 
-    `payload` is either JSON text or an already parsed struct.
+    JSON fields come from `pick_fields` columns where present, else from `payload`,
+    which is a parsed struct or JSON text.
     """
     present = set(df.columns)
-    candidates = [F.col(name).try_cast(dtype) for name in columns if name in present]
-    if payload in present and json_fields:
-        if isinstance(df.schema[payload].dataType, T.StructType):
-            fields = [F.col(payload)[name] for name in json_fields]
-        else:
-            fields = [F.get_json_object(F.col(payload), f"$.{name}") for name in json_fields]
-        candidates += [field.try_cast(dtype) for field in fields]
-    return F.coalesce(*candidates, F.lit(default).cast(dtype))
+    candidates = [F.col(name) for name in columns if name in present]
+    for name in json_fields:
+        if JSON_FIELD + name in present:
+            candidates.append(F.col(JSON_FIELD + name))
+        elif payload in present and isinstance(df.schema[payload].dataType, T.StructType):
+            candidates.append(F.col(payload)[name])
+        elif payload in present:
+            candidates.append(F.get_json_object(F.col(payload), f"$.{name}"))
+    return F.coalesce(*[c.try_cast(dtype) for c in candidates], F.lit(default).cast(dtype))
 
 
 def resolve_event_time(
@@ -66,21 +85,16 @@ def resolve_event_time(
 ) -> Column:
     """First readable event time among the candidate columns that exist, in order.
 
-    Text is parsed, timestamps are taken as they are; `payload.field` names a struct
-    field. `now_if_missing` is off by default because a replay would change the result.
+    Text is parsed, timestamps are taken as they are. `now_if_missing` is off by default
+    because a replay would change the result.
     """
-    present = set(df.columns)
+    kinds = {field.name: field.dataType for field in df.schema}
     times = []
     for name in candidates:
-        root, _, field = name.partition(".")
-        if root not in present:
+        if name not in kinds:
             continue
-        kind = df.schema[root].dataType
-        if field:
-            kind = kind[field].dataType
-        column = F.col(name)
-        is_text = isinstance(kind, T.StringType)
-        times.append(parse_event_time(column) if is_text else column.cast("timestamp"))
+        is_text = isinstance(kinds[name], T.StringType)
+        times.append(parse_event_time(F.col(name)) if is_text else F.col(name).cast("timestamp"))
     if now_if_missing:
         times.append(F.current_timestamp())
     return F.coalesce(*times) if times else F.lit(None).cast("timestamp")

@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from mobility_lake import contracts
 from mobility_lake.functions.times import parse_event_time
 from mobility_lake.functions.values import condition_of, is_json_object, json_pick
-from mobility_lake.operators.conform import conform, resolve_alias, with_event_date
+from mobility_lake.operators.conform import (
+    conform,
+    parsed_once,
+    resolve_alias,
+    with_event_date,
+)
 from mobility_lake.sources.broker import record_envelope
 
 
@@ -34,7 +39,7 @@ def _typed(records: DataFrame, schema) -> DataFrame:
     return records.select(
         F.col("value").cast("string").alias("raw_json"),
         F.col("timestamp").alias("broker_ts"),
-        F.from_json(F.col("value").cast("string"), schema).alias("value"),
+        parsed_once(F.col("value").cast("string"), schema).alias("value"),
     )
 
 

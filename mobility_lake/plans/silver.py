@@ -15,8 +15,10 @@ from mobility_lake import contracts
 from mobility_lake.functions.times import parse_event_time
 from mobility_lake.functions.values import condition_of, is_json_object, to_number
 from mobility_lake.operators.conform import (
+    JSON_FIELD,
     conform,
     ensure_columns,
+    pick_fields,
     rename_if_absent,
     resolve_alias,
     resolve_event_time,
@@ -43,7 +45,7 @@ def mark_trips(
     """Trips from columns where they exist, else from the payload, in either spelling."""
     df = bronze
     if "value" in df.columns:
-        df = df.withColumn("value", F.from_json("value", contracts.TRIP_PAYLOAD))
+        df = pick_fields(df, contracts.TRIP_PAYLOAD.names)
     defaults = {"status": default_status, "source": default_source}
     picked = {}
     for name, spellings in contracts.TRIP_ALIASES.items():
@@ -53,7 +55,14 @@ def mark_trips(
     picked["price"] = to_number(picked["price"])
     picked["event_ts"] = resolve_event_time(
         df,
-        ("event_ts", "ts_evento_ts", "ts_evento", "value.ts_evento", "broker_ts", "ingest_ts"),
+        (
+            "event_ts",
+            "ts_evento_ts",
+            "ts_evento",
+            JSON_FIELD + "ts_evento",
+            "broker_ts",
+            "ingest_ts",
+        ),
         now_if_missing,
     )
     picked["ingest_ts"] = F.coalesce(
@@ -107,11 +116,10 @@ def mark_weather(bronze: DataFrame) -> DataFrame:
 
 def mark_traffic(bronze: DataFrame) -> DataFrame:
     """Traffic observations from the payload, parsed once."""
-    payload = F.from_json("value", contracts.TRAFFIC_PAYLOAD)
-    parsed = bronze.withColumn("_p", payload)
+    parsed = pick_fields(bronze, contracts.TRAFFIC_PAYLOAD.names)
 
     def text(name):
-        return F.col("_p")[name]
+        return F.col(JSON_FIELD + name)
 
     rows = with_event_calendar(
         parsed.withColumns(
