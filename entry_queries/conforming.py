@@ -428,10 +428,12 @@ query(
     with_views(
         """select text_ts as event_ts,
         case when k <> 7 then cast(user_id as varchar) end as vehicle_id,
-        cast(null as varchar) as vehicle_type, cast(null as varchar) as line,
+        case when event_id % 2 = 0 then event_type end as vehicle_type,
+        cast(null as varchar) as line,
         case when event_id % 2 = 0 then r_name end as state,
         case when event_id % 2 = 0 then n_name end as city,
-        cast(null as varchar) as neighbourhood, cast(null as double) as latitude,
+        case when event_id % 2 = 0 then 'b' || (k % 4) end as neighbourhood,
+        cast(null as double) as latitude,
         cast(null as double) as longitude, value as speed_kmh,
         cast(null as integer) as heading_deg,
         case when event_id % 2 = 0 then k end as precision_m,
@@ -485,11 +487,14 @@ query(
         """select distinct on (incident_id, event_ts)
         cast(event_id // 2 as varchar) as incident_id, text_ts as event_ts,
         event_type as type, case when event_id % 2 = 0 then 'alta' else 'baixa' end as severity,
-        cast(null as varchar) as state, case when event_id % 2 = 0 then n_name end as city,
-        cast(null as varchar) as neighbourhood, cast(null as double) as latitude,
+        case when event_id % 2 = 0 then r_name end as state,
+        case when event_id % 2 = 0 then n_name end as city,
+        case when event_id % 2 = 0 then 'b' || (k % 4) end as neighbourhood,
+        cast(null as double) as latitude,
         cast(null as double) as longitude,
         case when event_id % 2 = 0 then k > 50 end as lane_closed,
-        cast(null as varchar) as impact, cast(null as varchar) as source,
+        case when event_id % 2 = 0 then 'i' || (k % 2) end as impact,
+        cast(null as varchar) as source,
         cast(text_ts as date) as event_date, cast(hour(text_ts) as integer) as event_hour
         from read where k <> 99 and text_ts is not null""",
         "read",

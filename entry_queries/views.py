@@ -198,7 +198,9 @@ def gps_records(spark: SparkSession, sf: str) -> DataFrame:
     first = F.to_json(
         F.struct(
             event_text().alias("ts_evento"), vehicle.alias("veiculo_id"),
+            F.col("event_type").alias("tipo_veiculo"),
             F.col("state").alias("estado"), F.col("city").alias("cidade"),
+            _numbered("b", F.col("k") % 4).alias("bairro"),
             F.col("value").alias("velocidade_kmh"), F.col("k").alias("precisao_m"),
             weather_object.alias("clima"),
         )
@@ -221,7 +223,10 @@ def incident_records(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(
             event_text().alias("ts_evento"), incident.alias("incidente_id"),
             F.col("event_type").alias("tipo_incidente"), F.lit("alta").alias("severidade"),
-            F.col("city").alias("cidade"), (F.col("k") > 50).alias("faixa_interditada"),
+            F.col("state").alias("estado"), F.col("city").alias("cidade"),
+            _numbered("b", F.col("k") % 4).alias("bairro"),
+            _numbered("i", F.col("k") % 2).alias("impacto"),
+            (F.col("k") > 50).alias("faixa_interditada"),
         )
     )
     second = F.to_json(
