@@ -466,7 +466,7 @@ query(
 query(
     "silver_traffic",
     with_views(
-        """select cast(event_id // 2 as varchar) as event_id, 'trafego' as type,
+        """select cast(event_id as varchar) as event_id, 'trafego' as type,
         cast(null as varchar) as provider, n_name as city, 'r' || (k % 5) as region_id,
         'zone ' || (k % 5) as label, cast(null as double) as point_lat,
         cast(null as double) as point_lon, ts_text as event_ts_text, text_ts as event_ts,
@@ -474,9 +474,7 @@ query(
         cast(null as varchar) as error_message,
         case when k % 10 <> 0 then value end as congestion_ratio, 'traffic' as topic,
         cast(text_ts as date) as event_date, cast(hour(text_ts) as integer) as event_hour
-        from read where k <> 99 and k <> 7 and text_ts is not null
-        qualify row_number() over (partition by event_id // 2
-            order by event_id % 8, event_id) = 1""",
+        from read where k <> 99 and k <> 7 and text_ts is not null""",
         "read",
     ),
 )(_silver("traffic"))

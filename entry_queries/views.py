@@ -263,10 +263,11 @@ def weather_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def traffic_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Every observation, and those with k < 20 sent again under a later offset."""
     ev = events(spark, sf).join(places(spark, sf), "m")
     payload = F.to_json(
         F.struct(
-            F.expr("event_id div 2").cast("string").alias("event_id"),
+            F.col("event_id").cast("string").alias("event_id"),
             F.lit("trafego").alias("tipo"),
             F.when(F.col("k") != 7, F.col("city")).alias("city"),
             _numbered("r", F.col("k") % 5).alias("region_id"),
@@ -278,7 +279,9 @@ def traffic_records(spark: SparkSession, sf: str) -> DataFrame:
             .alias("congestion_ratio"),
         )
     )
-    return _record(ev, _broken(payload), "traffic")
+    once = _record(ev, _broken(payload), "traffic")
+    again = _record(ev.filter("k < 20"), _broken(payload), "traffic")
+    return once.unionAll(again.withColumn("offset", F.col("offset") + 1_000_000_000))
 
 
 RECORDS = {

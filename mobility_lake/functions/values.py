@@ -28,8 +28,15 @@ def to_number(value: Column) -> Column:
 
 
 def to_units(value: Column) -> Column:
-    """Double to whole millionths; NULL when not finite or out of a long's range."""
-    return F.rint(value.cast("double") * UNITS_PER_ONE).try_cast("bigint")
+    """Double to whole millionths; NULL when not finite or out of a long's range.
+
+    Ties go away from zero, as a warehouse's fixed-point columns round them (`rint`
+    alone would take the even neighbour).
+    """
+    scaled = value.cast("double") * UNITS_PER_ONE
+    nearest, sign = F.rint(scaled), F.signum(scaled)
+    is_low_tie = (scaled - nearest) * sign == 0.5
+    return F.when(is_low_tie, nearest + sign).otherwise(nearest).try_cast("bigint")
 
 
 def units_total(value: Column) -> Column:

@@ -91,3 +91,8 @@ def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def check_row_count(df: DataFrame) -> DataFrame:
     """Number of rows as `total_records`."""
     return df.agg(F.count("*").alias("total_records"))
+
+
+def count_rows(df: DataFrame, name: str) -> DataFrame:
+    """Count rows while they pass; a stream reports `rows` in its progress under `name`."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"))

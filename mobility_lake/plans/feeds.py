@@ -13,7 +13,7 @@ from mobility_lake.catalog import Lake
 from mobility_lake.operators.conform import event_date_from_parts
 from mobility_lake.operators.dedup import dedup_events
 from mobility_lake.operators.layout import lay_out_stream, one_file_each
-from mobility_lake.operators.quality import accepted, rejected
+from mobility_lake.operators.quality import accepted, count_rows, rejected
 from mobility_lake.operators.rollup import RollupSpec, rollup
 from mobility_lake.plans import gold
 from mobility_lake.plans.bronze import BRONZE
@@ -24,10 +24,14 @@ from mobility_lake.streaming.incremental import append_new, refresh_touched
 
 @dataclass(frozen=True)
 class Feed:
-    """What is particular about one feed."""
+    """What is particular about one feed.
+
+    `grain` is what a rollup refresh recomputes: an hour, also where partitions are days.
+    """
 
     name: str
     silver_partitions: tuple[str, ...]
+    grain: tuple[str, ...]
     specs: tuple[RollupSpec, ...]
     dedup_keys: tuple[str, ...] = ()
     dedup_order: tuple[str, ...] = ()
@@ -43,16 +47,18 @@ FEEDS = {
         Feed(
             "trips",
             ("year", "month", "day"),
+            ("year", "month", "day", "hour"),
             (gold.TRIPS_HOURLY,),
             dedup_keys=("trip_id", "event_ts"),
             dedup_order=("ingest_ts",),
             prepare={"trips_hourly": event_date_from_parts},
         ),
-        Feed("gps", gold.HOUR, (gold.GPS_HOURLY, gold.GPS_MOBILITY_HOURLY)),
-        Feed("weather", gold.HOUR, (gold.WEATHER_HOURLY, gold.WEATHER_CONDITION_HOURLY)),
+        Feed("gps", gold.HOUR, gold.HOUR, (gold.GPS_HOURLY, gold.GPS_MOBILITY_HOURLY)),
+        Feed("weather", gold.HOUR, gold.HOUR, (gold.WEATHER_HOURLY, gold.WEATHER_CONDITION_HOURLY)),
         Feed(
             "traffic",
             gold.HOUR,
+            gold.HOUR,
             (gold.TRAFFIC_HOURLY,),
             dedup_keys=("event_id",),
             dedup_order=("ingest_ts", "partition", "offset"),
@@ -60,6 +66,7 @@ FEEDS = {
         Feed(
             "incidents",
             gold.HOUR,
+            gold.HOUR,
             (gold.INCIDENTS_HOURLY, gold.INCIDENTS_DETAIL_HOURLY),
             dedup_keys=("incident_id", "event_ts"),
             prepare={"incidents_hourly": gold.clean_incidents},
@@ -91,19 +98,26 @@ def start_silver(
     trigger: Trigger = None,
     max_files: int | None = 50,
     horizon: str | None = None,
-    files_per_partition: int = 4,
+    files_per_partition: int | None = None,
+    check_whole_table: bool = False,
 ) -> StreamingQuery:
     """Conform new bronze files into the silver table.
 
-    Feeds with dedup keys are deduplicated against the table itself, without a horizon;
-    with `horizon` the repeats are dropped in stream state instead, which reads nothing
+    Feeds with dedup keys are deduplicated against the table itself, without a horizon.
+    Only the touched partitions are looked at: a copy has the same event time, because
+    the time is part of the key or the id names one event. Should ids be reused at other
+    times, `check_whole_table` compares with every id ever stored.
+    With `horizon` the repeats are dropped in stream state instead, which reads nothing
     back but treats later repeats as late rows.
+
+    Rows are written by the tasks that read them; `files_per_partition` adds a shuffle
+    that gathers them into that many files per partition and micro-batch.
     """
     plan = FEEDS[feed]
     bronze = lake_stream(
         spark, lake.table("bronze", feed), contracts.BRONZE[feed], max_files=max_files
     )
-    good = accepted(MARK[feed](bronze))
+    good = count_rows(accepted(MARK[feed](bronze)), f"silver-{feed}")
     path, checkpoint = lake.table("silver", feed), lake.checkpoint("silver", feed)
     if plan.dedup_keys and horizon is None:
         return append_new(
@@ -113,14 +127,17 @@ def start_silver(
             checkpoint,
             plan.silver_partitions,
             plan.dedup_order,
-            keys_fix_partition="event_ts" in plan.dedup_keys,
+            keys_fix_partition=not check_whole_table,
+            time_column="event_ts" if "event_ts" in plan.dedup_keys else None,
             trigger=trigger,
             name=f"silver-{feed}",
         )
     if plan.dedup_keys:
         good = dedup_events(good, plan.dedup_keys, horizon=horizon)
+    if files_per_partition:
+        good = lay_out_stream(good, plan.silver_partitions, files_per_partition)
     return lake_append_stream(
-        lay_out_stream(good, plan.silver_partitions, files_per_partition),
+        good,
         path,
         checkpoint,
         plan.silver_partitions,
@@ -161,7 +178,7 @@ def start_gold(
         silver,
         lake.table("gold", spec.name),
         lake.checkpoint("gold", spec.name),
-        grain=plan.silver_partitions,
+        grain=plan.grain,
         schema=schema,
         prepare_rows=plan.prepared(spec),
         # A silver written with a horizon can hold repeats that came later than it.

@@ -14,14 +14,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from mobility_lake.operators.dedup import dedup_events
 from mobility_lake.operators.layout import lay_out, one_file_each
+from mobility_lake.operators.quality import require_all
 from mobility_lake.operators.rollup import (
     RollupSpec,
     distinct_values,
@@ -44,25 +46,56 @@ Prepare = Callable[[DataFrame], DataFrame]
 # Up to this many touched partitions are named in the filter, so the scan prunes them
 # at planning time; beyond it a semi-join does the same without the driver.
 MAX_NAMED_PARTITIONS = 1000
+# Up to this many of them also get their own time range.
+MAX_TIME_RANGES = 64
 
 
-def _key_text(columns: Sequence[str]):
+def _key_text(columns: Sequence[str]) -> Column:
     return F.concat_ws("/", *[F.col(name).cast("string") for name in columns])
 
 
-def only_touched(table: DataFrame, batch: DataFrame, grain: Sequence[str]) -> DataFrame | None:
-    """Rows of `table` in the partitions that `batch` has rows for; None if it has none."""
+def _within(column: Column, ranges: list[tuple[int, int]]) -> Column:
+    """Whether a timestamp lies in one of the ranges of microseconds."""
+    tests = [
+        column.between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
+        for low, high in ranges
+    ]
+    return reduce(lambda a, b: a | b, tests)
+
+
+def only_touched(
+    table: DataFrame, batch: DataFrame, grain: Sequence[str], time_column: str | None = None
+) -> DataFrame | None:
+    """Rows of `table` in the groups that `batch` has rows for; None if it has none.
+
+    `grain` starts with the partition columns and may go finer. Every column is also
+    compared on its own, so partitions are pruned and the finer columns reach the row
+    groups. With `time_column` the rows are cut to the time span of the batch per group,
+    which skips most of the files of a partition that is still being appended to.
+    """
     touched = distinct_values(batch, grain)
-    named = touched.select(F.col(grain[0]).alias("first"), _key_text(grain).alias("key"))
-    found = named.limit(MAX_NAMED_PARTITIONS + 1).collect()
+    groups = touched.withColumn("_key", _key_text(grain))
+    if time_column:
+        groups = (
+            require_all(batch, grain)
+            .groupBy(*grain)
+            .agg(
+                F.unix_micros(F.min(time_column)).alias("_low"),
+                F.unix_micros(F.max(time_column)).alias("_high"),
+            )
+            .withColumn("_key", _key_text(grain))
+        )
+    found = groups.limit(MAX_NAMED_PARTITIONS + 1).collect()
     if not found:
         return None
     if len(found) > MAX_NAMED_PARTITIONS:
         return table.join(touched, list(grain), "left_semi")
-    wanted = F.col(grain[0]).isin(sorted({row["first"] for row in found}))
+    tests = [F.col(name).isin(sorted({row[name] for row in found})) for name in grain]
     if len(grain) > 1:
-        wanted = wanted & _key_text(grain).isin([row["key"] for row in found])
-    return table.filter(wanted)
+        tests.append(_key_text(grain).isin([row["_key"] for row in found]))
+    if time_column and len(found) <= MAX_TIME_RANGES:
+        tests.append(_within(F.col(time_column), [(row["_low"], row["_high"]) for row in found]))
+    return table.filter(reduce(lambda a, b: a & b, tests))
 
 
 def _start(
@@ -101,7 +134,7 @@ def refresh_touched(
     trigger: Mapping[str, object] | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Recompute the `grain` partitions of `silver` that each micro-batch touched.
+    """Recompute the `grain` groups of `silver` that each micro-batch touched.
 
     `stream` reads the same table and only says which partitions changed; the numbers
     come from the table, so late rows, retries and replays all end in the same result.
@@ -164,6 +197,7 @@ def append_new(
     partition_by: Sequence[str],
     order: Sequence[str] = (),
     keys_fix_partition: bool = True,
+    time_column: str | None = None,
     trigger: Mapping[str, object] | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -172,9 +206,12 @@ def append_new(
     Deduplication without a horizon and without state: copies inside the micro-batch are
     aggregated away first, what remains is anti-joined against the table. A retried
     batch finds its own rows and adds nothing. When the partition follows from the keys
-    (they hold the event time) only the touched partitions are read; otherwise
-    (`keys_fix_partition=False`) the key columns of the whole table are.
+    (they hold the event time, or name one event that has one) only the key columns of
+    the touched partitions are read, cut to the batch's time span if `time_column` is a
+    key; otherwise (`keys_fix_partition=False`) those of the whole table are.
     """
+    if time_column is not None and time_column not in keys:
+        raise ValueError("copies share the time column only if it is one of the keys")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         fresh = dedup_events(batch, keys, order)
@@ -182,7 +219,7 @@ def append_new(
         if schema is not None:
             known = lake_read(batch.sparkSession, path, schema)
             if keys_fix_partition:
-                known = only_touched(known, batch, partition_by)
+                known = only_touched(known, batch, partition_by, time_column)
             if known is not None:
                 fresh = fresh.join(known.select(*keys), list(keys), "left_anti")
         columns = batch.columns

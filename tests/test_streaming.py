@@ -36,9 +36,12 @@ def deliver(df, path):
 def run_feed(spark, lake, feed, source, **silver):
     stream = lake_stream(spark, source, contracts.RECORD, max_files=1)
     feeds.start_bronze(stream, lake, feed, NOW).awaitTermination()
-    feeds.start_silver(spark, lake, feed, NOW, max_files=2, **silver).awaitTermination()
+    query = feeds.start_silver(spark, lake, feed, NOW, max_files=40, **silver)
+    query.awaitTermination()
+    seen = [p["observedMetrics"].get(f"silver-{feed}") for p in query.recentProgress]
+    assert any(row is not None for row in seen)
     for spec in feeds.FEEDS[feed].specs:
-        feeds.start_gold(spark, lake, feed, spec, NOW, max_files=7).awaitTermination()
+        feeds.start_gold(spark, lake, feed, spec, NOW, max_files=200).awaitTermination()
 
 
 def expected_gold(spark, lake, feed, spec):
@@ -109,7 +112,9 @@ def test_silver_with_a_horizon(spark, sf, folder):
     deliver(records, source)
     stream = lake_stream(spark, source, contracts.RECORD)
     feeds.start_bronze(stream, lake, "trips", NOW).awaitTermination()
-    feeds.start_silver(spark, lake, "trips", NOW, horizon="7 days").awaitTermination()
+    feeds.start_silver(
+        spark, lake, "trips", NOW, horizon="7 days", files_per_partition=2
+    ).awaitTermination()
     silver = lake_read(spark, lake.table("silver", "trips"))
     assert silver.count() == feeds.silver_batch(spark, lake, "trips").count()
 
@@ -172,6 +177,10 @@ def test_only_touched_prunes_the_scan(spark, sf, folder):
     assert "PartitionFilters: [event_date" in plan or "PartitionFilters: [isnotnull" in plan
     assert "Join" not in plan
     assert only_touched(table, batch.limit(0), ("event_date", "event_hour")) is None
+    by_day = only_touched(table, batch, ("event_date",), "event_ts")
+    assert same_rows(by_day, batch.filter("true"))
+    plan = by_day._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_ts," in plan
 
 
 def test_empty_batch_writes_nothing(spark, sf, folder):
