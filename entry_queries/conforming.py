@@ -412,13 +412,15 @@ def _silver(feed: str):
 query(
     "silver_trips",
     with_views(
-        f"""select distinct on (trip_id, event_ts) event_type as status,
+        f"""select event_type as status,
         case when event_id % 2 = 0 then 'src' || (event_id % 3) else 'simulado' end as source,
         coalesce(text_ts, ts) as event_ts, cast(event_id // 2 as varchar) as trip_id,
         cast(user_id as varchar) as passenger_id, cast(k as varchar) as driver_id,
         {_PRICE} as price, cast(year(ts) as integer) as year,
         cast(month(ts) as integer) as month, cast(day(ts) as integer) as day,
-        cast(hour(ts) as integer) as hour from read where k <> 99""",
+        cast(hour(ts) as integer) as hour from read where k <> 99
+        qualify row_number() over (partition by event_id // 2, coalesce(text_ts, ts)
+            order by status, source, passenger_id, driver_id, price nulls first) = 1""",
         "read",
     ),
 )(_silver("trips"))
@@ -482,8 +484,7 @@ query(
 query(
     "silver_incidents",
     with_views(
-        """select distinct on (incident_id, event_ts)
-        cast(event_id // 2 as varchar) as incident_id, text_ts as event_ts,
+        """select cast(event_id // 2 as varchar) as incident_id, text_ts as event_ts,
         event_type as type, case when event_id % 2 = 0 then 'alta' else 'baixa' end as severity,
         case when event_id % 2 = 0 then r_name end as state,
         case when event_id % 2 = 0 then n_name end as city,
@@ -494,7 +495,10 @@ query(
         case when event_id % 2 = 0 then 'i' || (k % 2) end as impact,
         cast(null as varchar) as source,
         cast(text_ts as date) as event_date, cast(hour(text_ts) as integer) as event_hour
-        from read where k <> 99 and text_ts is not null""",
+        from read where k <> 99 and text_ts is not null
+        qualify row_number() over (partition by event_id // 2, text_ts
+            order by type, severity, state nulls first, city nulls first,
+            neighbourhood nulls first, lane_closed nulls first, impact nulls first) = 1""",
         "read",
     ),
 )(_silver("incidents"))

@@ -54,8 +54,9 @@ def expected_gold(spark, lake, feed, spec):
 @pytest.mark.parametrize("feed", list(feeds.FEEDS))
 def test_feed_stream_equals_batch_also_after_late_and_repeated_records(spark, sf, folder, feed):
     lake, source = Lake(folder + "/lake"), folder + "/records"
-    # Two days keep the number of partitions, and so of tiny files, down.
-    records = v.RECORDS[feed](spark, sf).filter("timestamp < timestamp '2024-01-03'").persist()
+    # A few hours on two days keep the number of partitions, and so of tiny files, down.
+    times = "timestamp between timestamp '2024-01-01 14:00' and timestamp '2024-01-02 08:00'"
+    records = v.RECORDS[feed](spark, sf).filter(times).persist()
     deliver(records.filter("offset % 5 < 2"), source)
     deliver(records.filter("offset % 5 = 2"), source)
     run_feed(spark, lake, feed, source)
@@ -92,7 +93,7 @@ def test_feed_stream_equals_batch_also_after_late_and_repeated_records(spark, sf
 
 def test_rebuild_matches_the_stream(spark, sf, folder):
     lake, source = Lake(folder + "/lake"), folder + "/records"
-    deliver(v.RECORDS["incidents"](spark, sf).filter("timestamp < timestamp '2024-01-03'"), source)
+    deliver(v.RECORDS["incidents"](spark, sf).filter("timestamp < timestamp '2024-01-02'"), source)
     run_feed(spark, lake, "incidents", source)
     spec = gold.INCIDENTS_HOURLY
     streamed = lake_read(spark, lake.table("gold", spec.name)).persist()
@@ -122,10 +123,6 @@ def test_silver_with_a_horizon(spark, sf, folder):
 # --- refresh -------------------------------------------------------------------------------------
 
 
-def trips_table(spark, sf, path, keep="true"):
-    deliver_by_day(v.trips(spark, sf).filter(keep), path)
-
-
 def deliver_by_day(df, path):
     df.coalesce(1).write.mode("append").partitionBy("event_date").parquet(path)
 
@@ -141,9 +138,9 @@ def start_refresh(spark, schema, path, target, checkpoint, **more):
 
 def test_refresh_survives_increments_resume_and_replay(spark, sf, folder):
     path, target = folder + "/silver", folder + "/gold"
-    trips = v.trips(spark, sf)
+    trips = v.trips(spark, sf).filter("event_date < date '2024-01-11'")
     for part in range(3):
-        trips_table(spark, sf, path, f"trip_id % 3 = {part}")
+        deliver_by_day(trips.filter(f"trip_id % 3 = {part}"), path)
         start_refresh(spark, trips.schema, path, target, folder + "/ck")
         so_far = trips.filter(f"trip_id % 3 <= {part}")
         assert same_rows(rollup(so_far, gold.TRIPS_HOURLY), lake_read(spark, target))
