@@ -61,12 +61,10 @@ WEATHER_PAYLOAD = _schema(
     """ts_evento string, estado string, cidade string, latitude double, longitude double,
     fonte string, clima string"""
 )
-TRAFFIC_PAYLOAD = _schema(
-    """event_id string, tipo string, provider string, city string, region_id string,
-    label string, point_lat string, point_lon string, ts_evento string, ts_coleta string,
-    status string, error_message string, currentSpeedKmh string, freeFlowSpeedKmh string,
-    currentTravelTimeSec string, freeFlowTravelTimeSec string, confidence string,
-    roadClosure string, congestion_ratio string"""
+# Fields that silver keeps of a traffic observation; the payload itself stays in bronze.
+TRAFFIC_FIELDS = (
+    "event_id", "tipo", "provider", "city", "region_id", "label", "point_lat", "point_lon",
+    "ts_evento", "ts_coleta", "status", "error_message", "congestion_ratio",
 )
 WEATHER_OBJECT = T.StructType(
     [

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mobility_lake.functions.times import date_from_parts, day_of, parse_event_time
+from mobility_lake.functions.values import is_json_object
 
 JSON_FIELD = "_json_"
+WEATHER_OBJECT = "_weather_object"
 
 CALENDAR = {
     "event_date": F.to_date,
@@ -166,6 +168,19 @@ def pick_spellings(df: DataFrame, names: Mapping[str, Sequence[str]]) -> DataFra
     return df.withColumnsRenamed(renames)
 
 
+def with_weather_object(df: DataFrame, weather: str, schema: T.StructType) -> DataFrame:
+    """Add `WEATHER_OBJECT`: the weather field as a struct where its text is an object."""
+    text = F.col(weather)
+    parsed = parsed_once(F.when(is_json_object(text), text), schema)
+    return df.select("*", parsed.alias(WEATHER_OBJECT))
+
+
+def weather_word(weather: str) -> Column:
+    """Condition after `with_weather_object`: the text itself, or the field of the object."""
+    text = F.col(weather)
+    return F.when(is_json_object(text), F.col(WEATHER_OBJECT)["condicao"]).otherwise(text)
+
+
 def flatten_weather(df: DataFrame, struct: str = "clima") -> DataFrame:
     """Replace the weather struct by flat `weather_*` columns."""
     names = {

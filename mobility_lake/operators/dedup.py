@@ -24,8 +24,9 @@ def dedup_events(
 
     Stream: the first row to arrive; repeats are dropped while they lie within
     `horizon` of it. State is bounded by the horizon and later repeats are late rows.
-    Where late rows must not be lost, append everything and deduplicate in the
-    recompute (`streaming.refresh_touched`) or at the sink (`streaming.append_new`).
+    All copies of a key meet in one task, there is no reduction before that shuffle.
+    Where late rows must not be lost or one key is hot, append everything and
+    deduplicate in the recompute (`refresh_touched`), or at the sink (`append_new`).
     """
     if df.isStreaming:
         if horizon is None:

@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from mobility_lake import contracts
 from mobility_lake.functions.times import parse_event_time
-from mobility_lake.functions.values import condition_of, is_json_object, json_pick
+from mobility_lake.functions.values import json_pick
 from mobility_lake.operators.conform import (
+    WEATHER_OBJECT,
     conform,
     parsed_once,
     resolve_alias,
+    weather_word,
     with_event_date,
+    with_weather_object,
 )
 from mobility_lake.sources.broker import record_envelope
 
@@ -57,9 +60,9 @@ def _timed(df: DataFrame) -> DataFrame:
 
 
 def bronze_gps(records: DataFrame) -> DataFrame:
-    weather = F.col("value.clima")
-    inner = F.from_json(F.when(is_json_object(weather), weather), contracts.WEATHER_OBJECT)
     parsed = _typed(records, contracts.GPS_PAYLOAD)
+    parsed = with_weather_object(parsed, "value.clima", contracts.WEATHER_OBJECT)
+    inner = F.col(WEATHER_OBJECT)
     columns = _renamed(
         parsed,
         contracts.GPS_ALIASES,
@@ -74,7 +77,7 @@ def bronze_gps(records: DataFrame) -> DataFrame:
         heading_deg="rumo_graus",
         precision_m="precisao_m",
         signal_status="status_sinal",
-        weather_condition=condition_of(weather),
+        weather_condition=weather_word("value.clima"),
         weather_temperature_c=inner["temperatura_c"],
         weather_rain_mm_h=inner["chuva_mm_h"],
         weather_visibility_m=inner["visibilidade_m"],

@@ -10,14 +10,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mobility_lake import contracts
 from mobility_lake.catalog import Lake
-from mobility_lake.operators.conform import event_date_from_parts
+from mobility_lake.operators.conform import event_date_from_parts, stamp
 from mobility_lake.operators.dedup import dedup_events
 from mobility_lake.operators.layout import lay_out_stream, one_file_each
 from mobility_lake.operators.quality import accepted, count_rows, rejected
 from mobility_lake.operators.rollup import RollupSpec, rollup
 from mobility_lake.plans import gold
 from mobility_lake.plans.bronze import BRONZE
+from mobility_lake.plans.marts import stage_traffic
 from mobility_lake.plans.silver import MARK
+from mobility_lake.sources.landing import load_by_name
 from mobility_lake.sources.lake import lake_append_stream, lake_read, lake_rebuild, lake_stream
 from mobility_lake.streaming.incremental import append_new, refresh_touched
 
@@ -48,7 +50,7 @@ FEEDS = {
             "trips",
             ("year", "month", "day"),
             ("year", "month", "day", "hour"),
-            (gold.TRIPS_HOURLY,),
+            (gold.TRIPS_HOURLY, gold.TRIPS_YMDH),
             dedup_keys=("trip_id", "event_ts"),
             dedup_order=("ingest_ts",),
             prepare={"trips_hourly": event_date_from_parts},
@@ -75,6 +77,13 @@ FEEDS = {
 }
 
 Trigger = Mapping[str, object] | None
+PROCESS_TS = "gold_process_ts"
+
+
+def gold_partitions(spec: RollupSpec) -> tuple[str, ...]:
+    """Rollups are stored by hour, so that a refresh replaces no more than it recomputed."""
+    parts = ("year", "month", "day", "hour")
+    return parts if set(parts) <= set(spec.keys) else gold.HOUR
 
 
 def start_bronze(
@@ -179,11 +188,13 @@ def start_gold(
         lake.table("gold", spec.name),
         lake.checkpoint("gold", spec.name),
         grain=plan.grain,
+        partition_by=gold_partitions(spec),
         schema=schema,
         prepare_rows=plan.prepared(spec),
         # A silver written with a horizon can hold repeats that came later than it.
         dedup_keys=plan.dedup_keys,
         dedup_order=plan.dedup_order,
+        process_ts=PROCESS_TS,
         trigger=trigger,
         name=f"gold-{spec.name}",
     )
@@ -211,9 +222,27 @@ def rebuild_gold(spark: SparkSession, lake: Lake, feed: str, spec: RollupSpec) -
     plan = FEEDS[feed]
     rows = lake_read(spark, lake.table("silver", feed), contracts.SILVER[feed])
     prepare = plan.prepared(spec)
+    rolled = rollup(prepare(rows) if prepare else rows, spec)
     lake_rebuild(
-        rollup(prepare(rows) if prepare else rows, spec),
+        stamp(rolled, PROCESS_TS),
         lake.table("gold", spec.name),
-        gold.HOUR,
+        gold_partitions(spec),
         one_file_each,
     )
+
+
+def landing_rows(rolled: DataFrame, name: str) -> DataFrame:
+    """An hourly rollup as rows of its landing table; columns without a source are NULL."""
+    wire = contracts.to_wire(rolled, f"gold.{name}")
+    return load_by_name(wire, contracts.LANDING[name], contracts.LANDING_SOURCES.get(name))
+
+
+def landing_traffic(gold_traffic: DataFrame, gold_gps: DataFrame) -> DataFrame:
+    """The traffic landing table, with the mean speed of the city's hour from GPS."""
+    sources = {
+        "CIDADE": "city",
+        "NIVEL_CONGESTIONAMENTO": "congestion_level",
+        "VELOCIDADE_MEDIA": "mean_speed",
+    }
+    staged = stage_traffic(gold_traffic, gold_gps)
+    return load_by_name(staged, contracts.LANDING["traffic_hourly"], sources)

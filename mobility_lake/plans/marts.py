@@ -32,8 +32,9 @@ def stage_trips(gold: DataFrame) -> DataFrame:
 
 def stage_traffic(gold_traffic: DataFrame, gold_gps: DataFrame | None = None) -> DataFrame:
     """Hourly traffic per city and region: congestion level, and mean speed from GPS if given."""
+    extra = [name for name in ("source", "gold_process_ts") if name in gold_traffic.columns]
     traffic = gold_traffic.select(
-        "city", "region_id", "label", "event_date", "event_hour",
+        "city", "region_id", "label", "event_date", "event_hour", *extra,
         F.col("mean_ratio").alias("congestion_level"),
     )
     if gold_gps is None:

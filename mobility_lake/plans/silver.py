@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 
 from mobility_lake import contracts
 from mobility_lake.functions.times import parse_event_time
-from mobility_lake.functions.values import condition_of, is_json_object, to_number
+from mobility_lake.functions.values import to_number
 from mobility_lake.operators.conform import (
     JSON_FIELD,
+    WEATHER_OBJECT,
     conform,
     ensure_columns,
     pick_fields,
@@ -23,7 +24,9 @@ from mobility_lake.operators.conform import (
     resolve_alias,
     resolve_event_time,
     stamp,
+    weather_word,
     with_event_calendar,
+    with_weather_object,
 )
 from mobility_lake.operators.quality import REASON, missing, missing_every, with_reason
 
@@ -94,12 +97,12 @@ def mark_gps(bronze: DataFrame) -> DataFrame:
 
 def mark_weather(bronze: DataFrame) -> DataFrame:
     """Weather observations; the weather field is a word or an object with measures."""
-    weather = F.col("weather")
-    inner = F.from_json(F.when(is_json_object(weather), weather), contracts.WEATHER_OBJECT)
+    parsed = with_weather_object(bronze, "weather", contracts.WEATHER_OBJECT)
+    inner = F.col(WEATHER_OBJECT)
     rows = with_event_calendar(
-        bronze.withColumns(
+        parsed.withColumns(
             {
-                "condition": condition_of(weather),
+                "condition": weather_word("weather"),
                 "temperature": inner["temperatura_c"],
                 "humidity": F.lit(None).cast("double"),
                 "rain": inner["chuva_mm_h"],
@@ -116,7 +119,7 @@ def mark_weather(bronze: DataFrame) -> DataFrame:
 
 def mark_traffic(bronze: DataFrame) -> DataFrame:
     """Traffic observations from the payload, parsed once."""
-    parsed = pick_fields(bronze, contracts.TRAFFIC_PAYLOAD.names)
+    parsed = pick_fields(bronze, contracts.TRAFFIC_FIELDS)
 
     def text(name):
         return F.col(JSON_FIELD + name)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from mobility_lake.operators.conform import stamp
 from mobility_lake.operators.dedup import dedup_events
 from mobility_lake.operators.layout import lay_out, one_file_each
 from mobility_lake.operators.quality import require_all
@@ -131,6 +132,7 @@ def refresh_touched(
     prepare_rows: Prepare | None = None,
     dedup_keys: Sequence[str] = (),
     dedup_order: Sequence[str] = (),
+    process_ts: str | None = None,
     trigger: Mapping[str, object] | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -139,7 +141,8 @@ def refresh_touched(
     `stream` reads the same table and only says which partitions changed; the numbers
     come from the table, so late rows, retries and replays all end in the same result.
     Gold partitions must nest inside the grain. With `dedup_keys` the recompute also
-    deduplicates, which never loses a late row and needs no state.
+    deduplicates, which never loses a late row and needs no state. `process_ts` names a
+    column for the processing time.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -151,7 +154,10 @@ def refresh_touched(
             rows = dedup_events(rows, dedup_keys, dedup_order)
         if prepare_rows:
             rows = prepare_rows(rows)
-        lake_replace_partitions(rollup(rows, spec), gold, partition_by, one_file_each)
+        rolled = rollup(rows, spec)
+        if process_ts:
+            rolled = stamp(rolled, process_ts)
+        lake_replace_partitions(rolled, gold, partition_by, one_file_each)
 
     return _start(stream, apply, checkpoint, trigger, name)
 
