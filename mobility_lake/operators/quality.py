@@ -94,5 +94,8 @@ def check_row_count(df: DataFrame) -> DataFrame:
 
 
 def count_rows(df: DataFrame, name: str) -> DataFrame:
-    """Count rows while they pass; a stream reports `rows` in its progress under `name`."""
+    """Count rows while they pass; a stream reports `rows` in its progress under `name`.
+
+    For sinks that run the plan once per micro-batch, which `foreachBatch` need not.
+    """
     return df.observe(name, F.count(F.lit(1)).alias("rows"))

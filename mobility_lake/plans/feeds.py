@@ -126,7 +126,7 @@ def start_silver(
     bronze = lake_stream(
         spark, lake.table("bronze", feed), contracts.BRONZE[feed], max_files=max_files
     )
-    good = count_rows(accepted(MARK[feed](bronze)), f"silver-{feed}")
+    good = accepted(MARK[feed](bronze))
     path, checkpoint = lake.table("silver", feed), lake.checkpoint("silver", feed)
     if plan.dedup_keys and horizon is None:
         return append_new(
@@ -146,7 +146,7 @@ def start_silver(
     if files_per_partition:
         good = lay_out_stream(good, plan.silver_partitions, files_per_partition)
     return lake_append_stream(
-        good,
+        count_rows(good, f"silver-{feed}"),
         path,
         checkpoint,
         plan.silver_partitions,

@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from helpers import NOW, at, records, same_rows
+from helpers import NOW, records
 from pyspark.sql import functions as F
 
 from mobility_lake import contracts, session
