@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from entry_queries import views as v
 from entry_queries.registry import query
 from entry_queries.views import with_views
+from mobility_lake import contracts
 from mobility_lake.operators.conform import pick_spellings
 from mobility_lake.operators.dedup import dedup_events
 from mobility_lake.operators.rollup import RollupSpec, approx, count_if, distinct, rollup, rows
-from mobility_lake import contracts
 from mobility_lake.plans import gold
 
 
@@ -161,6 +161,24 @@ def agg_distinct_approx(spark, sf):
     return rollup(v.events(spark, sf), spec)
 
 
+@query(
+    "agg_distinct_approx_bound",
+    """select event_type, count(distinct user_id) as users, true as within_bound
+    from events group by event_type""",
+)
+def agg_distinct_approx_bound(spark, sf):
+    """The estimate next to the exact count: within three standard errors of 5 %."""
+    spec = RollupSpec(
+        "users_by_type",
+        ("event_type",),
+        (distinct("users", "user_id"), approx("estimate", "user_id")),
+    )
+    error = F.abs(F.col("estimate") - F.col("users"))
+    return rollup(v.events(spark, sf), spec).select(
+        "event_type", "users", (error <= 0.15 * F.col("users")).alias("within_bound")
+    )
+
+
 @query(
     "agg_count_if",
     """select event_type, count(*) filter (where value > 50) as high_values,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -12,6 +13,8 @@ BUILD_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Merged or split shuffle partitions, and with them the files of a rebalanced table.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Dedup and window state is kept off the JVM heap and checkpointed as deltas.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -37,6 +40,15 @@ def build(app_name: str = "mobility-lake", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shuffle_partitions(shuffled_bytes: int, cores: int, target_bytes: int = 128 << 20) -> int:
+    """Value for `spark.sql.shuffle.partitions` that keeps a reducer near `target_bytes`.
+
+    AQE merges partitions that turn out small but never makes more of them, so a job that
+    shuffles terabytes must start with enough. A stream keeps the number it first ran with.
+    """
+    return max(2 * cores, math.ceil(shuffled_bytes / target_bytes))
+
+
 def pin(spark: SparkSession) -> SparkSession:
     """Set the result-relevant settings on an existing session."""
     for key, value in PINNED_CONF.items():

@@ -203,5 +203,7 @@ def test_catalog_and_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = session.shared_dir(spark, "a"), session.shared_dir(spark, "a")
     assert first.startswith(shared) and first != second
+    assert session.shuffle_partitions(10 << 40, 4000) == 81_920
+    assert session.shuffle_partitions(0, 8) == 16
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
     assert session.pin(spark).conf.get("spark.sql.session.timeZone") == "UTC"
