@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
+import zipfile
+from collections.abc import Iterable, Iterator
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import mobility_lake
 from mobility_lake import session
 
 
@@ -27,3 +37,62 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def lanes(spark: SparkSession) -> int:
     """How many pieces a shuffle of this session is dealt into."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _shared_copy(spark: SparkSession, content: bytes, name: str) -> str:
+    """Path of a new file in the shared folder."""
+    context, jvm = spark.sparkContext, spark.sparkContext._jvm
+    place = f"{session.shared_dir(spark, 'files')}/{name}"
+    path = jvm.org.apache.hadoop.fs.Path(place)
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+    return place
+
+
+def shared_file(spark: SparkSession, content: bytes, name: str) -> str:
+    """Put bytes into the shared folder and have Spark hand the file to every executor.
+
+    Returns the name to give to `SparkFiles.get`. Executors that join later fetch it too.
+    """
+    name = f"{name}-{hashlib.sha256(content).hexdigest()[:24]}"
+    spark.sparkContext.addFile(_shared_copy(spark, content, name))
+    return name
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors of this application the library, as `--py-files` would."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    root = Path(mobility_lake.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    name = f"mobility_lake-{hashlib.sha256(packed.getvalue()).hexdigest()[:16]}.zip"
+    spark.sparkContext.addPyFile(_shared_copy(spark, packed.getvalue(), name))
+    _SHIPPED.add(application)
+
+
+def by_bytes(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut so that a text column stays near `most` bytes; a longer text is alone."""
+    for batch in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+        ends = np.cumsum(sizes)
+        start = 0
+        while start < len(sizes):
+            base = ends[start] - sizes[start]
+            stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
+    """A text column as Python strings, null read as empty."""
+    return pc.fill_null(batch.column(column), "").to_pylist()

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobility_lake import session
+from mobility_lake.llm import bpe
 from mobility_lake.llm import histogram_sort as hs
-from mobility_lake.llm.common import table, whole
+from mobility_lake.llm.common import ship, table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +21,8 @@ ORACLE: dict[str, str] = {}
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            return build(session.pin(spark), sf)
+            ship(session.pin(spark))
+            return build(spark, sf)
 
         run.__name__, run.__doc__ = name, build.__doc__
         QUERIES[name] = run
@@ -49,3 +51,26 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
         F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op4_bpe_transducer")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every document through the transducer lexicon, and the text they decode to."""
+    path = _tokenizer("byte_bpe_50k.json")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    lexicon = bpe.build_lexicon(docs, path)
+    ids = bpe.encode(docs, path, lexicon).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        "ids",
+    )
+    return bpe.decode(ids, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
