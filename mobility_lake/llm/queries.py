@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mobility_lake import session
 from mobility_lake.llm import bpe
 from mobility_lake.llm import histogram_sort as hs
+from mobility_lake.llm import warc
 from mobility_lake.llm.common import ship, table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +75,75 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.decode(ids, path).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+def _resolved_sql(text: str) -> str:
+    cases = " ".join(
+        f"when n = '{name}' then '{character.replace(chr(39), chr(39) * 2)}' || substr(p, length(n) + 2)"
+        for name, character in warc.REFERENCES.items()
+    )
+    return f"""array_to_string(list_transform(
+        list_transform(string_split({text}, '&'),
+            lambda p, i: {{'p': p, 'i': i, 'n': regexp_extract(p, '{warc.REFERENCE}', 1)}}),
+        lambda x: case when x.i = 1 then x.p
+            when x.n like '#%' and try_cast(substr(x.n, 2) as int) between 1 and 1114111
+                and try_cast(substr(x.n, 2) as int) not between 55296 and 57343
+                then chr(try_cast(substr(x.n, 2) as int)) || substr(x.p, length(x.n) + 2)
+            {cases.replace("n =", "x.n =").replace("substr(p, length(n)", "substr(x.p, length(x.n)")}
+            else '&' || x.p end), '')"""
+
+
+def _uuid_sql(*parts: str) -> str:
+    digest = "sha256(" + " || chr(10) || ".join(parts) + ")"
+    return (
+        f"'<urn:uuid:' || substr({digest}, 1, 8) || '-' || substr({digest}, 9, 4) || '-8' || substr({digest}, 14, 3)"
+        f" || '-a' || substr({digest}, 18, 3) || '-' || substr({digest}, 21, 12) || '>'"
+    )
+
+
+def _field_sql(name: str, value: str) -> str:
+    return (
+        f"case when trim(regexp_replace({value}, '\\s+', ' ', 'g')) != '' then '{name}: ' || "
+        f"trim(regexp_replace({value}, '\\s+', ' ', 'g')) || chr(13) || chr(10) else '' end"
+    )
+
+
+WARC_SQL = f"""
+with response as (
+    select page_id, coalesce(url, '') as target_uri, coalesce(html, '') as payload,
+        'sha256:' || sha256(coalesce(html, '')) as payload_digest
+    from pages
+), named as (
+    select *, {_uuid_sql("'response'", "target_uri", "'2024-01-01T00:00:00Z'", "payload_digest")} as refers_to,
+        {_resolved_sql(f"regexp_extract(payload, '{warc.TITLE}', 1)")} as title,
+        regexp_extract(payload, '{warc.LANGUAGE}', 1) as language,
+        regexp_extract_all(payload, '{warc.LINK}', 1) as links,
+        {_resolved_sql(f"regexp_replace(regexp_replace(regexp_replace(payload, '{warc.HIDDEN}', '', 'g'), '{warc.LINE_TAGS}', chr(10), 'g'), '{warc.OTHER_TAGS}', '', 'g')")} as words
+    from response
+), derived as (
+    select page_id, target_uri, refers_to, 'metadata' as record_type,
+        'http-status: 200' || chr(13) || chr(10) || 'source-content-type: text/html; charset=utf-8' || chr(13)
+        || chr(10) || 'source-payload-digest: ' || payload_digest || chr(13) || chr(10)
+        || {_field_sql("title", "title")} || {_field_sql("language", "language")}
+        || array_to_string(list_transform(links,
+            lambda l: 'outlink: ' || {_resolved_sql("l")} || chr(13) || chr(10)), '') as block
+    from named
+    union all
+    select page_id, target_uri, refers_to, 'conversion',
+        trim(regexp_replace(regexp_replace(regexp_replace(words, '{warc.BLANKS}', ' ', 'g'),
+            '\\n[\\n ]+', chr(10), 'g'), ' \\n', chr(10), 'g'), ' ' || chr(10))
+    from named
+)
+select page_id, record_type, {_uuid_sql("record_type", "refers_to")} as derived_id, refers_to, target_uri,
+    block, 'sha256:' || sha256(block) as block_digest, strlen(block)::bigint as content_length
+from derived
+"""
+
+
+@query("op5_warc_derivatives", WARC_SQL)
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    """The metadata and conversion records derived from a response record of every page."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return warc.derive(warc.responses(pages)).select(
+        "page_id", "record_type", "derived_id", "refers_to", "target_uri", "block", "block_digest", "content_length"
+    )
