@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mobility_lake import session
 from mobility_lake.llm import bpe
 from mobility_lake.llm import histogram_sort as hs
+from mobility_lake.llm import reply_trees as rt
 from mobility_lake.llm import warc
 from mobility_lake.llm.common import ship, table, whole
 
@@ -147,3 +150,73 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return warc.derive(warc.responses(pages)).select(
         "page_id", "record_type", "derived_id", "refers_to", "target_uri", "block", "block_digest", "content_length"
     )
+
+
+def _read_back(batches):
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            formatted, turns = row["formatted"], rt.read_turns(row["formatted"])
+            learned = "".join(rt.unescape(formatted[s["start"] : s["stop"]]) for s in row["loss_spans"])
+            said = "".join(f"{role}\n{text}\n" for role, text in turns)
+            out.append(
+                {
+                    "conv_id": row["tree"],
+                    "n_turns": len(turns),
+                    "turns_sha256": hashlib.sha256(said.encode()).hexdigest(),
+                    "loss_chars": len(learned),
+                    "loss_sha256": hashlib.sha256(learned.encode()).hexdigest(),
+                    "formatted_chars": len(formatted),
+                }
+            )
+        yield pa.RecordBatch.from_pylist(out, READ_BACK)
+
+
+READ_BACK = pa.schema(
+    [
+        ("conv_id", pa.int64()),
+        ("n_turns", pa.int64()),
+        ("turns_sha256", pa.string()),
+        ("loss_chars", pa.int64()),
+        ("loss_sha256", pa.string()),
+        ("formatted_chars", pa.int64()),
+    ]
+)
+
+REPLY_SQL = """
+with said as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all
+    select * from (values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+), sized as (
+    select *, length(role) + length(text) + 13
+        + length(role) - length(replace(role, '\\', '')) + (length(role) - length(replace(role, '<|', ''))) // 2
+        + length(text) - length(replace(text, '\\', '')) + (length(text) - length(replace(text, '<|', ''))) // 2
+        as formatted
+    from said
+)
+select conv_id, count(*)::bigint as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), ''))
+        as loss_sha256,
+    sum(formatted)::bigint as formatted_chars
+from sized
+group by conv_id
+"""
+
+
+@query("op7_reply_trees", REPLY_SQL)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation formatted with a loss mask and read back; each turn answers the one before."""
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    words = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", words), (-7, 1, "assistant", words)], rows.schema)
+    order = Window.partitionBy("conv_id").orderBy("turn", F.coalesce("role", F.lit("")), whole())
+    thread = rows.unionByName(extra).withColumn("message", F.row_number().over(order))
+    thread = thread.withColumn("parent", F.when(F.col("message") > 1, F.col("message") - 1))
+    formatted = rt.conversations(thread, "conv_id", "message", "parent", "role", "text")
+    return formatted.select("tree", "formatted", "loss_spans").mapInArrow(
+        _read_back,
+        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
+    )
