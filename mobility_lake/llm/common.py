@@ -58,10 +58,14 @@ def shared_file(spark: SparkSession, content: bytes, name: str) -> str:
     Returns the name to give to `SparkFiles.get`. Executors that join later fetch it too.
     """
     name = f"{name}-{hashlib.sha256(content).hexdigest()[:24]}"
-    spark.sparkContext.addFile(_shared_copy(spark, content, name))
+    handed = (spark.sparkContext.applicationId, name)
+    if handed not in _HANDED:  # Spark refuses a second file of one name
+        spark.sparkContext.addFile(_shared_copy(spark, content, name))
+        _HANDED.add(handed)
     return name
 
 
+_HANDED: set[tuple[str, str]] = set()
 _SHIPPED: set[str] = set()
 
 
