@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from mobility_lake import session
 from mobility_lake.llm import bpe
 from mobility_lake.llm import histogram_sort as hs
+from mobility_lake.llm import kd_search as kd
 from mobility_lake.llm import reply_trees as rt
 from mobility_lake.llm import warc
 from mobility_lake.llm.common import ship, table, whole
@@ -220,3 +221,26 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
         _read_back,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
+
+
+KD_SQL = """
+with usable as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, r.vec_id,
+        list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2]))::bigint as score
+    from usable q join usable r on q.vec_id % 50 = 0 and q.vec_id <> r.vec_id
+), ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@query("op2_kd_tree_search", KD_SQL)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    """The 5 best inner products of every vector whose id is divisible by 50, against all vectors."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return kd.top_k(vectors, F.col("vec_id") % 50 == 0, "vec_id", "embedding", k=5, scale=256.0)
