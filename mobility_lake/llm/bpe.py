@@ -1,10 +1,11 @@
 """Byte-level BPE with a transducer lexicon for frequent words.
 
-The words of all texts are counted, the most frequent ones (`max_words` at most) are compiled
-with their ids into a minimal acyclic transducer (`lexicon.py`), and the file goes to every
-executor, where workers memory-map it. A word found there costs one walk; any other word is
-merged from its bytes by the ranks of the vocabulary. The result never depends on what is in
-the lexicon. Both directions keep a bounded cache of words per worker.
+The words of all texts, with the white space before them, are counted, the most frequent ones
+(`max_words` at most) are compiled with their ids into a minimal acyclic transducer
+(`lexicon.py`), and the file goes to every executor, where workers memory-map it. A word found
+there costs one walk; any other is merged from its bytes by the ranks of the vocabulary. The
+result never depends on what is in the lexicon. New words of a batch are looked up and merged
+together, all of them by one step at a time; a bounded cache per worker keeps their ids.
 
 A tokenizer file is read as it is (JSON of the `tokenizers` library): vocabulary, merges,
 added tokens; the path is a parameter. Truncation, padding and prefix spaces are not
@@ -35,11 +36,24 @@ from mobility_lake.llm.lexicon import Lexicon, compile_lexicon
 
 # How byte-level BPE cuts a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Runs of white space with what follows. No word reaches over the end of such a piece as long
-# as all white space is of these six kinds; other texts are cut by WORDS alone.
+# Runs of white space with what follows. No word of WORDS reaches over the end of such a piece
+# as long as all white space is of these six kinds; other texts are cut by WORDS alone.
 PIECES = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
-OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-CACHED_PIECES = 300_000
+OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+RARE = ("\t", "\r", "\x0b", "\x0c", "\x01", "\x1c", "\x1d", "\x1e", "\x1f", "  ", "\n\n", " \n", "\n ")
+NO_RANK = 1 << 40
+CACHED_PIECES = 200_000  # in each of two generations
+LONG_PIECE = 256
+
+
+def pieces(text: str) -> list[str]:
+    """The text cut where white space begins."""
+    if not text.isascii() and OTHER_SPACE.search(text):
+        return [text]
+    if any(rare in text for rare in RARE):
+        return [text] if OTHER_SPACE.search(text) else PIECES.findall(text)
+    # Single blanks and line ends only: splitting is several times faster.
+    return text.replace(" ", "\x01 ").replace("\n", "\x01\n").split("\x01")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -64,38 +78,83 @@ class Vocabulary:
         self.token_bytes: dict[int, bytes] = {
             number: bytes(letters[c] for c in token) for token, number in vocab.items()
         }
-        self.single = [0] * 256
+        self.single = np.zeros(256, np.int64)
         for number, token in self.token_bytes.items():
             if len(token) == 1:
                 self.single[token[0]] = number
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, merge in enumerate(spec["model"]["merges"]):
+        pairs, joined = [], []
+        for merge in spec["model"]["merges"]:
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.pairs[vocab[left], vocab[right]] = (rank, vocab[left + right])
+            pairs.append((vocab[left] << 32) | vocab[right])
+            joined.append(vocab[left + right])
+        self.joined = np.array(joined, np.int64)  # by rank
+        # Ranks by pair, a hash table with open addressing that is at most a quarter full.
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.table_pair = np.full(1 << self.bits, -1, np.int64)
+        self.table_rank = np.full(1 << self.bits, NO_RANK, np.int64)
+        todo, slot = np.arange(len(pairs)), self._slots(np.array(pairs, np.int64))
+        keys = np.array(pairs, np.int64)
+        while len(todo):
+            free = self.table_pair[slot] == -1
+            self.table_pair[slot[free]] = keys[todo[free]]  # of several for one slot the last stays
+            won = self.table_pair[slot] == keys[todo]
+            self.table_rank[slot[won]] = todo[won]
+            todo, slot = todo[~won], (slot[~won] + 1) & ((1 << self.bits) - 1)
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token_bytes.update((i, content.encode()) for content, i in self.added.items())
         longest_first = sorted(self.added, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
         self.words = regex.compile(WORDS)
 
-    def merge(self, word: bytes) -> list[int]:
-        """The ids of one word: the adjacent pair of lowest rank is joined until none is left."""
-        ids = [self.single[b] for b in word]
-        get, none = self.pairs.get, (1 << 60, -1)
-        while len(ids) > 1:
-            rank, joined = min([get(pair, none) for pair in zip(ids, ids[1:])])
-            if joined < 0:
-                break
-            out, at, last = [], 0, len(ids) - 1
-            while at <= last:
-                if at < last and get((ids[at], ids[at + 1]), none)[0] == rank:
-                    out.append(joined)
-                    at += 2
-                else:
-                    out.append(ids[at])
-                    at += 1
-            ids = out
-        return ids
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _ranks(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slots(keys)
+        ranks = np.full(len(keys), NO_RANK, np.int64)
+        todo = np.arange(len(keys))
+        while len(todo):
+            held = self.table_pair[slot]
+            hit = held == keys[todo]
+            ranks[todo[hit]] = self.table_rank[slot[hit]]
+            more = ~hit & (held != -1)
+            todo, slot = todo[more], (slot[more] + 1) & ((1 << self.bits) - 1)
+        return ranks
+
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, 4 bytes each. In every round each word joins its pair of lowest
+        rank wherever that occurs, from left to right, until no word has a pair left."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ids = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        owner = np.repeat(np.arange(len(words)), sizes)
+        done_ids, done_owner = [], []
+        while len(ids):
+            ranks = np.full(len(ids), NO_RANK, np.int64)
+            inside = np.flatnonzero(owner[1:] == owner[:-1])
+            ranks[inside] = self._ranks((ids[inside] << 32) | ids[inside + 1])
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            lengths = np.diff(np.concatenate([starts, [len(ids)]]))
+            lowest = np.repeat(np.minimum.reduceat(ranks, starts), lengths)
+            ended = lowest == NO_RANK
+            done_ids.append(ids[ended])
+            done_owner.append(owner[ended])
+            at = np.flatnonzero((ranks == lowest) & ~ended)
+            # Of neighbours in a run of one pair (as in "aaa") every second one is joined.
+            first = np.concatenate([[True], np.diff(at) != 1])[: len(at)]
+            run = at[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))] if len(at) else at
+            at = at[(at - run) % 2 == 0]
+            ids[at] = self.joined[ranks[at]]
+            keep = ~ended
+            keep[at + 1] = False
+            ids, owner = ids[keep], owner[keep]
+        if not done_ids:
+            return [b""] * len(words)
+        owner = np.concatenate(done_owner)
+        order = np.argsort(owner, kind="stable")
+        flat = np.concatenate(done_ids)[order].astype("<i4").tobytes()
+        ends = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
+        return [flat[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
 
     def cut(self, text: str) -> list[str | int]:
         """Words of a text, and the ids of added tokens that stand in it."""
@@ -110,10 +169,6 @@ class Vocabulary:
         return found
 
 
-def pieces(text: str) -> list[str]:
-    return [text] if OTHER_SPACE.search(text) else PIECES.findall(text)
-
-
 _VOCABULARIES: dict[str, Vocabulary] = {}
 
 
@@ -125,88 +180,99 @@ def _vocabulary(path: str) -> Vocabulary:
 
 
 class Encoder:
-    """Texts to ids, with a lexicon of frequent words or without."""
+    """Texts to ids, with a lexicon of frequent pieces or without."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None) -> None:
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.cache: dict[str, bytes] = {}
-
-    def piece(self, piece: str) -> bytes:
-        """Ids of a piece as 4-byte integers."""
-        out = []
-        for word in self.vocabulary.cut(piece):
-            if isinstance(word, int):
-                out.append(word.to_bytes(4, "little"))
-                continue
-            raw = word.encode()
-            known = self.lexicon[raw] if self.lexicon is not None else None
-            if known is None:
-                out.append(np.array(self.vocabulary.merge(raw), "<i4").tobytes())
-            else:
-                out.append(known.tobytes())
-        return b"".join(out)
-
-    def __call__(self, text: str) -> bytes:
-        cut = pieces(text)
-        try:
-            return b"".join(map(self.cache.__getitem__, cut))
-        except KeyError:
-            pass
-        if len(self.cache) > CACHED_PIECES:
-            self.cache.clear()
-        own: dict[str, bytes] = {}
-        for piece in set(cut).difference(self.cache):
-            ids = self.piece(piece)
-            # A very long piece is not worth keeping.
-            (self.cache if len(piece) <= 256 else own)[piece] = ids
-        if own:
-            return b"".join(own[p] if p in own else self.cache[p] for p in cut)
-        return b"".join(map(self.cache.__getitem__, cut))
-
-
-def count_words(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """(word binary, n long): how often each word occurs in all texts."""
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def __call__(self, values: list[str]) -> list[bytes]:
+        """The ids of each text, 4 bytes each."""
+        cut = [pieces(value) for value in values]
+        missing = set().union(*cut).difference(self.recent)
+        if len(self.recent) + len(missing) > CACHED_PIECES:
+            self.older, self.recent = self.recent, {}
+            missing = set().union(*cut)
+        known = {p: self.older[p] for p in missing if p in self.older}
+        new = [p for p in missing if p not in known]
+        self.recent.update(known)
+        self.recent.update(zip(new, self._new(new)))
+        get = self.recent.__getitem__
+        out = [b"".join(map(get, p)) for p in cut]
+        for piece in new:
+            if len(piece) > LONG_PIECE:  # not worth keeping
+                del self.recent[piece]
+        return out
+
+    def _new(self, found: list[str]) -> list[bytes]:
+        """Ids of distinct pieces: from the lexicon, or cut into words that are merged."""
+        out: list[bytes] = [b""] * len(found)
+        rest = range(len(found))
+        if self.lexicon is not None:
+            ranks = self.lexicon.ranks([piece.encode() for piece in found])
+            at = np.flatnonzero(ranks >= 0)
+            for i, ids in zip(at.tolist(), self.lexicon.ids(ranks[at])):
+                out[i] = ids
+            rest = np.flatnonzero(ranks < 0).tolist()
+        parts = [self._words(found[i]) for i in rest]
+        words = list({w for own in parts for w in own if isinstance(w, str)})
+        merged: dict[str | int, bytes] = dict(zip(words, self.vocabulary.merge([w.encode() for w in words])))
+        merged.update((i, i.to_bytes(4, "little")) for i in self.vocabulary.added.values())
+        for i, own in zip(rest, parts):
+            out[i] = merged[own[0]] if len(own) == 1 else b"".join([merged[w] for w in own])
+        return out
+
+    def _words(self, piece: str) -> list[str | int] | tuple[str, ...]:
+        """`Vocabulary.cut`, faster for letters with a blank or line end before, a stop or comma behind."""
+        body, tail = (piece[:-1], piece[-1:]) if piece[-1:] in (",", ".") else (piece, "")
+        first = body[:1]
+        if first == "\n" and body[1:].isalpha():
+            return ("\n", body[1:], tail) if tail else ("\n", body[1:])
+        if body.isalpha() or first == " " and body[1:].isalpha():
+            return (body, tail) if tail else (body,)
+        return self.vocabulary.cut(piece) or ("",)
+
+
+_ENCODERS: dict[tuple[str, str | None], Encoder] = {}
+
+
+def _encoder(path: str, lexicon: str | None) -> Encoder:
+    """One per worker process, so that later tasks find the cache filled."""
+    key = (path, lexicon)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(_vocabulary(path), lexicon and Lexicon(SparkFiles.get(lexicon)))
+    return _ENCODERS[key]
+
+
+def count_pieces(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(piece string, n long): how often each piece occurs in all texts."""
+    schema = pa.schema([("piece", pa.string()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(path)
         seen: Counter[str] = Counter()
         for batch in by_bytes(batches, text):
             for value in texts(batch, text):
                 seen.update(pieces(value))
-            if len(seen) > CACHED_PIECES:
-                yield _word_batch(vocabulary, seen)
+            if len(seen) > 2 * CACHED_PIECES:
+                yield pa.record_batch([list(seen), list(seen.values())], schema=schema)
                 seen.clear()
-        yield _word_batch(vocabulary, seen)
-
-    return (
-        docs.select(text)
-        .mapInArrow(count, "word binary, n long")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-    )
-
+        yield pa.record_batch([list(seen), list(seen.values())], schema=schema)
 
-def _word_batch(vocabulary: Vocabulary, seen: Counter[str]) -> pa.RecordBatch:
-    words: Counter[str] = Counter()
-    for piece, n in seen.items():
-        for word in vocabulary.cut(piece):
-            if not isinstance(word, int):
-                words[word] += n
-    return pa.record_batch(
-        [pa.array([w.encode() for w in words], pa.binary()), pa.array(list(words.values()), pa.int64())],
-        names=["word", "n"],
-    )
+    return docs.select(text).mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(
-    docs: DataFrame, path: str, text: str = "text", max_words: int = 50_000, max_length: int = 64
+    docs: DataFrame, path: str, text: str = "text", max_words: int = 100_000, max_length: int = 64
 ) -> str:
     """Compile the most frequent words of all texts; returns the name of the handed-out file.
 
     At most `max_words` words of at most `max_length` bytes reach the driver: the least count
     that keeps the list within that size is read off a histogram of counts.
     """
-    counted = written(count_words(docs, path, text).filter(F.length("word") <= max_length), "words")
+    counted = count_pieces(docs, text).filter((F.octet_length("piece") <= max_length) & (F.col("n") > 1))
+    counted = written(counted, "pieces")
     step = F.floor(F.log2("n") * 16).cast("int")
     least, kept = 1 << 30, 0
     for row in counted.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
@@ -214,11 +280,10 @@ def build_lexicon(
         if kept > max_words:
             break
         least = row["step"]
-    vocabulary = _vocabulary(path)
-    words = [bytes(r["word"]) for r in counted.filter(step >= least).select("word").collect()]
-    return shared_file(
-        docs.sparkSession, compile_lexicon((w, vocabulary.merge(w)) for w in words), "lexicon"
-    )
+    found = [r["piece"] for r in counted.filter(step >= least).select("piece").collect()]
+    ids = Encoder(_vocabulary(path))._new(found)
+    entries = ((p.encode(), np.frombuffer(i, "<i4").tolist()) for p, i in zip(found, ids))
+    return shared_file(docs.sparkSession, compile_lexicon(entries), "lexicon")
 
 
 def encode(docs: DataFrame, path: str, lexicon: str | None = None, text: str = "text") -> DataFrame:
@@ -227,10 +292,9 @@ def encode(docs: DataFrame, path: str, lexicon: str | None = None, text: str = "
     out = T.StructType([docs.schema[c] for c in kept] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Lexicon(SparkFiles.get(lexicon)) if lexicon is not None else None
-        encoder = Encoder(_vocabulary(path), found)
+        encoder = _encoder(path, lexicon)
         for batch in by_bytes(batches, text):
-            values = [encoder(t) for t in texts(batch, text)]
+            values = encoder(texts(batch, text))
             ends = np.cumsum([0, *map(len, values)]) // 4
             flat = pa.array(np.frombuffer(b"".join(values), "<i4"))
             ids = pa.ListArray.from_arrays(pa.array(ends.astype("i4")), flat)
@@ -246,21 +310,16 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _vocabulary(path).token_bytes
-        size = max(tokens) + 1
-        lengths = np.array([len(tokens.get(i, b"")) for i in range(size)], np.int64)
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        spelled = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(size)), np.uint8)
+        spelled = [tokens.get(i, b"") for i in range(max(tokens) + 1)].__getitem__
         for batch in batches:
             for part in _by_ids(batch, ids):
                 lists = part.column(ids)
-                flat = np.asarray(lists.flatten())
+                flat = lists.flatten().to_numpy().tolist()
                 counts = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
-                each = lengths[flat]
-                ends = np.cumsum(each)
-                at = np.repeat(starts[flat] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
-                raw = spelled[at].tobytes()
-                bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
-                values = [raw[a:b].decode("utf-8", "replace") for a, b in zip(bounds, bounds[1:])]
+                ends = np.cumsum(counts).tolist()
+                values = [
+                    b"".join(map(spelled, flat[a:b])).decode("utf-8", "replace") for a, b in zip([0, *ends], ends)
+                ]
                 yield pa.record_batch(
                     [*(part.column(c) for c in kept), pa.array(values, pa.string())], names=[*kept, text]
                 )

@@ -4,8 +4,10 @@ Words are added in byte order and equal suffixes share their states, so the auto
 smallest one that accepts the list. Every arc carries how many words sort before the ones
 behind it; the sum along a word's path is its rank, which points at its ids.
 
-File: six 8-byte counts, then `first` (arcs of each state), `target`, `skipped` (words before
-an arc), `ids_first`, `ids` as 4-byte integers, `final` and `label` as bytes.
+Lookups take a whole list of words and advance all of them by one byte at a time.
+
+File: six 8-byte counts, then 8-byte arc keys (state * 256 + label, rising), and as 4-byte
+integers `target`, `skipped` (words before an arc), `final`, `ids_first` and `ids`.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ import struct
 from array import array
 from collections.abc import Iterable
 
+import numpy as np
+
 HEAD = struct.Struct("<6q")
 
 
@@ -51,25 +55,22 @@ def compile_lexicon(words: Iterable[tuple[bytes, list[int]]]) -> bytes:
     root = settle(path[0][0], path[0][1])
 
     accepted = [0] * len(states)  # a state's targets come before it
-    first, target, skipped, labels = array("i", [0]), array("i"), array("i"), bytearray()
+    keys, target, skipped = array("q"), array("i"), array("i")
     for number, (final, arcs) in enumerate(states):
         count = int(final)
         for label, to in arcs:
-            labels.append(label)
+            keys.append(number * 256 + label)
             target.append(to)
             skipped.append(count)
             count += accepted[to]
         accepted[number] = count
-        first.append(len(target))
     ids_first, ids = array("i", [0]), array("i")
     for _, tokens in entries:
         ids.extend(tokens)
         ids_first.append(len(ids))
-    finals = bytes(final for final, _ in states)
+    finals = array("i", [int(final) for final, _ in states])
     head = HEAD.pack(root, len(states), len(target), len(entries), len(ids), 0)
-    return b"".join(
-        [head, *(a.tobytes() for a in (first, target, skipped, ids_first, ids)), finals, bytes(labels)]
-    )
+    return head + b"".join(a.tobytes() for a in (keys, target, skipped, finals, ids_first, ids))
 
 
 def _fold(path: list[list], depth: int, settle) -> None:
@@ -86,28 +87,45 @@ class Lexicon:
     def __init__(self, path: str) -> None:
         with open(path, "rb") as file:
             self._map = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-        self.root, states, arcs, words, ids, _ = HEAD.unpack_from(self._map)
-        self.states, self.words = states, words
-        view, at = memoryview(self._map), HEAD.size
+        self.root, self.states, arcs, self.words, ids, _ = HEAD.unpack_from(self._map)
+        at = HEAD.size
+        self._keys = np.frombuffer(self._map, "<i8", arcs, at)
+        at += 8 * arcs
         parts = []
-        for count in (states + 1, arcs, arcs, words + 1, ids):
-            parts.append(view[at : at + 4 * count].cast("i"))
+        for count in (arcs, arcs, self.states, self.words + 1, ids):
+            parts.append(np.frombuffer(self._map, "<i4", count, at))
             at += 4 * count
-        self._first, self._target, self._skipped, self._ids_first, self._ids = parts
-        self._final = view[at : at + states]
-        self._labels = at + states
-
-    def __getitem__(self, word: bytes) -> memoryview | None:
-        """The ids of a word as 4-byte integers, or None for a word that is not in the list."""
-        state, rank = self.root, 0
-        first, find, labels = self._first, self._map.find, self._labels
-        for at in range(len(word)):
-            start = labels + first[state]
-            arc = find(word[at : at + 1], start, labels + first[state + 1]) - labels
-            if arc < 0:
-                return None
-            rank += self._skipped[arc]
-            state = self._target[arc]
-        if not self._final[state]:
-            return None
-        return self._ids[self._ids_first[rank] : self._ids_first[rank + 1]]
+        self._ids_at = at - 4 * ids
+        self._target, self._skipped, self._final, self._ids_first, _ = parts
+
+    def ranks(self, words: list[bytes]) -> np.ndarray:
+        """The rank of each word in the list, -1 for a word that is not in it."""
+        letters = np.frombuffer(b"".join(words), np.uint8)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(sizes) - sizes
+        out = np.full(len(words), -1, np.int64)
+        active = np.arange(len(words))
+        state = np.full(len(words), self.root, np.int64)
+        rank = np.zeros(len(words), np.int64)
+        depth = 0
+        while len(active):
+            ended = sizes[active] == depth
+            accepted = ended & (self._final[state] == 1)
+            out[active[accepted]] = rank[accepted]
+            on = ~ended
+            active, state, rank = active[on], state[on], rank[on]
+            if not len(active) or not len(self._keys):
+                break
+            key = state * 256 + letters[starts[active] + depth]
+            arc = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            on = self._keys[arc] == key
+            arc, active, rank = arc[on], active[on], rank[on]
+            state, rank = self._target[arc].astype(np.int64), rank + self._skipped[arc]
+            depth += 1
+        return out
+
+    def ids(self, ranks: np.ndarray) -> list[bytes]:
+        """The ids of the words of these ranks, 4 bytes each."""
+        starts = (self._ids_at + 4 * self._ids_first[ranks].astype(np.int64)).tolist()
+        stops = (self._ids_at + 4 * self._ids_first[ranks + 1].astype(np.int64)).tolist()
+        return [self._map[a:b] for a, b in zip(starts, stops)]
