@@ -13,6 +13,7 @@ from mobility_lake import session
 from mobility_lake.llm import bpe
 from mobility_lake.llm import histogram_sort as hs
 from mobility_lake.llm import kd_search as kd
+from mobility_lake.llm import packing
 from mobility_lake.llm import reply_trees as rt
 from mobility_lake.llm import warc
 from mobility_lake.llm.common import ship, table, whole
@@ -244,3 +245,13 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     """The 5 best inner products of every vector whose id is divisible by 50, against all vectors."""
     vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
     return kd.top_k(vectors, F.col("vec_id") % 50 == 0, "vec_id", "embedding", k=5, scale=256.0)
+
+
+@query("op9_swap_packing")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's token pieces and their places in sequences of 2,048 tokens."""
+    docs = table(spark, sf, "documents")
+    pieces = packing.cut_documents(docs, _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
+    return packing.pack(pieces, capacity=2048).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
