@@ -6,13 +6,14 @@ import hashlib
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mobility_lake import session
 from mobility_lake.llm import bpe
 from mobility_lake.llm import histogram_sort as hs
 from mobility_lake.llm import kd_search as kd
+from mobility_lake.llm import language_mixture as lm
 from mobility_lake.llm import packing
 from mobility_lake.llm import reply_trees as rt
 from mobility_lake.llm import warc
@@ -255,3 +256,18 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(pieces, capacity=2048).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+def held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+@query("op3_language_mixture")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's language; learned from labelled documents that are not held out."""
+    docs = table(spark, sf, "documents")
+    model = lm.train(docs, ~F.coalesce(held_out(), F.lit(True)))
+    found = lm.predict(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "languages", "proportions"
+    )
