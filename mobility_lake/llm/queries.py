@@ -15,6 +15,7 @@ from mobility_lake.llm import histogram_sort as hs
 from mobility_lake.llm import kd_search as kd
 from mobility_lake.llm import language_mixture as lm
 from mobility_lake.llm import packing
+from mobility_lake.llm import paragraph_sketch as ps
 from mobility_lake.llm import reply_trees as rt
 from mobility_lake.llm import warc
 from mobility_lake.llm.common import ship, table, whole
@@ -271,3 +272,34 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "languages", "proportions"
     )
+
+
+@query("op1_paragraph_sketch")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and how alike it is to that and to the next one's."""
+    docs = table(spark, sf, "documents").select("doc_id", whole().alias("text"))
+    docs = docs.withColumn("n_chars", F.char_length("text")).withColumn("digests", ps.digests(F.col("text")))
+    docs = ps.with_next(docs, "doc_id", {"text": F.col("text"), "digests": F.col("digests")}, F.xxhash64("text"))
+    third = F.floor(F.col("n_chars") / 3).cast("int")
+    docs = docs.withColumn(
+        "edited", F.concat(F.left("text", F.col("n_chars") - third), F.left("next_text", third))
+    ).drop("next_text", "text")
+    docs = docs.withColumns({"edited_sha256": F.sha2("edited", 256), "edited_digests": ps.digests(F.col("edited"))})
+    docs = docs.drop("edited").withColumns(
+        {"cells": ps.smallest("digests"), "edited_cells": ps.smallest("edited_digests")}
+    )
+    docs = docs.withColumns(
+        {
+            "to_edited": ps.differing("digests", "edited_digests", "cells", "edited_cells"),
+            "to_next": ps.differing("digests", "next_digests", "cells"),
+        }
+    )
+    return docs.select(
+        "doc_id",
+        F.col("n_chars").cast("long").alias("n_chars"),
+        "edited_sha256",
+        ps.spelled("digests", "cells").alias("fingerprint"),
+        ps.spelled("edited_digests", "edited_cells").alias("edited_fingerprint"),
+        ps.likeness("digests", "edited_digests", "to_edited").alias("near_edited"),
+        ps.likeness("digests", "next_digests", "to_next").alias("near_next"),
+    )
