@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mobility_lake.llm.common import by_bytes, shared_file, texts, written
+from mobility_lake.llm.common import by_bytes, shared_file, spliced, written
 from mobility_lake.llm.lexicon import Lexicon, compile_lexicon
 
 # How byte-level BPE cuts a text into words.
@@ -40,20 +39,30 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 # as long as all white space is of these six kinds; other texts are cut by WORDS alone.
 PIECES = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-RARE = ("\t", "\r", "\x0b", "\x0c", "\x01", "\x1c", "\x1d", "\x1e", "\x1f", "  ", "\n\n", " \n", "\n ")
+# White space other than single blanks and line ends, or the letter used as a mark below.
+RARE = "[\t\r\x0b\x0c\x01\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|[ \n][ \n]"
 NO_RANK = 1 << 40
-CACHED_PIECES = 200_000  # in each of two generations
+CACHED_PIECES = 250_000  # in each of two generations
 LONG_PIECE = 256
-
-
-def pieces(text: str) -> list[str]:
-    """The text cut where white space begins."""
-    if not text.isascii() and OTHER_SPACE.search(text):
-        return [text]
-    if any(rare in text for rare in RARE):
-        return [text] if OTHER_SPACE.search(text) else PIECES.findall(text)
-    # Single blanks and line ends only: splitting is several times faster.
-    return text.replace(" ", "\x01 ").replace("\n", "\x01\n").split("\x01")
+BATCH = 8 << 20  # bytes of text at a time
+
+
+def cut_texts(values: pa.Array) -> pa.ListArray:
+    """Each text cut where white space begins."""
+    values = pc.fill_null(values, "")
+    rare = pc.match_substring_regex(values, RARE)
+    if not pc.any(rare).as_py():
+        # Marking and splitting is many times faster than a regular expression.
+        marked = pc.replace_substring(pc.replace_substring(values, " ", "\x01 "), "\n", "\x01\n")
+        return pc.split_pattern(marked, "\x01")
+    plain = cut_texts(values.filter(pc.invert(rare)))
+    odd = [[t] if OTHER_SPACE.search(t) else PIECES.findall(t) for t in values.filter(rare).to_pylist()]
+    both = pa.concat_arrays([plain, pa.array(odd, plain.type)])
+    mask = np.asarray(rare)
+    place = np.empty(len(values), np.int64)
+    place[~mask] = np.arange(len(plain))
+    place[mask] = np.arange(len(plain), len(values))
+    return both.take(pa.array(place))
 
 
 def _byte_letters() -> dict[str, int]:
@@ -187,23 +196,24 @@ class Encoder:
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def __call__(self, values: list[str]) -> list[bytes]:
-        """The ids of each text, 4 bytes each."""
-        cut = [pieces(value) for value in values]
-        missing = set().union(*cut).difference(self.recent)
+    def __call__(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text begins and ends in it."""
+        cut = cut_texts(values)
+        distinct = cut.flatten().dictionary_encode()
+        found = distinct.dictionary.to_pylist()
+        missing = [p for p in found if p not in self.recent]
         if len(self.recent) + len(missing) > CACHED_PIECES:
             self.older, self.recent = self.recent, {}
-            missing = set().union(*cut)
+            missing = found
         known = {p: self.older[p] for p in missing if p in self.older}
-        new = [p for p in missing if p not in known]
+        new = [p for p in missing if p not in known] if known else missing
         self.recent.update(known)
         self.recent.update(zip(new, self._new(new)))
-        get = self.recent.__getitem__
-        out = [b"".join(map(get, p)) for p in cut]
+        parts = list(map(self.recent.__getitem__, found))
         for piece in new:
             if len(piece) > LONG_PIECE:  # not worth keeping
                 del self.recent[piece]
-        return out
+        return spliced(parts, distinct.indices.to_numpy(), np.asarray(cut.offsets) - cut.offsets[0].as_py())
 
     def _new(self, found: list[str]) -> list[bytes]:
         """Ids of distinct pieces: from the lexicon, or cut into words that are merged."""
@@ -248,17 +258,11 @@ def _encoder(path: str, lexicon: str | None) -> Encoder:
 
 def count_pieces(docs: DataFrame, text: str = "text") -> DataFrame:
     """(piece string, n long): how often each piece occurs in all texts."""
-    schema = pa.schema([("piece", pa.string()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        for batch in by_bytes(batches, text):
-            for value in texts(batch, text):
-                seen.update(pieces(value))
-            if len(seen) > 2 * CACHED_PIECES:
-                yield pa.record_batch([list(seen), list(seen.values())], schema=schema)
-                seen.clear()
-        yield pa.record_batch([list(seen), list(seen.values())], schema=schema)
+        for batch in by_bytes(batches, text, BATCH):
+            found = pc.value_counts(cut_texts(batch.column(text)).flatten())
+            yield pa.record_batch([found.field("values"), found.field("counts")], names=["piece", "n"])
 
     return docs.select(text).mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
 
@@ -293,11 +297,9 @@ def encode(docs: DataFrame, path: str, lexicon: str | None = None, text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, lexicon)
-        for batch in by_bytes(batches, text):
-            values = encoder(texts(batch, text))
-            ends = np.cumsum([0, *map(len, values)]) // 4
-            flat = pa.array(np.frombuffer(b"".join(values), "<i4"))
-            ids = pa.ListArray.from_arrays(pa.array(ends.astype("i4")), flat)
+        for batch in by_bytes(batches, text, BATCH):
+            flat, ends = encoder(batch.column(text))
+            ids = pa.ListArray.from_arrays(pa.array(ends.astype("i4")), pa.array(flat))
             yield pa.record_batch([*(batch.column(c) for c in kept), ids], names=[*kept, "ids"])
 
     return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(run, out)

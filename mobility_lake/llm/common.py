@@ -100,3 +100,16 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """A text column as Python strings, null read as empty."""
     return pc.fill_null(batch.column(column), "").to_pylist()
+
+
+def spliced(parts: list[bytes], index: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """4-byte values of `parts[i]` for each i of `index`, in a row, and where each list that
+    `offsets` cuts from `index` begins and ends in it."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    starts = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(parts), "<i4")
+    each = sizes[index]
+    ends = np.cumsum(each)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.repeat(starts[index] - (ends - each), each) + np.arange(total)
+    return flat[at], np.concatenate([[0], ends])[offsets]

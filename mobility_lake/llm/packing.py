@@ -25,16 +25,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mobility_lake.llm.common import by_bytes, texts, written
+from mobility_lake.llm.common import by_bytes, spliced, written
 
-CACHED_WORDS = 200_000  # in each of two generations
+CACHED_WORDS = 250_000  # in each of two generations
 LONG_WORD = 256
 # Lower-casing these does not depend on the letters around, before or after normalising.
 NOT_PLAIN = re.compile("[^\x00-ɏ]")
-ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
+BATCH = 8 << 20  # bytes of text at a time
 
 
 class WordTokenizer:
@@ -57,15 +58,17 @@ class WordTokenizer:
         found = self.tokenizer.encode_batch(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def __call__(self, values: list[str]) -> list[bytes]:
-        """The ids of each text, 4 bytes each."""
-        cut = [self._words(value) for value in values]
-        distinct = set().union(*cut)
-        missing = distinct.difference(self.recent)
-        if len(self.recent) + len(missing) > CACHED_WORDS:
-            self.older, self.recent = self.recent, {}
-            missing = distinct
+    def __call__(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text begins and ends in it."""
+        plain = [self._lowered(text) for text in pc.fill_null(values, "").to_pylist()]
+        cut = pc.ascii_split_whitespace(pa.array(plain, pa.string()))
+        distinct = cut.flatten().dictionary_encode()
+        found = distinct.dictionary.to_pylist()
         recent, older = self.recent, self.older
+        missing = [w for w in found if w not in recent]
+        if len(recent) + len(missing) > CACHED_WORDS:
+            older, recent = self.older, self.recent = recent, {}
+            missing = found
         new, stopped = set(), []
         for word in missing:
             if word in older:
@@ -76,30 +79,20 @@ class WordTokenizer:
                 new.add(word[-1])
             else:
                 new.add(word)
-        fresh = []
-        for word in new:
-            if word in recent:
-                continue
-            if word in older:
-                recent[word] = older[word]
-            else:
-                fresh.append(word)
+        recent.update((w, older[w]) for w in new if w in older and w not in recent)
+        fresh = [w for w in new if w not in recent]
         recent.update(zip(fresh, self._encode(fresh)))
-        for word in stopped:
-            recent[word] = recent[word[:-1]] + recent[word[-1]]
-        out = [b"".join(map(recent.__getitem__, words)) for words in cut]
+        recent.update((w, recent[w[:-1]] + recent[w[-1]]) for w in stopped)
+        parts = list(map(recent.__getitem__, found))
         for word in fresh:
             if len(word) > LONG_WORD:
                 del recent[word]
-        return out
+        return spliced(parts, distinct.indices.to_numpy(), np.asarray(cut.offsets) - cut.offsets[0].as_py())
 
     @staticmethod
-    def _words(text: str) -> list[str]:
-        if text.isascii() or not NOT_PLAIN.search(text):
-            text = text.lower() if "<|" not in text else text  # special tokens are read before lower-casing
-        if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return text.split()
-        return [w for w in ASCII_SPACE.split(text) if w]
+    def _lowered(text: str) -> str:
+        """Lower case where that saves work; special tokens are read before lower-casing."""
+        return text.lower() if (text.isascii() or not NOT_PLAIN.search(text)) and "<|" not in text else text
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -125,10 +118,12 @@ def cut_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _tokenizer(path)
-        for batch in by_bytes(batches, text):
+        for batch in by_bytes(batches, text, BATCH):
             owner, piece, start, length, crc, ids = [], [], [], [], [], []
-            for at, tokens in enumerate(encode(texts(batch, text))):
-                tokens += end
+            flat, ends = encode(batch.column(text))
+            raw, ends = flat.tobytes(), (4 * ends).tolist()
+            for at in range(batch.num_rows):
+                tokens = raw[ends[at] : ends[at + 1]] + end
                 for number, place in enumerate(range(0, len(tokens), 4 * capacity)):
                     part = tokens[place : place + 4 * capacity]
                     owner.append(at)
