@@ -14,6 +14,7 @@ from mobility_lake.llm import bpe
 from mobility_lake.llm import histogram_sort as hs
 from mobility_lake.llm import kd_search as kd
 from mobility_lake.llm import language_mixture as lm
+from mobility_lake.llm import ngram_join as nj
 from mobility_lake.llm import packing
 from mobility_lake.llm import paragraph_sketch as ps
 from mobility_lake.llm import reply_trees as rt
@@ -303,3 +304,9 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
         ps.likeness("digests", "edited_digests", "to_edited").alias("near_edited"),
         ps.likeness("digests", "next_digests", "to_next").alias("near_next"),
     )
+
+
+@query("op6_ngram_join")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's number of 5-word shingles and its component of near copies (Jaccard of 0.75 or more)."""
+    return nj.near_duplicates(table(spark, sf, "documents"), words=5, percent=75)
