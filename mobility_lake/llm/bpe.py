@@ -42,9 +42,9 @@ OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202
 # White space other than single blanks and line ends, or the letter used as a mark below.
 RARE = "[\t\r\x0b\x0c\x01\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|[ \n][ \n]"
 NO_RANK = 1 << 40
-CACHED_PIECES = 250_000  # in each of two generations
+CACHED_PIECES = 100_000  # in each of two generations
 LONG_PIECE = 256
-BATCH = 8 << 20  # bytes of text at a time
+BATCH = 4 << 20  # bytes of text at a time
 
 
 def cut_texts(values: pa.Array) -> pa.ListArray:

@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 
 from mobility_lake.llm.common import by_bytes, spliced, written
 
-CACHED_WORDS = 250_000  # in each of two generations
+CACHED_WORDS = 150_000  # in each of two generations
 LONG_WORD = 256
 # Lower-casing these does not depend on the letters around, before or after normalising.
 NOT_PLAIN = re.compile("[^\x00-ɏ]")
-BATCH = 8 << 20  # bytes of text at a time
+BATCH = 4 << 20  # bytes of text at a time
 
 
 class WordTokenizer:
