@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from mobility_lake.llm.common import by_bytes, shared_file, spliced, written
 from mobility_lake.llm.lexicon import Lexicon, compile_lexicon
+from mobility_lake.llm.merges import Merges, byte_letters
 
 # How byte-level BPE cuts a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -41,7 +42,6 @@ PIECES = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # White space other than single blanks and line ends, or the letter used as a mark below.
 RARE = "[\t\r\x0b\x0c\x01\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|[ \n][ \n]"
-NO_RANK = 1 << 40
 CACHED_PIECES = 100_000  # in each of two generations
 LONG_PIECE = 256
 BATCH = 4 << 20  # bytes of text at a time
@@ -65,14 +65,6 @@ def cut_texts(values: pa.Array) -> pa.ListArray:
     return both.take(pa.array(place))
 
 
-def _byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in a vocabulary file."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters = {chr(b): b for b in plain}
-    hidden = [b for b in range(256) if b not in set(plain)]
-    return letters | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class Vocabulary:
     """Merge ranks and token bytes of a tokenizer file."""
 
@@ -82,7 +74,7 @@ class Vocabulary:
         cutter = spec["pre_tokenizer"]
         if spec.get("normalizer") or cutter["type"] != "ByteLevel" or cutter["add_prefix_space"]:
             raise ValueError("a byte-level BPE tokenizer without normalizer and prefix space is needed")
-        letters = _byte_letters()
+        letters = byte_letters()
         vocab = spec["model"]["vocab"]
         self.token_bytes: dict[int, bytes] = {
             number: bytes(letters[c] for c in token) for token, number in vocab.items()
@@ -91,79 +83,17 @@ class Vocabulary:
         for number, token in self.token_bytes.items():
             if len(token) == 1:
                 self.single[token[0]] = number
-        pairs, joined = [], []
-        for merge in spec["model"]["merges"]:
-            left, right = merge.split(" ") if isinstance(merge, str) else merge
-            pairs.append((vocab[left] << 32) | vocab[right])
-            joined.append(vocab[left + right])
-        self.joined = np.array(joined, np.int64)  # by rank
-        # Ranks by pair, a hash table with open addressing that is at most a quarter full.
-        self.bits = max(4, (4 * len(pairs)).bit_length())
-        self.table_pair = np.full(1 << self.bits, -1, np.int64)
-        self.table_rank = np.full(1 << self.bits, NO_RANK, np.int64)
-        todo, slot = np.arange(len(pairs)), self._slots(np.array(pairs, np.int64))
-        keys = np.array(pairs, np.int64)
-        while len(todo):
-            free = self.table_pair[slot] == -1
-            self.table_pair[slot[free]] = keys[todo[free]]  # of several for one slot the last stays
-            won = self.table_pair[slot] == keys[todo]
-            self.table_rank[slot[won]] = todo[won]
-            todo, slot = todo[~won], (slot[~won] + 1) & ((1 << self.bits) - 1)
+        self.merges = Merges(vocab, spec["model"]["merges"])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token_bytes.update((i, content.encode()) for content, i in self.added.items())
         longest_first = sorted(self.added, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
         self.words = regex.compile(WORDS)
 
-    def _slots(self, keys: np.ndarray) -> np.ndarray:
-        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _ranks(self, keys: np.ndarray) -> np.ndarray:
-        slot = self._slots(keys)
-        ranks = np.full(len(keys), NO_RANK, np.int64)
-        todo = np.arange(len(keys))
-        while len(todo):
-            held = self.table_pair[slot]
-            hit = held == keys[todo]
-            ranks[todo[hit]] = self.table_rank[slot[hit]]
-            more = ~hit & (held != -1)
-            todo, slot = todo[more], (slot[more] + 1) & ((1 << self.bits) - 1)
-        return ranks
-
     def merge(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word, 4 bytes each. In every round each word joins its pair of lowest
-        rank wherever that occurs, from left to right, until no word has a pair left."""
+        """The ids of each word, 4 bytes each."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        ids = self.single[np.frombuffer(b"".join(words), np.uint8)]
-        owner = np.repeat(np.arange(len(words)), sizes)
-        done_ids, done_owner = [], []
-        while len(ids):
-            ranks = np.full(len(ids), NO_RANK, np.int64)
-            inside = np.flatnonzero(owner[1:] == owner[:-1])
-            ranks[inside] = self._ranks((ids[inside] << 32) | ids[inside + 1])
-            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            lengths = np.diff(np.concatenate([starts, [len(ids)]]))
-            lowest = np.repeat(np.minimum.reduceat(ranks, starts), lengths)
-            ended = lowest == NO_RANK
-            done_ids.append(ids[ended])
-            done_owner.append(owner[ended])
-            at = np.flatnonzero((ranks == lowest) & ~ended)
-            # Of neighbours in a run of one pair (as in "aaa") every second one is joined.
-            first = np.concatenate([[True], np.diff(at) != 1])[: len(at)]
-            run = at[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))] if len(at) else at
-            at = at[(at - run) % 2 == 0]
-            ids[at] = self.joined[ranks[at]]
-            keep = ~ended
-            keep[at + 1] = False
-            ids, owner = ids[keep], owner[keep]
-        if not done_ids:
-            return [b""] * len(words)
-        owner = np.concatenate(done_owner)
-        order = np.argsort(owner, kind="stable")
-        flat = np.concatenate(done_ids)[order].astype("<i4").tobytes()
-        ends = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
-        return [flat[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
+        return self.merges(self.single[np.frombuffer(b"".join(words), np.uint8)], sizes)
 
     def cut(self, text: str) -> list[str | int]:
         """Words of a text, and the ids of added tokens that stand in it."""

@@ -18,7 +18,10 @@ the id and text columns are used, so other columns may have any name.
 
 from __future__ import annotations
 
-import re
+import functools
+import itertools
+import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -30,11 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mobility_lake.llm.common import by_bytes, spliced, written
+from mobility_lake.llm.merges import Merges, byte_letters
 
-CACHED_WORDS = 150_000  # in each of two generations
+CACHED_WORDS = 200_000  # in each of two generations
 LONG_WORD = 256
-# Lower-casing these does not depend on the letters around, before or after normalising.
-NOT_PLAIN = re.compile("[^\x00-ɏ]")
+# Texts of Latin letters only have one lower case, before and after normalising.
+PLAIN_WORD = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
+STOPPED = r"^\pL+[,.]$"
+NOT_PLAIN = r"[^\x00-\x{12f}\x{131}-\x{24f}]|<\|"
 BATCH = 4 << 20  # bytes of text at a time
 
 
@@ -46,6 +52,7 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,45 +61,66 @@ class WordTokenizer:
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+        self._read_merges(path)
+
+    def _read_merges(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        letters, vocab, end = byte_letters(), model["vocab"], model.get("end_of_word_suffix") or ""
+        self.merges = Merges(vocab, model["merges"])
+        self.inner, self.last = np.zeros(256, np.int64), np.zeros(256, np.int64)
+        for letter, byte in letters.items():
+            self.inner[byte], self.last[byte] = vocab[letter], vocab[letter + end]
+
     def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        """Words of plain letters are one token run each and are merged together; the library does the rest."""
+        plain = np.asarray(pc.match_substring_regex(pa.array(words, pa.string()), PLAIN_WORD), dtype=bool)
+        out: list[bytes] = [b""] * len(words)
+        rest = np.flatnonzero(~plain).tolist()
+        found = self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False)
+        for i, encoding in zip(rest, found):
+            out[i] = np.array(encoding.ids, "<u4").tobytes()
+        at = np.flatnonzero(plain).tolist()
+        raw = [words[i].encode() for i in at]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        letters = np.frombuffer(b"".join(raw), np.uint8)
+        ids = self.inner[letters]
+        ends = np.cumsum(sizes) - 1
+        ids[ends] = self.last[letters[ends]]
+        for i, merged in zip(at, self.merges(ids, sizes)):
+            out[i] = merged
+        return out
 
     def __call__(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text begins and ends in it."""
-        plain = [self._lowered(text) for text in pc.fill_null(values, "").to_pylist()]
-        cut = pc.ascii_split_whitespace(pa.array(plain, pa.string()))
+        values = pc.fill_null(values, "")
+        # Lower case where that saves work; special tokens are read before lower-casing.
+        as_is = pc.match_substring_regex(values, NOT_PLAIN)
+        cut = pc.ascii_split_whitespace(pc.if_else(as_is, values, pc.utf8_lower(values)))
         distinct = cut.flatten().dictionary_encode()
-        found = distinct.dictionary.to_pylist()
+        # Letters with a stop or comma behind: the mark is a token of its own.
+        stopped = pc.match_substring_regex(distinct.dictionary, STOPPED)
+        bodies = pc.utf8_slice_codeunits(distinct.dictionary, 0, -1).filter(stopped).to_pylist()
+        marks = pc.utf8_slice_codeunits(distinct.dictionary, -1).filter(stopped).to_pylist()
+        others = distinct.dictionary.filter(pc.invert(stopped)).to_pylist()
         recent, older = self.recent, self.older
-        missing = [w for w in found if w not in recent]
+        missing = [w for w in itertools.chain(others, bodies, ",.") if w not in recent]
         if len(recent) + len(missing) > CACHED_WORDS:
             older, recent = self.older, self.recent = recent, {}
-            missing = found
-        new, stopped = set(), []
-        for word in missing:
-            if word in older:
-                recent[word] = older[word]
-            elif word[-1:] in (",", ".") and word[:-1].isalpha():
-                stopped.append(word)  # the mark is a token of its own
-                new.add(word[:-1])
-                new.add(word[-1])
-            else:
-                new.add(word)
-        recent.update((w, older[w]) for w in new if w in older and w not in recent)
-        fresh = [w for w in new if w not in recent]
+            missing = [*others, *bodies, ",", "."]
+        fresh = [w for w in dict.fromkeys(missing) if w not in older]
+        if len(fresh) < len(missing):
+            recent.update((w, older[w]) for w in missing if w in older)
         recent.update(zip(fresh, self._encode(fresh)))
-        recent.update((w, recent[w[:-1]] + recent[w[-1]]) for w in stopped)
-        parts = list(map(recent.__getitem__, found))
+        parts = list(map(recent.__getitem__, others))
+        parts += [recent[body] + recent[mark] for body, mark in zip(bodies, marks)]
         for word in fresh:
             if len(word) > LONG_WORD:
                 del recent[word]
-        return spliced(parts, distinct.indices.to_numpy(), np.asarray(cut.offsets) - cut.offsets[0].as_py())
-
-    @staticmethod
-    def _lowered(text: str) -> str:
-        """Lower case where that saves work; special tokens are read before lower-casing."""
-        return text.lower() if (text.isascii() or not NOT_PLAIN.search(text)) and "<|" not in text else text
+        mask = np.asarray(stopped)
+        place = np.where(mask, len(others) + np.cumsum(mask) - 1, np.cumsum(~mask) - 1)
+        index = place[distinct.indices.to_numpy()]
+        return spliced(parts, index, np.asarray(cut.offsets) - cut.offsets[0].as_py())
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -199,6 +227,11 @@ def empty_bins(bins: list[list[int]], lengths: list[int], capacity: int, steps:
     return [b for b in bins if b]
 
 
+@functools.cache
+def _pairs(size: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(size, 1)
+
+
 def _best_step(giver, underfull, bins, fill, lengths, capacity):
     """(other bin, pieces given, pieces taken) that adds most to a bin at least as full, or None."""
     others = [n for n in underfull if n != giver and fill[n] >= fill[giver]]
@@ -233,7 +266,7 @@ def _best_step(giver, underfull, bins, fill, lengths, capacity):
         theirs = sorted(bins[n], key=lambda i: lengths[i])[:32]
         if len(theirs) < 2 or room[at] <= gain:
             continue
-        left, right = np.triu_indices(len(theirs), 1)
+        left, right = _pairs(len(theirs))
         small = np.array([lengths[i] for i in theirs])
         both = small[left] + small[right]
         for mine in own:
