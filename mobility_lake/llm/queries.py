@@ -18,6 +18,7 @@ from mobility_lake.llm import ngram_join as nj
 from mobility_lake.llm import packing
 from mobility_lake.llm import paragraph_sketch as ps
 from mobility_lake.llm import reply_trees as rt
+from mobility_lake.llm import suffix_dedup as sd
 from mobility_lake.llm import warc
 from mobility_lake.llm.common import ship, table, whole
 
@@ -310,3 +311,17 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's number of 5-word shingles and its component of near copies (Jaccard of 0.75 or more)."""
     return nj.near_duplicates(table(spark, sf, "documents"), words=5, percent=75)
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that start anywhere else as well."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["stop"] - s["start"])
+    return sd.remove_repeats(docs, length=400).select(
+        "doc_id",
+        F.octet_length(whole()).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
