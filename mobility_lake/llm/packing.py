@@ -19,7 +19,6 @@ the id and text columns are used, so other columns may have any name.
 from __future__ import annotations
 
 import functools
-import itertools
 import json
 import os
 import zlib
@@ -41,7 +40,7 @@ LONG_WORD = 256
 PLAIN_WORD = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
 STOPPED = r"^\pL+[,.]$"
 NOT_PLAIN = r"[^\x00-\x{12f}\x{131}-\x{24f}]|<\|"
-BATCH = 4 << 20  # bytes of text at a time
+BATCH = 12 << 20  # bytes of text at a time
 
 
 class WordTokenizer:
@@ -104,13 +103,14 @@ class WordTokenizer:
         marks = pc.utf8_slice_codeunits(distinct.dictionary, -1).filter(stopped).to_pylist()
         others = distinct.dictionary.filter(pc.invert(stopped)).to_pylist()
         recent, older = self.recent, self.older
-        missing = [w for w in itertools.chain(others, bodies, ",.") if w not in recent]
+        words = {*others, *bodies, ",", "."}
+        missing = words.difference(recent)
         if len(recent) + len(missing) > CACHED_WORDS:
             older, recent = self.older, self.recent = recent, {}
-            missing = [*others, *bodies, ",", "."]
-        fresh = [w for w in dict.fromkeys(missing) if w not in older]
-        if len(fresh) < len(missing):
-            recent.update((w, older[w]) for w in missing if w in older)
+            missing = words
+        if older:
+            recent.update([(w, older[w]) for w in missing.intersection(older)])
+        fresh = list(missing.difference(older))
         recent.update(zip(fresh, self._encode(fresh)))
         parts = list(map(recent.__getitem__, others))
         parts += [recent[body] + recent[mark] for body, mark in zip(bodies, marks)]
