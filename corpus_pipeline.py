@@ -1,4 +1,88 @@
-"""Placeholder."""
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""The corpus pipeline: language, near copies, repeated passages, packing.
+
+Each stage reads what the one before has written and works on all of it. The first three return
+documents with the columns they came with; the last returns packed token pieces.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from mobility_lake import session
+from mobility_lake.llm import language_mixture, ngram_join, packing, suffix_dedup
+from mobility_lake.llm.common import ship, written
+
+TOKENIZER = "word_bpe_49k.json"
+PASSAGE = 256  # bytes; about 40 words, so that a repeated passage of 50 is found whatever its words
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents in a learned language: those without a letter, or without text, go.
+
+    The languages are learned from the labels of the documents that came in. `lang` keeps its
+    label and is filled with the prediction where it was null.
+    """
+    ship(session.pin(spark))
+    columns = docs.columns
+    model = language_mixture.train(docs, F.lit(True))
+    found = language_mixture.predict(docs, model)
+    kept = found.filter(F.col("lang_pred") != language_mixture.UNKNOWN)
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies (five words, Jaccard of 0.75): its smallest id.
+
+    Documents without words are in no group and stay; of rows that share an id one stays, and so do rows without an id.
+    """
+    ship(session.pin(spark))
+    groups = ngram_join.near_duplicates(docs, words=5, percent=75)
+    first = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_first")).distinct()
+    kept = docs.join(first, F.col("doc_id") == F.col("_first")).drop("_first")
+    # A repeated id is one document; one of its rows stays.
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns))
+    once = kept.withColumn("_row", F.row_number().over(order)).filter(F.col("_row") == 1).drop("_row")
+    return once.unionByName(docs.filter("doc_id is null")).select(docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut out byte strings of `PASSAGE` or more that also start elsewhere; documents with nothing left go.
+
+    What is left of a character that was cut into goes as well. `n_chars` is counted anew.
+    """
+    ship(session.pin(spark))
+    removed = suffix_dedup.remove_repeats(docs, length=PASSAGE, as_text=True)
+    texts = removed.withColumn("text", F.col("kept")).filter("text <> ''")
+    if "n_chars" in docs.columns:
+        texts = texts.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return texts.select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences of at most 2,048."""
+    import public_tokenizers
+
+    ship(session.pin(spark))
+    pieces = packing.cut_documents(docs, public_tokenizers.path(TOKENIZER), capacity=2048, end_id=0)
+    return packing.pack(pieces, capacity=2048)
+
+
+STAGES = [
+    ("language", language),
+    ("near_copies", near_copies),
+    ("repeated_passages", repeated_passages),
+    ("packed", packed),
+]
+
+# Not SQL: a fitted model, a tree join, sorted suffixes and a search. The tests hold a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; each result is written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    name, stage = STAGES[-1]
+    return written(stage(spark, docs, sf_dir), f"pipeline-{name}")

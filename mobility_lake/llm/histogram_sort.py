@@ -12,7 +12,7 @@ table still spreads over its shards; smaller groups stay whole.
 
 Rows equal in both hashes cannot be told apart and stay together. Null groups and ids hash
 like any value. An empty table gives an empty result. Columns of the input pass through; the
-names `shard` and `slot` are replaced.
+names `shard` and `slot` and those that start with `_` are replaced.
 """
 
 from __future__ import annotations
@@ -137,6 +137,7 @@ def histogram_sort(
     through: no task handles a whole shard.
     """
     spark = rows.sparkSession
+    rows = rows.drop("shard", "slot", *(c for c in rows.columns if c.startswith("_")))
     keyed = rows.withColumns(
         {"_high": F.xxhash64(group), "_low": F.xxhash64(row_id), "_bytes": size.cast("long")}
     )

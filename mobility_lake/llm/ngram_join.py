@@ -171,6 +171,8 @@ def _order_of(described: DataFrame) -> np.ndarray:
 
     parts = described.filter("block is not null").select("block", "counts")
     summed = parts.repartition(1 << (COUNTERS - 14), "block").mapInArrow(add, "block int, counts binary").collect()
+    if not summed:  # a table without partitions
+        return np.zeros(1 << COUNTERS, np.uint8)
     counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(summed, key=lambda r: r["block"])])
     return np.ceil(np.log2(counts + 1.0)).astype(np.uint8)
 

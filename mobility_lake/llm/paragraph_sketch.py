@@ -156,9 +156,9 @@ def with_next(docs: DataFrame, key: str, values: dict[str, Column], tie: Column)
     bounds = f"array({', '.join(f'{c:.0f}L' for c in cuts)})" if cuts else "cast(array() as array<bigint>)"
     number = F.expr(
         f"aggregate(sequence({steps - 1}, 0, -1), 0, (lo, b) -> if(lo + shiftleft(1, b) <= {len(cuts)} "
-        f"and coalesce(get(cuts, lo + int(shiftleft(1, b)) - 1) <= {key}, false), lo + int(shiftleft(1, b)), lo))"
+        f"and coalesce(get(_cuts, lo + int(shiftleft(1, b)) - 1) <= {key}, false), lo + int(shiftleft(1, b)), lo))"
     )
-    placed = docs.withColumn("cuts", F.expr(bounds)).withColumn("_range", number).drop("cuts")
+    placed = docs.withColumn("_cuts", F.expr(bounds)).withColumn("_range", number).drop("_cuts")
     # One row per range: a number that follows from the session's partitions, not from the input.
     firsts = placed.groupBy("_range").agg(F.max(key).alias("first")).orderBy("_range").collect()
     above = {r["_range"]: firsts[(i + 1) % len(firsts)]["_range"] for i, r in enumerate(firsts)}

@@ -6,7 +6,7 @@ rounds; every round is written to the shared folder. Branches are ranked within
 mean score, and each chosen branch becomes one formatted conversation with a loss mask.
 
 Template, per turn: `<|role|>` line end, text, `<|end|>` line end. Inside roles and texts a
-backslash is doubled and `<|` becomes `<\\|`, so a control string in a text can neither open nor
+backslash is doubled, `<|` becomes `<\\|` and `|>` becomes `|\\>`, so a control string in a text can neither open nor
 close a turn and reading back gives the text exactly.
 
 Defined results: null texts and roles are empty; a null score is 0; null tree ids are one tree.
@@ -32,7 +32,7 @@ _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 
 def escape(text: str) -> str:
-    return text.replace("\\", "\\\\").replace(OPEN, "<\\|")
+    return text.replace("\\", "\\\\").replace("<|", "<\\|").replace("|>", "|\\>")
 
 
 def unescape(text: str) -> str:

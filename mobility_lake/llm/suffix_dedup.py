@@ -337,8 +337,9 @@ def _windows(length: int):
     return run, "id long, _text int, start long, d1 long, d2 long"
 
 
-def _remove(passed: list[str]):
+def _remove(passed: list[str], as_text: bool):
     """Merge the intervals of each document and cut them out."""
+    kind = pa.string() if as_text else pa.binary()
     names = [*passed, "spans", "kept"]
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
@@ -355,18 +356,23 @@ def _remove(passed: list[str]):
                     else:
                         merged.append(list(interval))
                 edges = [0, *(x for pair in merged for x in pair), len(text)]
-                kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])) if merged else text)
+                rest = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])) if merged else text
+                kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
                 spans.append([{"start": a, "stop": b} for a, b in merged])
             columns = [batch.column(c) for c in passed]
-            yield pa.record_batch([*columns, pa.array(spans, span), pa.array(kept, pa.binary())], names=names)
+            yield pa.record_batch([*columns, pa.array(spans, span), pa.array(kept, kind)], names=names)
 
     return run
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, most: int = 50_000
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, most: int = 50_000,
+    as_text: bool = False,
 ) -> DataFrame:
-    """`docs` with `spans`, the removed byte ranges, and `kept`, the remaining bytes."""
+    """`docs` with `spans`, the removed byte ranges, and `kept`, the remaining bytes.
+
+    `as_text` gives `kept` as a string, without the rests of characters that were cut into.
+    """
     spark = docs.sparkSession
     passed = [c for c in docs.columns if c not in ("spans", "kept") and not c.startswith("_")]
     number = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
@@ -385,19 +391,19 @@ def remove_repeats(
     dealt = around.filter("not many").repartitionByRange(pieces, lead)
     compared = dealt.mapInArrow(_compare(length), INTERVALS_SQL)
     intervals = settled.filter("key is null").select("id", "_text", "start", "stop").unionByName(compared)
-    windows = around.filter("many").mapInArrow(*_windows(length))
+    # A window may hold several anchors of one document; it counts once.
+    windows = around.filter("many").mapInArrow(*_windows(length)).distinct()
     # A suffix that stands for several counts as often; its own windows are settled anyway.
     twice = windows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     hit = windows.join(twice, ["d1", "d2"], "left_semi").select("id", "_text", "start", (F.col("start") + length).alias("stop"))
     found = intervals.unionByName(hit).groupBy("id", "_text").agg(F.collect_set(F.struct("start", "stop")).alias("_found"))
+    found = found.withColumnsRenamed({"id": "_of", "_text": "_of_text"})
 
     whole = docs.select(
         *passed, F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("_id"), number.alias("_number"), F.col(text).alias("_body")
     )
-    met = whole.join(found, (F.col("_id") == F.col("id")) & (F.col("_number") == F.col("_text")), "left")
+    met = whole.join(found, (F.col("_id") == F.col("_of")) & (F.col("_number") == F.col("_of_text")), "left")
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
     fields = [docs.schema[c] for c in passed]
-    schema = T.StructType([*fields, T.StructField("spans", span), T.StructField("kept", T.BinaryType())])
-    # Only `found`'s columns could clash with those of the input.
-    named = met.select(*(whole[c] for c in passed), "_body", "_found")
-    return named.mapInArrow(_remove(passed), schema)
+    schema = T.StructType([*fields, T.StructField("spans", span), T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
+    return met.select(*passed, "_body", "_found").mapInArrow(_remove(passed, as_text), schema)
