@@ -69,8 +69,13 @@ _HANDED: set[tuple[str, str]] = set()
 _SHIPPED: set[str] = set()
 
 
+# Arrow batches are cut at this many bytes, so that long texts do not add up in a worker.
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors of this application the library, as `--py-files` would."""
+    """Give the executors of this application the library, as `--py-files` would, and bound Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     application = spark.sparkContext.applicationId
     if application in _SHIPPED:
         return
