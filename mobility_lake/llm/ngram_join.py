@@ -26,6 +26,7 @@ texts one set counts, the smallest by size and digest; rows with a null id are l
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +44,8 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 ODD = 0x9E3779B97F4A7C15  # an odd multiplier and its inverse modulo 2**64
 INVERSE = pow(ODD, -1, 1 << 64)
 LETTERS = np.random.default_rng(20240601).integers(1, 1 << 64, 256, dtype=np.uint64)
-COUNTERS = 18  # bits: the sketch has this many counters, whatever the input
+COUNTERS = 22  # bits: the sketch has this many counters, whatever the input
+BLOCK = 1 << 16  # counters that travel together
 BATCH = 2 << 20  # bytes of text at a time
 
 
@@ -132,49 +134,58 @@ def _digests(keys: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
 
 def _describe(words: int):
     """Size and digest of every set, and this task's share of the sketch."""
-    block = 1 << 14
     schema = pa.schema(
         [("id", pa.int64()), ("size", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << COUNTERS, np.int64)
+        sketch = np.zeros(1 << COUNTERS, np.int32)
         for batch in by_bytes(batches, "text", BATCH):
             n = batch.num_rows
             keys, bounds = distinct_sets(*shingles(batch.column("text"), words), n)
-            sketch += np.bincount((keys >> np.uint64(64 - COUNTERS)).astype(np.int64), minlength=len(sketch))
+            at, times = np.unique((keys >> np.uint64(64 - COUNTERS)).astype(np.int32), return_counts=True)
+            sketch[at] += times.astype(np.int32)
             digests = _digests(keys, bounds)
             none = pa.nulls(n, pa.int32())
             yield pa.record_batch(
                 [batch.column("id"), pa.array(np.diff(bounds)), *map(pa.array, digests), none, pa.nulls(n, pa.binary())],
                 schema=schema,
             )
-        rows = [
-            {"block": i, "counts": sketch[i * block : (i + 1) * block].tobytes()} for i in range(len(sketch) // block)
-        ]
-        yield pa.RecordBatch.from_pylist(rows, schema)
+        if sketch.any():
+            blocks = sketch.reshape(-1, BLOCK)
+            rows = [{"block": i, "counts": zlib.compress(b.tobytes(), 1)} for i, b in enumerate(blocks)]
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
     return run, "id long, size long, d1 long, d2 long, block int, counts binary"
 
 
 def _order_of(described: DataFrame) -> np.ndarray:
-    """The class (about log2 of its documents) of every counter of the sketch, one byte each."""
+    """The class of every counter of the sketch, a byte each: 0 for what rare shingles add up to, then
+    one more for each doubling of the excess over that, in units of its spread."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                counts = np.frombuffer(counts, np.int64)
+            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
+                counts = np.frombuffer(zlib.decompress(counts.as_py()), np.int32).astype(np.int64)
                 total[block] = total[block] + counts if block in total else counts
-        rows = [{"block": b, "counts": c.tobytes()} for b, c in total.items()]
-        yield pa.RecordBatch.from_pylist(rows, pa.schema([("block", pa.int32()), ("counts", pa.binary())]))
+        schema = pa.schema([("block", pa.int32()), ("usual", pa.int64()), ("classes", pa.binary())])
+        rows = []
+        for block, counts in total.items():
+            # Most shingles are rare, so the median is what they add to a counter.
+            usual = float(np.median(counts))
+            excess = (counts - usual) / max(1.0, usual) ** 0.5
+            classes = np.where(excess > 2, 1 + np.floor(np.log2(np.maximum(excess, 2))), 0)
+            rows.append({"block": block, "usual": int(usual), "classes": classes.astype(np.uint8).tobytes()})
+        yield pa.RecordBatch.from_pylist(rows, schema)
 
     parts = described.filter("block is not null").select("block", "counts")
-    summed = parts.repartition(1 << (COUNTERS - 14), "block").mapInArrow(add, "block int, counts binary").collect()
-    if not summed:  # a table without partitions
-        return np.zeros(1 << COUNTERS, np.uint8)
-    counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(summed, key=lambda r: r["block"])])
-    return np.ceil(np.log2(counts + 1.0)).astype(np.uint8)
+    count = (1 << COUNTERS) // BLOCK
+    summed = parts.repartition(count, "block").mapInArrow(add, "block int, usual long, classes binary")
+    classes = np.zeros((count, BLOCK), np.uint8)
+    for row in summed.select("block", "classes").collect():  # a byte per counter
+        classes[row["block"]] = np.frombuffer(row["classes"], np.uint8)
+    return classes.ravel()
 
 
 def ordered(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -413,6 +424,8 @@ def _join_units(percent: int):
                 if unit != current:
                     yield flush()
                     current, ids, sets = unit, [], []
+                if ids and ids[-1] == number:
+                    continue
                 ids.append(number)
                 sets.append(np.frombuffer(keys.as_py(), np.uint64))
         yield flush()
@@ -427,10 +440,11 @@ def _sets(words: int, classes: np.ndarray):
             digests = _digests(*distinct_sets(owner, hashes, batch.num_rows))
             keys, bounds = distinct_sets(owner, ordered(hashes, classes), batch.num_rows)
             packed = [keys[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            columns = [batch.column("id"), pa.array(np.diff(bounds)), *map(pa.array, digests), pa.array(packed, pa.binary())]
-            yield pa.record_batch(columns, names=["id", "size", "d1", "d2", "keys"])
+            columns = [batch.column("unit"), batch.column("id"), pa.array(np.diff(bounds)), *map(pa.array, digests)]
+            columns.append(pa.array(packed, pa.binary()))
+            yield pa.record_batch(columns, names=["unit", "id", "size", "d1", "d2", "keys"])
 
-    return run, "id long, size long, d1 long, d2 long, keys binary"
+    return run, "unit string, id long, size long, d1 long, d2 long, keys binary"
 
 
 def _units(groups: DataFrame, unit_docs: int) -> DataFrame:
@@ -497,11 +511,11 @@ def near_duplicates(
         .select(F.col("classes").alias("members")).filter(F.size("members") > 1).distinct()
     )
     units = written(_units(groups, unit_docs), "units")
-    wanted = units.select("id").distinct()
-    found = rows.join(wanted, "id").mapInArrow(whole_sets, "id long, size long, d1 long, d2 long, keys binary")
-    found = found.groupBy("id").agg(F.min(F.struct("size", "d1", "d2", "keys"))["keys"].alias("keys"))
-    work = units.distinct().join(found, "id")
-    dealt = work.repartition(lanes(spark), "unit").sortWithinPartitions("unit", "id")
+    work = rows.join(units.distinct(), "id").select("unit", "id", "text").mapInArrow(
+        whole_sets, "unit string, id long, size long, d1 long, d2 long, keys binary"
+    )
+    # Rows of one id are neighbours, the set that counts first.
+    dealt = work.repartition(lanes(spark), "unit").sortWithinPartitions("unit", "id", "size", "d1", "d2")
     links = dealt.select("unit", "id", "keys").mapInArrow(*_join_units(percent))
     own = member.filter("class is not null and class <> id").select(F.col("id").alias("a"), F.col("class").alias("b"))
     reached = components(links.unionByName(own))
