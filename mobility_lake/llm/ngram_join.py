@@ -44,8 +44,8 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 ODD = 0x9E3779B97F4A7C15  # an odd multiplier and its inverse modulo 2**64
 INVERSE = pow(ODD, -1, 1 << 64)
 LETTERS = np.random.default_rng(20240601).integers(1, 1 << 64, 256, dtype=np.uint64)
-COUNTERS = 22  # bits: the sketch has this many counters, whatever the input
-BLOCK = 1 << 16  # counters that travel together
+COUNTERS = 24  # bits: the sketch has this many counters, whatever the input
+BLOCK = 1 << 18  # counters that travel together
 BATCH = 2 << 20  # bytes of text at a time
 
 
@@ -152,7 +152,8 @@ def _describe(words: int):
                 schema=schema,
             )
         if sketch.any():
-            blocks = sketch.reshape(-1, BLOCK)
+            # A task's share needs a byte: counts order shingles, they decide nothing.
+            blocks = np.minimum(sketch, 255).astype(np.uint8).reshape(-1, BLOCK)
             rows = [{"block": i, "counts": zlib.compress(b.tobytes(), 1)} for i, b in enumerate(blocks)]
             yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -167,7 +168,7 @@ def _order_of(described: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
-                counts = np.frombuffer(zlib.decompress(counts.as_py()), np.int32).astype(np.int64)
+                counts = np.frombuffer(zlib.decompress(counts.as_py()), np.uint8).astype(np.int64)
                 total[block] = total[block] + counts if block in total else counts
         schema = pa.schema([("block", pa.int32()), ("usual", pa.int64()), ("classes", pa.binary())])
         rows = []
@@ -490,7 +491,7 @@ def near_duplicates(
     same = sets.filter("size > 0").groupBy("size", "d1", "d2").agg(F.min("id").alias("class"))
     member = written(sets.join(same, ["size", "d1", "d2"], "left").select("id", "size", "class"), "members")
 
-    shared = spark.sparkContext.broadcast(classes)  # 2**18 bytes
+    shared = spark.sparkContext.broadcast(classes)  # a byte per counter
     pieces = lanes(spark)
 
     def prefixes(batches):
