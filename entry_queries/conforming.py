@@ -31,12 +31,23 @@ from mobility_lake.sources.broker import record_envelope
 
 @query(
     "record_envelope",
-    """select ts as broker_ts, 'trips' as topic, cast(event_id % 8 as integer) as "partition",
-    event_id as "offset", cast(event_id as varchar) as key from events""",
+    with_views(
+        """select ts as broker_ts, 'trips' as topic, cast(event_id % 8 as integer) as "partition",
+        event_id as "offset", cast(event_id as varchar) as key,
+        case when k <> 99 then event_type end as status,
+        case when k <> 99 then ts_text end as time_text, k <> 99 as is_json from read""",
+        "read",
+    ),
 )
 def envelope(spark, sf):
-    """The value is compared by the queries that parse it; the ingest time is not comparable."""
-    return record_envelope(v.trip_records(spark, sf)).drop("value", "ingest_ts")
+    """The value is compared by fields of its JSON; the ingest time is not comparable."""
+    records = record_envelope(v.trip_records(spark, sf))
+    fields = {
+        "status": F.get_json_object("value", "$.status"),
+        "time_text": F.get_json_object("value", "$.ts_evento"),
+        "is_json": F.get_json_object("value", "$").isNotNull(),
+    }
+    return records.withColumns(fields).drop("value", "ingest_ts")
 
 
 _PRICE = "case when k >= 5 and k <> 99 then value end"
@@ -403,8 +414,7 @@ def _silver(feed: str):
         good = q.accepted(MARK[feed](BRONZE[feed](v.RECORDS[feed](spark, sf))))
         plan = FEEDS[feed]
         kept = dedup_events(good, plan.dedup_keys, plan.dedup_order) if plan.dedup_keys else good
-        stamps = ("ingest_ts", "silver_process_ts", "partition", "offset", "broker_ts")
-        return kept.drop(*stamps)
+        return kept.drop("ingest_ts", "silver_process_ts")
 
     return build
 
@@ -475,6 +485,7 @@ query(
         cast(null as timestamp) as collected_ts, event_type as status,
         cast(null as varchar) as error_message,
         case when k % 10 <> 0 then value end as congestion_ratio, 'traffic' as topic,
+        cast(event_id % 8 as integer) as "partition", event_id as "offset", ts as broker_ts,
         cast(text_ts as date) as event_date, cast(hour(text_ts) as integer) as event_hour
         from read where k <> 99 and k <> 7 and text_ts is not null""",
         "read",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from entry_queries import views as v
@@ -10,7 +12,18 @@ from entry_queries.views import with_views
 from mobility_lake import contracts
 from mobility_lake.operators.conform import pick_spellings
 from mobility_lake.operators.dedup import dedup_events
-from mobility_lake.operators.rollup import RollupSpec, approx, count_if, distinct, rollup, rows
+from mobility_lake.operators.rollup import (
+    RollupSpec,
+    approx,
+    count_if,
+    distinct,
+    mean,
+    rollup,
+    rollup_merge,
+    rollup_partial,
+    rows,
+    total,
+)
 from mobility_lake.plans import gold
 
 
@@ -72,10 +85,29 @@ _MOBILITY = f"""select event_date, event_hour, state, city, neighbourhood, vehic
     group by event_date, event_hour, state, city, neighbourhood, vehicle_type"""
 
 
-@query("rollup_gps_mobility", with_views(_MOBILITY.format(distinct=""), "gps"))
+def _bounded(df, spec, name, column):
+    """The rollup with its estimate `name` replaced by the exact count and whether they agree.
+
+    Within three standard errors of 5 %, and one more for the smallest groups.
+    """
+    both = replace(spec, measures=(*spec.measures, distinct("_exact", column)))
+    near = F.abs(F.col(name) - F.col("_exact")) <= 0.15 * F.col("_exact") + 1
+    rolled = rollup(df, both).withColumn("within_bound", near)
+    return rolled.withColumn(name, F.col("_exact")).drop("_exact")
+
+
+@query(
+    "rollup_gps_mobility",
+    with_views(
+        _MOBILITY.format(
+            distinct="count(distinct vehicle_id) as distinct_vehicles, true as within_bound,"
+        ),
+        "gps",
+    ),
+)
 def rollup_gps_mobility(spark, sf):
-    """As coded; the approximate vehicle count is projected away for the comparison."""
-    return rollup(v.gps(spark, sf), gold.GPS_MOBILITY_HOURLY).drop("distinct_vehicles")
+    """As coded, with an approximate vehicle count that is held against the exact one."""
+    return _bounded(v.gps(spark, sf), gold.GPS_MOBILITY_HOURLY, "distinct_vehicles", "vehicle_id")
 
 
 @query(
@@ -98,11 +130,19 @@ _CONDITION = """select event_date, event_hour, state, city, condition,
     group by event_date, event_hour, state, city, condition"""
 
 
-@query("rollup_weather_condition", with_views(_CONDITION.format(distinct=""), "weather"))
+@query(
+    "rollup_weather_condition",
+    with_views(
+        _CONDITION.format(
+            distinct=", count(distinct source) as distinct_sources, true as within_bound"
+        ),
+        "weather",
+    ),
+)
 def rollup_weather_condition(spark, sf):
-    """As coded; the approximate source count is projected away for the comparison."""
-    rolled = rollup(v.weather(spark, sf), gold.WEATHER_CONDITION_HOURLY)
-    return rolled.drop("distinct_sources")
+    """As coded, with an approximate source count that is held against the exact one."""
+    weather = v.weather(spark, sf)
+    return _bounded(weather, gold.WEATHER_CONDITION_HOURLY, "distinct_sources", "source")
 
 
 @query(
@@ -212,3 +252,45 @@ def dedup_id_ts(spark, sf):
 @query("dedup_id", _first_of("event_id"))
 def dedup_id(spark, sf):
     return dedup_events(v.duplicated(spark, sf), ("event_id",), order=("ingest_ts", "offset"))
+
+
+# Ordinary values next to ones far beyond a long of millionths, and far below a millionth.
+_WIDE_SQL = """case event_id % 5 when 0 then cast(value as decimal(38,9)) when 1 then 10000000000000
+    when 2 then 0.0000004 when 3 then -2500000000000 else 4000000000000 end"""
+_WIDE = RollupSpec(
+    "wide",
+    ("event_type",),
+    (rows("records"), mean("mean_value", "wide", scale=9), total("total_value", "wide", scale=9)),
+)
+_WIDE_ORACLE = with_views(
+    f"""select event_type, count(*) as records, cast(sum({_WIDE_SQL}) as double)
+        / count({_WIDE_SQL}) as mean_value, cast(sum({_WIDE_SQL}) as double) as total_value
+    from ev group by event_type""",
+    "ev",
+)
+
+
+def _wide(spark, sf):
+    turn = F.col("event_id") % 5
+    wide = (
+        F.when(turn == 0, F.col("value"))
+        .when(turn == 1, 1e13)
+        .when(turn == 2, 4e-7)
+        .when(turn == 3, -2.5e12)
+        .otherwise(4e12)
+    )
+    return v.events(spark, sf).withColumn("wide", wide)
+
+
+@query("agg_wide_values", _WIDE_ORACLE)
+def agg_wide_values(spark, sf):
+    """Exact totals and means of values of any size and sign."""
+    return rollup(_wide(spark, sf), _WIDE)
+
+
+@query("agg_wide_values_merged", _WIDE_ORACLE)
+def agg_wide_values_merged(spark, sf):
+    """The same from mergeable partial rows, one for each remainder of the event id."""
+    by_part = replace(_WIDE, keys=("event_type", "part"))
+    rows_by_part = _wide(spark, sf).withColumn("part", F.col("event_id") % 7)
+    return rollup_merge(rollup_partial(rows_by_part, by_part), _WIDE)

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Doubles are summed as whole millionths in a long: exact, independent of task order
-# (a replay or a merge of partials gives the same bits) and several times cheaper than
-# decimals. A sum past 9.2e12 raises under ANSI instead of wrapping.
-UNITS_PER_ONE = 1_000_000.0
+# Doubles are summed as whole units of 10**-SCALE: exact, independent of task order (a replay
+# or a merge of partials gives the same bits). A unit is cut into three limbs, each summed in a
+# long that holds the limbs of 2**41 rows; what does not fit into a long is summed as a decimal,
+# and what does not fit into that as a double. Nothing overflows and nothing is left out.
+SCALE = 6
+_LIMB = 22
+_LONG = 2.0**62
+_DECIMAL = 1e28
+# Suffixes of the sums that make up one exact sum, in the order of `unit_sums`.
+PARTS = ("low", "mid", "high", "large", "huge")
 
 
 def json_pick(text: Column, path: str, dtype: str | None = None) -> Column:
@@ -27,36 +35,67 @@ def to_number(value: Column) -> Column:
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
-def to_units(value: Column) -> Column:
-    """Double to whole millionths; NULL when not finite or out of a long's range.
+def to_units(value: Column, scale: int = SCALE) -> Column:
+    """Double to whole units, as a double; NULL when not finite.
 
     Ties go away from zero, as a warehouse's fixed-point columns round them (`rint`
     alone would take the even neighbour).
     """
-    scaled = value.cast("double") * UNITS_PER_ONE
+    number = value.cast("double")
+    scaled = number * float(10**scale)
     nearest, sign = F.rint(scaled), F.signum(scaled)
     is_low_tie = (scaled - nearest) * sign == 0.5
-    return F.when(is_low_tie, nearest + sign).otherwise(nearest).try_cast("bigint")
-
-
-def units_total(value: Column) -> Column:
-    """Aggregate: exact sum of a double column, in millionths."""
-    return F.sum(to_units(value))
-
-
-def exact_total(value: Column) -> Column:
+    rounded = F.when(is_low_tie, nearest + sign).otherwise(nearest)
+    return F.when(F.abs(number) < float("inf"), rounded)
+
+
+def unit_sums(value: Column, scale: int = SCALE) -> list[Column]:
+    """Aggregates: the sums that make up an exact sum, one for each of `PARTS`."""
+    units = to_units(value, scale)
+    size = F.abs(units)
+    whole = F.when(size < _LONG, units).cast("bigint")
+    mask = F.lit((1 << _LIMB) - 1)
+    return [
+        F.sum(whole.bitwiseAND(mask)),
+        F.sum(F.shiftright(whole, _LIMB).bitwiseAND(mask)),
+        F.sum(F.shiftright(whole, 2 * _LIMB)),
+        F.sum(F.when(size.between(_LONG, _DECIMAL), units).cast("decimal(38,0)")),
+        F.sum(F.when(size > _DECIMAL, value.cast("double"))),
+    ]
+
+
+def finished_total(parts: list[Column], scale: int = SCALE) -> Column:
+    """The sum that the parts make up; NULL when all of them are."""
+    low, mid, high, large, huge = parts
+    one, zero = 10**scale, F.lit(0).cast("decimal(38,0)")
+
+    def limb(part: Column, bits: int) -> Column:
+        return part.cast("decimal(38,0)") * F.lit(Decimal(1 << bits))
+
+    units = limb(high, 2 * _LIMB) + limb(mid, _LIMB) + low.cast("decimal(38,0)")
+    units = (F.coalesce(units, zero) + F.coalesce(large, zero)).cast("decimal(38,0)")
+    unit = F.lit(one).cast("decimal(38,0)")
+    # A double holds units up to 2**53; beyond that whole ones and the rest are rounded apart.
+    exact = F.call_function("div", units, unit).cast("double") + (units % unit).cast("double") / float(one)
+    is_split = F.abs(units).between(F.lit(Decimal(1 << 53)), F.lit(Decimal(9 * 10**18 * one)))
+    total = F.when(is_split, exact).otherwise(units.cast("double") / float(one))
+    total = total + F.coalesce(huge, F.lit(0.0))
+    return F.when(F.coalesce(low.cast("double"), large.cast("double"), huge).isNotNull(), total)
+
+
+def exact_total(value: Column, scale: int = SCALE) -> Column:
     """Aggregate: sum of a double column."""
-    return units_total(value) / F.lit(UNITS_PER_ONE)
+    return finished_total(unit_sums(value, scale), scale)
 
 
 def units_count(value: Column) -> Column:
-    """Aggregate: how many values entered `units_total`."""
-    return F.count(to_units(value))
+    """Aggregate: how many values entered the sum."""
+    return F.count(F.when(F.abs(value.cast("double")) < float("inf"), F.lit(1)))
 
 
-def exact_mean(value: Column) -> Column:
+def exact_mean(value: Column, scale: int = SCALE) -> Column:
     """Aggregate: mean of a double column; NULL for a group without values."""
-    return exact_total(value) / F.nullif(units_count(value), F.lit(0))
+    return exact_total(value, scale) / F.nullif(units_count(value), F.lit(0))
 
 
 def clean_label(label: Column) -> Column:

@@ -3,8 +3,8 @@
 Plan notes. Plain measures aggregate map-side, so a hot hour or city costs one partial
 row per task. Exact distinct counts are Spark's own two-phase plan: the first shuffle is
 on (keys, id), which spreads a hot group over all tasks, the second carries counts only.
-Sums run over whole millionths in a long (see `functions.values`), so any split of the
-input - tasks, micro-batches, partials - gives the same bits.
+Sums run over whole units in limbs (see `functions.values`), so any split of the input -
+tasks, micro-batches, partials - gives the same bits.
 """
 
 from __future__ import annotations
@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mobility_lake.functions.values import (
-    UNITS_PER_ONE,
+    PARTS,
+    SCALE,
     exact_mean,
     exact_total,
+    finished_total,
+    unit_sums,
     units_count,
-    units_total,
 )
 from mobility_lake.operators.conform import ensure_columns
 from mobility_lake.operators.quality import require_all
@@ -39,20 +41,32 @@ _RESULT_TYPE = {
 
 @dataclass(frozen=True)
 class Measure:
-    """One output column of a rollup."""
+    """One output column of a rollup.
+
+    `scale` is the number of decimals that totals and means are summed to. `dtype` is the type of
+    a missing optional column, for kinds that return the column's own type.
+    """
 
     name: str
     kind: str
     column: str | None = None
     predicate: str | None = None
     optional: bool = False
+    scale: int = SCALE
+    dtype: str | None = None
+
+    def _is_absent(self, present: set[str]) -> bool:
+        if self.column is None or self.column in present:
+            return False
+        if not self.optional:
+            raise ValueError(f"measure {self.name!r} needs column {self.column!r}")
+        return True
 
     def full(self, present: set[str]) -> Column:
         """The finished aggregate; a typed NULL when an optional column is missing."""
-        if self.column is not None and self.column not in present:
-            if not self.optional:
-                raise ValueError(f"measure {self.name!r} needs column {self.column!r}")
-            return F.max(F.lit(None).cast(_RESULT_TYPE[self.kind])).alias(self.name)
+        if self._is_absent(present):
+            dtype = self.dtype or _RESULT_TYPE[self.kind]
+            return F.max(F.lit(None).cast(dtype)).alias(self.name)
         return self._aggregate().alias(self.name)
 
     def _aggregate(self) -> Column:
@@ -61,27 +75,32 @@ class Measure:
         if self.kind == "count_if":
             return F.count_if(F.expr(self.predicate))
         column = F.col(self.column)
+        if self.kind in ("mean", "total"):
+            return (exact_mean if self.kind == "mean" else exact_total)(column, self.scale)
         return {
             "distinct": F.count_distinct,
             "approx": F.approx_count_distinct,
-            "mean": exact_mean,
-            "total": exact_total,
             "min": F.min,
             "max": F.max,
             "latest": F.max,
         }[self.kind](column)
 
-    def partial(self) -> list[Column]:
-        """Mergeable state columns."""
-        if self.kind in ("rows", "count_if", "min", "max", "latest"):
+    def partial(self, present: set[str]) -> list[Column]:
+        """Mergeable state columns; NULL states when an optional column is missing."""
+        if self.kind in ("rows", "count_if"):
             return [self._aggregate().alias(self.name)]
-        column = F.col(self.column)
+        absent = self._is_absent(present)
+        if self.kind in ("min", "max", "latest"):
+            return [self.full(present)]
+        # An absent column is a column of NULLs, whose states merge like any other.
+        column = F.lit(None).cast("double") if absent else F.col(self.column)
         if self.kind in ("distinct", "approx"):
-            return [F.hll_sketch_agg(column.cast("string")).alias(f"{self.name}__hll")]
-        units = units_total(column).alias(f"{self.name}__units")
-        if self.kind == "total":
-            return [units]
-        return [units, units_count(column).alias(f"{self.name}__n")]
+            sketch = F.hll_sketch_agg(column.cast("string"))
+            seen = F.max(F.lit(not absent))
+            return [sketch.alias(f"{self.name}__hll"), seen.alias(f"{self.name}__seen")]
+        sums = unit_sums(column, self.scale)
+        states = [part.alias(f"{self.name}__{suffix}") for part, suffix in zip(sums, PARTS)]
+        return [*states, units_count(column).alias(f"{self.name}__n")]
 
     def merged(self) -> Column:
         """The finished value over partial rows."""
@@ -92,13 +111,28 @@ class Measure:
         elif self.kind in ("max", "latest"):
             merged = F.max(self.name)
         elif self.kind in ("distinct", "approx"):
-            merged = F.hll_sketch_estimate(F.hll_union_agg(f"{self.name}__hll"))
+            estimate = F.hll_sketch_estimate(F.hll_union_agg(f"{self.name}__hll"))
+            merged = F.when(F.max(f"{self.name}__seen"), estimate)
         else:
-            merged = F.sum(f"{self.name}__units") / F.lit(UNITS_PER_ONE)
+            merged = finished_total([F.sum(f"{self.name}__{part}") for part in PARTS], self.scale)
             if self.kind == "mean":
                 merged = merged / F.nullif(F.sum(f"{self.name}__n"), F.lit(0))
         return merged.alias(self.name)
 
+    def combined(self) -> list[Column]:
+        """The state of several partial rows as one: what compaction keeps."""
+        if self.kind in ("rows", "count_if"):
+            return [F.sum(self.name).alias(self.name)]
+        if self.kind == "min":
+            return [F.min(self.name).alias(self.name)]
+        if self.kind in ("max", "latest"):
+            return [F.max(self.name).alias(self.name)]
+        if self.kind in ("distinct", "approx"):
+            states = [F.hll_union_agg(f"{self.name}__hll").alias(f"{self.name}__hll")]
+            return [*states, F.max(f"{self.name}__seen").alias(f"{self.name}__seen")]
+        suffixes = (*PARTS, "n")
+        return [F.sum(f"{self.name}__{x}").alias(f"{self.name}__{x}") for x in suffixes]
+
 
 def rows(name: str) -> Measure:
     """Row count."""
@@ -115,20 +149,20 @@ def approx(name: str, column: str, optional: bool = False) -> Measure:
     return Measure(name, "approx", column, optional=optional)
 
 
-def mean(name: str, column: str, optional: bool = False) -> Measure:
-    return Measure(name, "mean", column, optional=optional)
+def mean(name: str, column: str, optional: bool = False, scale: int = SCALE) -> Measure:
+    return Measure(name, "mean", column, optional=optional, scale=scale)
 
 
-def total(name: str, column: str, optional: bool = False) -> Measure:
-    return Measure(name, "total", column, optional=optional)
+def total(name: str, column: str, optional: bool = False, scale: int = SCALE) -> Measure:
+    return Measure(name, "total", column, optional=optional, scale=scale)
 
 
-def low(name: str, column: str, optional: bool = False) -> Measure:
-    return Measure(name, "min", column, optional=optional)
+def low(name: str, column: str, optional: bool = False, dtype: str | None = None) -> Measure:
+    return Measure(name, "min", column, optional=optional, dtype=dtype)
 
 
-def high(name: str, column: str, optional: bool = False) -> Measure:
-    return Measure(name, "max", column, optional=optional)
+def high(name: str, column: str, optional: bool = False, dtype: str | None = None) -> Measure:
+    return Measure(name, "max", column, optional=optional, dtype=dtype)
 
 
 def count_if(name: str, predicate: str) -> Measure:
@@ -178,8 +212,16 @@ def rollup(df: DataFrame, spec: RollupSpec) -> DataFrame:
 
 def rollup_partial(df: DataFrame, spec: RollupSpec) -> DataFrame:
     """Mergeable state per key; distinct counts become HLL sketches."""
-    states = [state for measure in spec.measures for state in measure.partial()]
-    return prepare(df, spec).groupBy(*spec.keys).agg(*states)
+    ready = prepare(df, spec)
+    present = set(ready.columns)
+    states = [state for measure in spec.measures for state in measure.partial(present)]
+    return ready.groupBy(*spec.keys).agg(*states)
+
+
+def rollup_combine(partials: DataFrame, spec: RollupSpec) -> DataFrame:
+    """Partial rows of one key as one partial row."""
+    states = [state for measure in spec.measures for state in measure.combined()]
+    return partials.groupBy(*spec.keys).agg(*states)
 
 
 def rollup_merge(partials: DataFrame, spec: RollupSpec) -> DataFrame:

@@ -29,12 +29,13 @@ def missing_hours(
 ) -> DataFrame:
     """Hours of the spine without an event, per key: (keys..., hour_ts).
 
-    The spine is folded into the aggregate, so there is one shuffle and no join: each
-    key keeps the set of hours it was seen in, map-side first. That set is bounded by
-    the length of the spine, however many events a key has.
+    The spine is folded into the aggregate, so there is no join: the distinct (key, hour)
+    pairs are found by a hash aggregate, map-side first, and only they are collected. That set is
+    bounded by the length of the spine, however many events a key has.
     """
     hour = F.date_trunc("hour", F.col(event_ts))
     spine = _hours(start, end)
-    seen = F.collect_set(F.when(hour.between(spine[0], F.element_at(spine, -1)), hour))
-    gaps = df.groupBy(*keys).agg(F.array_except(spine, seen).alias("_gaps"))
+    inside = F.when(hour.between(spine[0], F.element_at(spine, -1)), hour)
+    hours = df.select(*keys, inside.alias("_hour")).distinct()
+    gaps = hours.groupBy(*keys).agg(F.array_except(spine, F.collect_set("_hour")).alias("_gaps"))
     return gaps.select(*keys, F.explode("_gaps").alias("hour_ts"))

@@ -76,7 +76,14 @@ def mark_trips(
     return _finish(rows, rules, "trips")
 
 
-def mark_gps(bronze: DataFrame) -> DataFrame:
+def _or_now(bronze: DataFrame, now_if_missing: bool) -> DataFrame:
+    """With a missing event time set to the processing time, where that is asked for."""
+    if not now_if_missing:
+        return bronze
+    return bronze.withColumn("event_ts", F.coalesce("event_ts", F.current_timestamp()))
+
+
+def mark_gps(bronze: DataFrame, now_if_missing: bool = False) -> DataFrame:
     """GPS signals; a signal needs an event time and a vehicle or a city."""
     names = {wire: name for name, wire in contracts.WIRE_NAMES["silver.gps"].items()}
     df = rename_if_absent(
@@ -87,7 +94,7 @@ def mark_gps(bronze: DataFrame) -> DataFrame:
         for field in contracts.SILVER["gps"]
         if field.name not in ("silver_process_ts", "event_date", "event_hour")
     }
-    rows = with_event_calendar(ensure_columns(df, wanted))
+    rows = with_event_calendar(_or_now(ensure_columns(df, wanted), now_if_missing))
     rules = {
         "no event time": missing("event_ts"),
         "no vehicle and no city": missing_every("vehicle_id", "city"),
@@ -95,9 +102,9 @@ def mark_gps(bronze: DataFrame) -> DataFrame:
     return _finish(rows, rules, "gps")
 
 
-def mark_weather(bronze: DataFrame) -> DataFrame:
+def mark_weather(bronze: DataFrame, now_if_missing: bool = False) -> DataFrame:
     """Weather observations; the weather field is a word or an object with measures."""
-    parsed = with_weather_object(bronze, "weather", contracts.WEATHER_OBJECT)
+    parsed = with_weather_object(_or_now(bronze, now_if_missing), "weather", contracts.WEATHER_OBJECT)
     inner = F.col(WEATHER_OBJECT)
     rows = with_event_calendar(
         parsed.withColumns(
@@ -117,9 +124,9 @@ def mark_weather(bronze: DataFrame) -> DataFrame:
     return _finish(rows, rules, "weather")
 
 
-def mark_traffic(bronze: DataFrame) -> DataFrame:
+def mark_traffic(bronze: DataFrame, now_if_missing: bool = False) -> DataFrame:
     """Traffic observations from the payload, parsed once."""
-    parsed = pick_fields(bronze, contracts.TRAFFIC_FIELDS)
+    parsed = pick_fields(_or_now(bronze, now_if_missing), contracts.TRAFFIC_FIELDS)
 
     def text(name):
         return F.col(JSON_FIELD + name)

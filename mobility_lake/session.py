@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -59,12 +58,13 @@ def pin(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder for a written intermediate, visible to every executor.
 
-    The cluster names the place in `spark.checkpoint.dir`. Only a local session
-    without that setting gets a temporary folder of its own.
+    The cluster names the place in `spark.checkpoint.dir`. A session that runs in one process
+    and does not name one uses its warehouse, which every part of it sees.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="mobility-lake-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
     return f"{base.rstrip('/')}/mobility_lake/{label}-{uuid.uuid4().hex}"

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from mobility_lake.contracts import REGIONS
 from mobility_lake.operators.quality import missing, split_rejects
 
@@ -11,10 +14,25 @@ from mobility_lake.operators.quality import missing, split_rejects
 def load_regions(
     spark: SparkSession, path: str, array: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid regions, rejects). A region needs all of its five fields.
+    """(valid regions, rejects). A region needs all of its five fields and an id of its own.
 
+    Of regions that share an id the first by city, label and place stays, the others are rejected as
+    repeated, so a join on the id never multiplies observations.
     `array=True` reads one JSON array per file; a file is then read by one task, which
     suits a hand-kept list. `array=False` reads one object per line and splits freely.
     """
     regions = spark.read.schema(REGIONS).option("multiLine", array).json(path)
-    return split_rejects(regions, {"incomplete": missing(*REGIONS.names)})
+    return valid_regions(regions)
+
+
+def valid_regions(regions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid regions, rejects) of a frame with the region fields."""
+    incomplete = missing(*REGIONS.names)
+    # Complete rows come first, so an incomplete one never takes the place of another.
+    order = Window.partitionBy("region_id").orderBy(
+        incomplete, *[name for name in REGIONS.names if name != "region_id"]
+    )
+    numbered = regions.withColumn("_nth", F.row_number().over(order))
+    rules = {"incomplete": incomplete, "repeated id": F.col("_nth") > 1}
+    good, bad = split_rejects(numbered, rules)
+    return good.drop("_nth"), bad.drop("_nth")

@@ -79,7 +79,8 @@ def test_units_are_exact_and_never_wrap(spark):
     value = F.col("t").cast("double")
     assert one(spark, to_units(value), t="0.1") == 100_000
     assert one(spark, to_units(value), t="-179.6") == -179_600_000
-    assert one(spark, to_units(value), t="1e13") is None
+    assert one(spark, to_units(value), t="1e13") == 1e19
+    assert one(spark, to_units(value, 9), t="4e-7") == 400
     ties = {"0.0000005": 1, "0.0000015": 2, "-0.0000025": -3, "49.7107235": 49_710_724,
             "49.7107245": 49_710_725, "0.00000049999999": 0}
     for text, units in ties.items():

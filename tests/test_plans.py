@@ -6,7 +6,7 @@ import pytest
 from helpers import at
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from entry_queries.registry import QUERIES
 from entry_queries import views as v
 from mobility_lake import contracts
 from mobility_lake.operators.dedup import dedup_events
@@ -26,9 +26,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_pairing_joins_no_python_and_no_ranked_groups(spark, sf, name):
-    plan = plan_of(entry.queries()[name](spark, sf))
+    plan = plan_of(QUERIES[name](spark, sf))
     for operator in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "Arrow", "Window"):
         assert operator not in plan, operator
 
