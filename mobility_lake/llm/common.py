@@ -102,6 +102,19 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20
             start = stop
 
 
+def gathered(batches: Iterable[pa.RecordBatch], column: str, least: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches put together until a text column has `least` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if size >= least:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """A text column as Python strings, null read as empty."""
     return pc.fill_null(batch.column(column), "").to_pylist()

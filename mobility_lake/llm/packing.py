@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mobility_lake.llm.common import by_bytes, spliced, written
+from mobility_lake.llm.common import by_bytes, gathered, spliced, written
 from mobility_lake.llm.merges import Merges, byte_letters
 
 CACHED_WORDS = 200_000  # in each of two generations
@@ -40,7 +40,7 @@ LONG_WORD = 256
 PLAIN_WORD = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
 STOPPED = r"^\pL+[,.]$"
 NOT_PLAIN = r"[^\x00-\x{12f}\x{131}-\x{24f}]|<\|"
-BATCH = 12 << 20  # bytes of text at a time
+BATCH = 24 << 20  # bytes of text at a time
 
 
 class WordTokenizer:
@@ -146,7 +146,8 @@ def cut_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _tokenizer(path)
-        for batch in by_bytes(batches, text, BATCH):
+        # Large batches: each distinct word of one is looked up once.
+        for batch in by_bytes(gathered(batches, text, BATCH // 2), text, BATCH):
             owner, piece, start, length, crc, ids = [], [], [], [], [], []
             flat, ends = encode(batch.column(text))
             raw, ends = flat.tobytes(), (4 * ends).tolist()
