@@ -8,15 +8,19 @@
    shingle. Documents that meet at a shingle, and pass the bounds on length and on what is left
    behind the shingle, are a candidate group. Common shingles (boilerplate, quoted passages) come last
    in the order and stay out of most prefixes.
-3. Groups that overlap are gathered into work units of bounded size, each with the whole sets of
+3. Groups that overlap are gathered into work units of bounded size, first with a signature per document:
+   the parity of the shingles that fall on each of its bits. Two signatures that differ in d bits belong to sets
+   that differ in d shingles or more, so pairs that cannot reach the threshold are dropped
+   for certain, at a fortieth of the bytes of the sets.
+4. What is still connected makes the final units, each with the whole sets of
    its documents. A unit stores its sets in a prefix tree in the global order; a probe walks the tree level
    by level, adding up its overlap once per shared path, and drops every subtree whose overlap plus the
    shingles left (in the probe or below the node) cannot reach the threshold. A unit returns no
    more links than join its documents.
-4. Components of these links, extended to all members of the classes.
+5. Components of these links, extended to all members of the classes.
 
-A group of any size is worked whole: above `unit_docs` documents its blocks meet pairwise, each pair in a
-task of its own. All links between different components are found or implied, so components are exact.
+A group of any size is worked whole: above `screen_docs` (signatures) or `unit_docs` (sets) documents its blocks
+meet pairwise, each pair as a unit of its own. All links between different components are found or implied, so components are exact.
 
 Shingles are compared by 58-bit hashes. Null or empty texts, and texts without words, have no set
 and link with nothing. Ids are whole numbers; of a repeated id with different
@@ -132,10 +136,73 @@ def _digests(keys: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def signature(keys: np.ndarray) -> bytes:
+    """Parity bits of a set: twice as many as shingles or up to four times, a power of two."""
+    width = max(64, 1 << (2 * len(keys)).bit_length())
+    parity = np.bincount((keys & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+
+def screened(ids: list[int], sizes: np.ndarray, marks: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Edges that connect whatever documents may be connected by links, none of them needless."""
+    order = np.argsort(sizes, kind="stable")
+    sizes = sizes[order]
+    marks = [np.frombuffer(marks[i], np.uint64) for i in order]
+    widths = np.array([len(m) for m in marks])
+    # Of each width its own signatures, and those of the next one folded to it (parities add up).
+    tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero((widths == width) | (widths == 2 * width))
+        folded = [marks[i] if len(marks[i]) == width else marks[i][:width] ^ marks[i][width:] for i in rows]
+        tables[width] = (rows, np.stack(folded))
+    label = np.arange(len(order))
+    edges = []
+    for i in range(len(order)):
+        # Larger partners only, each pair once; a width never skips two steps within these sizes.
+        rows, table = tables[int(widths[i])]
+        begin = np.searchsorted(rows, i, side="right")
+        end = np.searchsorted(rows, np.searchsorted(sizes, 100 * sizes[i] // percent, side="right"))
+        if begin >= end:
+            continue
+        partners = rows[begin:end]
+        apart = np.bitwise_count(table[begin:end] ^ marks[i]).sum(axis=1).astype(np.int64)
+        most = (sizes[i] + sizes[partners] - apart) // 2
+        may = partners[most >= _needed(sizes[i] + np.zeros(len(partners), np.int64), sizes[partners], percent)]
+        for other in np.unique(label[may]).tolist():
+            if other != label[i]:
+                edges.append((ids[order[i]], ids[order[int(may[label[may] == other][0])]]))
+                label[label == other] = label[i]
+    return edges
+
+
+def _screen_units(percent: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, ids, sizes, marks = None, [], [], []
+
+        def flush():
+            found = screened(ids, np.array(sizes, np.int64), marks, percent) if len(ids) > 1 else []
+            return pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], schema)
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("unit", "id", "size", "bits"))):
+                if row[0] != current:
+                    yield flush()
+                    current, ids, sizes, marks = row[0], [], [], []
+                ids.append(row[1])
+                sizes.append(row[2])
+                marks.append(row[3])
+        yield flush()
+
+    return run, "a long, b long"
+
+
 def _describe(words: int):
     """Size and digest of every set, and this task's share of the sketch."""
     schema = pa.schema(
-        [("id", pa.int64()), ("size", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())]
+        [("id", pa.int64()), ("size", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bits", pa.binary())]
+        + [("block", pa.int32()), ("counts", pa.binary())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,18 +213,16 @@ def _describe(words: int):
             at, times = np.unique((keys >> np.uint64(64 - COUNTERS)).astype(np.int32), return_counts=True)
             sketch[at] += times.astype(np.int32)
             digests = _digests(keys, bounds)
-            none = pa.nulls(n, pa.int32())
-            yield pa.record_batch(
-                [batch.column("id"), pa.array(np.diff(bounds)), *map(pa.array, digests), none, pa.nulls(n, pa.binary())],
-                schema=schema,
-            )
+            marks = [signature(keys[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            columns = [batch.column("id"), pa.array(np.diff(bounds)), *map(pa.array, digests), pa.array(marks, pa.binary())]
+            yield pa.record_batch([*columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
         if sketch.any():
             # A task's share needs a byte: counts order shingles, they decide nothing.
             blocks = np.minimum(sketch, 255).astype(np.uint8).reshape(-1, BLOCK)
             rows = [{"block": i, "counts": zlib.compress(b.tobytes(), 1)} for i, b in enumerate(blocks)]
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return run, "id long, size long, d1 long, d2 long, block int, counts binary"
+    return run, "id long, size long, d1 long, d2 long, bits binary, block int, counts binary"
 
 
 def _order_of(described: DataFrame) -> np.ndarray:
@@ -478,8 +543,18 @@ def _units(groups: DataFrame, unit_docs: int) -> DataFrame:
     return small.union(other.select("id", unit.alias("unit")))
 
 
+def _blocks(clusters: DataFrame, unit_docs: int) -> DataFrame:
+    """(id, unit) of final units: a cluster, or any two blocks of a cluster that is larger than `unit_docs`."""
+    sizes = clusters.groupBy("component").agg(F.ceil(F.count("node") / F.lit(unit_docs)).cast("int").alias("blocks"))
+    block = clusters.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = block.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    names = [F.col("component"), F.least("block", "other"), F.greatest("block", "other")]
+    return other.select(F.col("node").alias("id"), F.concat_ws("-", *(n.cast("string") for n in names)).alias("unit"))
+
+
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, unit_docs: int = 2048
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, unit_docs: int = 2048,
+    screen_docs: int = 8192,
 ) -> DataFrame:
     """(id column, `n_shingles`, `component_id`) for every row with an id: the smallest id reachable by links."""
     spark = docs.sparkSession
@@ -487,6 +562,7 @@ def near_duplicates(
     described = written(rows.mapInArrow(*_describe(words)), "described")
     classes = _order_of(described)
     given = described.filter("block is null").select("id", "size", "d1", "d2")
+    marked = described.filter("block is null").select("id", "size", "d1", "d2", "bits")
     sets = given.groupBy("id").agg(F.min(F.struct("size", "d1", "d2")).alias("s")).select("id", "s.*")
     same = sets.filter("size > 0").groupBy("size", "d1", "d2").agg(F.min("id").alias("class"))
     member = written(sets.join(same, ["size", "d1", "d2"], "left").select("id", "size", "class"), "members")
@@ -511,8 +587,12 @@ def near_duplicates(
         named.groupBy("members").agg(F.array_sort(F.collect_set("class")).alias("classes"))
         .select(F.col("classes").alias("members")).filter(F.size("members") > 1).distinct()
     )
-    units = written(_units(groups, unit_docs), "units")
-    work = rows.join(units.distinct(), "id").select("unit", "id", "text").mapInArrow(
+    screens = _units(groups, screen_docs).distinct()
+    signs = screens.join(marked, "id").groupBy("unit", "id").agg(F.min(F.struct("size", "d1", "d2", "bits")).alias("s"))
+    dealt = signs.select("unit", "id", "s.size", "s.bits").repartition(lanes(spark), "unit")
+    edges = dealt.sortWithinPartitions("unit", "id").mapInArrow(*_screen_units(percent))
+    units = written(_blocks(components(edges), unit_docs), "units")
+    work = rows.join(units, "id").select("unit", "id", "text").mapInArrow(
         whole_sets, "unit string, id long, size long, d1 long, d2 long, keys binary"
     )
     # Rows of one id are neighbours, the set that counts first.

@@ -31,12 +31,12 @@ def run(docs, **options):
     return sorted(tuple(r) for r in nj.near_duplicates(docs, **options).collect())
 
 
-@pytest.mark.parametrize("unit_docs", [2048, 6])
-def test_equals_all_pairs(spark, unit_docs):
-    texts = corpus(unit_docs)
+@pytest.mark.parametrize("unit_docs,screen_docs", [(2048, 8192), (6, 8192), (6, 5)])
+def test_equals_all_pairs(spark, unit_docs, screen_docs):
+    texts = corpus(unit_docs + screen_docs)
     ids = [3 * i + 1 for i in range(len(texts))]
     docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(5)
-    assert run(docs, unit_docs=unit_docs) == brute.near_components(ids, texts)
+    assert run(docs, unit_docs=unit_docs, screen_docs=screen_docs) == brute.near_components(ids, texts)
 
 
 def test_odd_rows(documents, clashing, nothing):
@@ -65,3 +65,24 @@ def test_components_of_a_long_chain(spark):
     found = {r["node"]: r["component"] for r in components(links).collect()}
     assert found == {**{i: 0 for i in range(201)}, 999: 999, 1000: 999}
     assert components(links.filter("a < 0")).collect() == []
+
+
+def test_screen_keeps_every_linked_pair_connected():
+    rng = np.random.default_rng(7)
+    sets = []
+    for _ in range(40):
+        base = rng.integers(0, 1 << 60, rng.integers(1, 400)).astype(np.uint64)
+        sets.append(np.unique(base))
+        for _ in range(3):
+            keep = rng.random(len(base)) > 0.1
+            sets.append(np.unique(np.concatenate([base[keep], rng.integers(0, 1 << 60, 3).astype(np.uint64)])))
+    sizes = np.array([len(s) for s in sets])
+    edges = nj.screened(list(range(len(sets))), sizes, [nj.signature(s) for s in sets], 75)
+    top = list(range(len(sets)))
+    for a, b in edges:
+        top = [min(top[a], top[b]) if t in (top[a], top[b]) else t for t in top]
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j])):
+                assert top[i] == top[j]
+    assert len(edges) < len(sets) - 20
