@@ -552,6 +552,23 @@ def _blocks(clusters: DataFrame, unit_docs: int) -> DataFrame:
     return other.select(F.col("node").alias("id"), F.concat_ws("-", *(n.cast("string") for n in names)).alias("unit"))
 
 
+FILTER = 23  # bits of the row filter, as a power of two
+
+
+def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`rows` whose id hashes to a bit that some wanted id hashes to, before their texts are shuffled.
+
+    The bits are a table of at most 2**17 rows whatever the number of ids, so it is broadcast; the more ids are
+    wanted the fewer rows it drops, and the join behind it decides.
+    """
+    bit = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER)).cast("int")
+    bits = wanted.select(bit.alias("bit")).groupBy(F.expr("int(bit div 64)").alias("_word"))
+    words = bits.agg(F.bit_or(F.expr("shiftleft(1L, bit % 64)")).alias("_bits"))
+    marked = rows.withColumn("_bit", bit).withColumn("_word", F.expr("int(_bit div 64)"))
+    near = marked.join(F.broadcast(words), "_word").filter("shiftrightunsigned(_bits, _bit % 64) & 1 = 1")
+    return near.select(rows.columns)
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, unit_docs: int = 2048,
     screen_docs: int = 8192,
@@ -592,7 +609,7 @@ def near_duplicates(
     dealt = signs.select("unit", "id", "s.size", "s.bits").repartition(lanes(spark), "unit")
     edges = dealt.sortWithinPartitions("unit", "id").mapInArrow(*_screen_units(percent))
     units = written(_blocks(components(edges), unit_docs), "units")
-    work = rows.join(units, "id").select("unit", "id", "text").mapInArrow(
+    work = _likely(rows, units).join(units, "id").select("unit", "id", "text").mapInArrow(
         whole_sets, "unit string, id long, size long, d1 long, d2 long, keys binary"
     )
     # Rows of one id are neighbours, the set that counts first.
