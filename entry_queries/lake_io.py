@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from entry_queries import views as v
 from entry_queries.registry import query
 from entry_queries.views import with_views
 from mobility_lake import contracts
+from mobility_lake.catalog import Lake
 from mobility_lake.operators.layout import one_file_each
 from mobility_lake.operators.rollup import rollup
 from mobility_lake.plans import gold
+from mobility_lake.plans.feeds import (
+    landing_rows,
+    landing_traffic,
+    rebuild_silver,
+    start_silver,
+)
 from mobility_lake.session import shared_dir
 from mobility_lake.sources.landing import load_by_name
 from mobility_lake.sources.lake import (
@@ -23,6 +32,7 @@ from mobility_lake.sources.lake import (
 from mobility_lake.streaming.incremental import (
     append_new,
     append_partials,
+    compact_partials,
     hourly_stream,
     merge_partials,
     refresh_touched,
@@ -112,79 +122,201 @@ def refresh(spark, sf):
         files.path,
         target,
         checkpoint,
-        grain=("event_date",),
-        partition_by=("event_date",),
         schema=schema,
+        silver_partitions=("event_date",),
         trigger=NOW,
     ).awaitTermination()
     return lake_read(spark, target)
 
 
-@query(
-    "partials_merge",
-    with_views(
-        "select * exclude (distinct_trips, distinct_passengers, distinct_drivers) "
-        "from gold_trips",
-        "gold_trips",
-    ),
-)
+_COUNTS = {
+    "distinct_trips": "trip_id",
+    "distinct_passengers": "passenger_id",
+    "distinct_drivers": "driver_id",
+}
+_BOUNDED = ", ".join(f"true as {name}_within_bound" for name in _COUNTS)
+
+
+def _bounded(estimated, exact):
+    """Estimates next to the exact counts: within 10 %, or one of the smallest groups."""
+    keys = list(gold.TRIPS_HOURLY.keys)
+    counts = exact.select(*keys, *[F.col(name).alias(f"_{name}") for name in _COUNTS])
+    joined = estimated.join(counts, keys)
+    for name in _COUNTS:
+        near = F.abs(F.col(name) - F.col(f"_{name}")) <= 0.1 * F.col(f"_{name}") + 1
+        joined = joined.withColumn(f"{name}_within_bound", near)
+        joined = joined.withColumn(name, F.col(f"_{name}")).drop(f"_{name}")
+    return joined
+
+
+@query("partials_merge", with_views(f"select *, {_BOUNDED} from gold_trips", "gold_trips"))
 def partials(spark, sf):
-    """Mergeable partial rows of six micro-batches; the estimated counts are left out."""
+    """Mergeable partial rows of six micro-batches, the older half of the days compacted."""
     trips = v.trips(spark, sf)
     files = v.as_files(spark, trips, "event_ts")
-    target, checkpoint = shared_dir(spark, "partials"), shared_dir(spark, "checkpoint")
+    target, compacted = shared_dir(spark, "partials"), shared_dir(spark, "compacted")
     append_partials(
         lake_stream(spark, files.path, trips.schema, files.max_files),
         gold.TRIPS_HOURLY,
         target,
-        checkpoint,
+        shared_dir(spark, "checkpoint"),
         trigger=NOW,
     ).awaitTermination()
-    merged = merge_partials(spark, gold.TRIPS_HOURLY, target)
-    return merged.drop("distinct_trips", "distinct_passengers", "distinct_drivers")
+    compact_partials(spark, gold.TRIPS_HOURLY, target, compacted, dt.date(2024, 1, 16))
+    merged = merge_partials(spark, gold.TRIPS_HOURLY, target, compacted)
+    return _bounded(merged, v.gold_trips(spark, sf))
 
 
 @query(
     "window_hourly",
     with_views(
-        """select * exclude (distinct_trips, distinct_passengers, distinct_drivers)
+        f"""select *, {_BOUNDED}
         from gold_trips where event_date + (event_hour + 1) * interval 1 hour
             <= (select max(event_ts) - interval 1 hour from trips)""",
         "gold_trips",
     ),
 )
 def windows(spark, sf):
-    """Hours the watermark has closed; the estimated counts are left out.
-
-    Files written by parallel tasks have no order in time, so they arrive together:
-    cut into micro-batches, the earlier ones among them would count as late.
-    """
+    """Hours the watermark has closed, over six micro-batches in the order of time."""
     trips = v.trips(spark, sf)
-    files = v.as_files(spark, trips, "event_ts")
+    files = v.as_ordered_files(spark, trips, "event_ts")
     target, checkpoint = shared_dir(spark, "windows"), shared_dir(spark, "checkpoint")
-    stream = lake_stream(spark, files.path, trips.schema)
+    stream = lake_stream(spark, files.path, trips.schema, files.max_files)
     hourly = hourly_stream(stream, gold.TRIPS_HOURLY, "1 hour")
     lake_append_stream(hourly, target, checkpoint, ("event_date",), NOW).awaitTermination()
-    read = lake_read(spark, target, hourly.schema)
-    return read.drop("distinct_trips", "distinct_passengers", "distinct_drivers")
+    return _bounded(lake_read(spark, target, hourly.schema), v.gold_trips(spark, sf))
 
 
-@query(
-    "dedup_stream",
-    with_views("select distinct trip_id, event_ts from duplicated", "duplicated"),
-)
-def dedup_stream(spark, sf):
-    """One row per key over six micro-batches, deduplicated against the table itself."""
-    rows = v.duplicated(spark, sf).withColumn("event_date", F.to_date("event_ts"))
-    files = v.as_files(spark, rows, "ingest_ts")
-    target, checkpoint = shared_dir(spark, "silver"), shared_dir(spark, "checkpoint")
+_SURVIVORS = """select trip_id, event_id, event_ts, ingest_ts, "offset", value from duplicated
+    qualify row_number() over (partition by {keys} order by ingest_ts, "offset") = 1"""
+
+
+def _dedup(spark, rows, keys, **more):
+    """`rows` through `append_new` in the order they were ingested."""
+    rows = rows.withColumn("event_date", F.to_date("event_ts"))
+    files = v.as_ordered_files(spark, rows, "ingest_ts")
+    target = shared_dir(spark, "silver")
     append_new(
         lake_stream(spark, files.path, rows.schema, files.max_files),
-        ("trip_id", "event_ts"),
+        keys,
         target,
-        checkpoint,
+        shared_dir(spark, "checkpoint"),
         ("event_date",),
         order=("ingest_ts", "offset"),
         trigger=NOW,
+        **more,
     ).awaitTermination()
-    return lake_read(spark, target).select("trip_id", "event_ts")
+    return lake_read(spark, target, rows.schema).drop("event_date")
+
+
+@query("dedup_stream", with_views(_SURVIVORS.format(keys="event_id, event_ts"), "duplicated"))
+def dedup_stream(spark, sf):
+    """The first row per key over six micro-batches, deduplicated against the table itself."""
+    return _dedup(spark, v.duplicated(spark, sf), ("event_id", "event_ts"), time_column="event_ts")
+
+
+@query(
+    "dedup_stream_id",
+    with_views(
+        """select trip_id, event_id, event_ts, ingest_ts, "offset", value from (
+            select * from duplicated union all
+            select trip_id, event_id, event_ts + interval 40 day, ingest_ts + interval 40 day,
+                "offset", value from duplicated where event_id % 3 = 0)
+        qualify row_number() over (partition by event_id order by ingest_ts, "offset") = 1""",
+        "duplicated",
+    ),
+)
+def dedup_stream_id(spark, sf):
+    """The first row per id; a third of the events come again with the time of another day."""
+    once = v.duplicated(spark, sf)
+    later = {name: F.col(name) + F.expr("interval 40 day") for name in ("event_ts", "ingest_ts")}
+    rows = once.unionByName(once.filter("event_id % 3 = 0").withColumns(later))
+    return _dedup(spark, rows, ("event_id",), index=shared_dir(spark, "index"))
+
+
+@query(
+    "rebuild_then_stream",
+    with_views(
+        """select vehicle_id, city, state, event_ts, speed_kmh, precision_m from gps
+        where vehicle_id is not null or city is not null""",
+        "gps",
+    ),
+)
+def rebuild_then_stream(spark, sf):
+    """GPS silver: half streamed, rebuilt from bronze, the other half streamed behind it."""
+    lake = Lake(shared_dir(spark, "lake"))
+    wanted = {"vehicle_id": "string", "precision_m": "int"}
+    rows = v.gps(spark, sf).withColumns({c: F.col(c).cast(t) for c, t in wanted.items()})
+    names = {f.name for f in contracts.BRONZE["gps"]} & set(rows.columns)
+    bronze = lake.table("bronze", "gps")
+    for half in (0, 1):
+        part = rows.filter(F.pmod(F.xxhash64("event_ts", "vehicle_id"), F.lit(2)) == half)
+        part.select(*names).write.mode("append").partitionBy("event_date").parquet(bronze)
+        start_silver(spark, lake, "gps", NOW, max_files=None).awaitTermination()
+        if half == 0:
+            rebuild_silver(spark, lake, "gps")
+    stored = lake_read(spark, lake.table("silver", "gps"), contracts.SILVER["gps"])
+    return stored.select(
+        F.col("vehicle_id").cast("bigint").alias("vehicle_id"),
+        "city",
+        "state",
+        "event_ts",
+        "speed_kmh",
+        "precision_m",
+    )
+
+
+_NO_STAMP = 'cast(null as varchar) as "FONTE", cast(null as timestamp) as "GOLD_PROCESS_TS"'
+
+
+@query(
+    "load_gps",
+    with_views(
+        f"""select city as "CIDADE", cast(null as double) as "LATITUDE",
+        cast(null as double) as "LONGITUDE", mean_speed as "VELOCIDADE_MEDIA", {_NO_STAMP}
+        from gold_gps""",
+        "gold_gps",
+    ),
+)
+def load_gps(spark, sf):
+    """Hourly GPS as its landing table."""
+    return landing_rows(v.gold_gps(spark, sf), "gps_hourly")
+
+
+@query(
+    "load_weather",
+    with_views(
+        f"""select city as "CIDADE", mean_temperature as "TEMPERATURA_MEDIA",
+        total_rain as "CHUVA_MM", condition as "CONDICAO", {_NO_STAMP} from gold_weather""",
+        "gold_weather",
+    ),
+)
+def load_weather(spark, sf):
+    """Hourly weather as its landing table."""
+    return landing_rows(v.gold_weather(spark, sf), "weather_hourly")
+
+
+@query(
+    "load_incidents",
+    with_views(
+        f"""select city as "CIDADE", type as "TIPO_INCIDENTE", incidents as "QUANTIDADE",
+        {_NO_STAMP} from gold_incidents""",
+        "gold_incidents",
+    ),
+)
+def load_incidents(spark, sf):
+    """Hourly incidents as their landing table."""
+    return landing_rows(v.gold_incidents(spark, sf), "incidents_hourly")
+
+
+@query(
+    "load_traffic",
+    with_views(
+        f"""select city as "CIDADE", congestion_level as "NIVEL_CONGESTIONAMENTO",
+        mean_speed as "VELOCIDADE_MEDIA", {_NO_STAMP} from staged_traffic""",
+        "staged_traffic",
+    ),
+)
+def load_traffic(spark, sf):
+    """Hourly traffic as its landing table, with the mean speed of the city's hour."""
+    return landing_traffic(v.gold_traffic(spark, sf), v.gold_gps(spark, sf))

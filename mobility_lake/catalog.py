@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-LAYERS = ("bronze", "silver", "gold", "rejects", "mart")
+LAYERS = ("bronze", "silver", "index", "gold", "landing", "rejects", "mart")
 
 
 @dataclass(frozen=True)

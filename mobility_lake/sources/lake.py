@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import datetime as dt
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,39 @@ _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def lake_read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Batch scan. With a declared schema no file is opened to infer one."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    """Batch scan. With a declared schema no file is opened to infer one, and only its columns come."""
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def folder_name(column: str, value: object) -> str:
+    """The folder of a partition value; dates and whole numbers only, which need no escaping."""
+    if isinstance(value, bool) or not isinstance(value, (int, dt.date)) or isinstance(value, dt.datetime):
+        raise ValueError(f"partition column {column!r} must hold dates or whole numbers")
+    return f"{column}={value}"
+
+
+def read_partitions(
+    spark: SparkSession,
+    path: str,
+    partition_by: Sequence[str],
+    partitions: Iterable[Sequence[object]],
+    schema: T.StructType,
+) -> DataFrame | None:
+    """Those partitions of a table that exist, or None. Only their folders are listed."""
+    folders = [
+        "/".join([path.rstrip("/"), *[folder_name(c, x) for c, x in zip(partition_by, values)]])
+        for values in partitions
+    ]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    store = hadoop.Path(path).getFileSystem(conf)
+    folders = [folder for folder in folders if store.exists(hadoop.Path(folder))]
+    if not folders:
+        return None
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*folders).select(*schema.names)
 
 
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:

@@ -25,15 +25,20 @@ def _matches(
 
 
 def load_by_name(
-    df: DataFrame, target: T.StructType, sources: Mapping[str, str] | None = None
+    df: DataFrame,
+    target: T.StructType,
+    sources: Mapping[str, str] | None = None,
+    keep: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The columns of `target`, matched by case-insensitive name.
 
     Target columns without a match are NULL, other source columns are dropped.
-    `sources` names the source column of a target column that is spelled differently.
+    `sources` names the source column of a target column that is spelled differently; `keep`
+    names columns to carry along, by their new name.
     """
     matches = _matches(df, target, sources)
     return df.select(
+        *[F.col(column).alias(name) for name, column in (keep or {}).items()],
         *[
             (F.col(matches[field.name]) if matches[field.name] else F.lit(None))
             .cast(field.dataType)
@@ -64,7 +69,11 @@ def load_new_files(
     sources: Mapping[str, str] | None = None,
     schema: T.StructType | None = None,
 ) -> StreamingQuery:
-    """Load every file at `source` that was not loaded before, then stop."""
+    """Load every file at `source` that was not loaded before, then stop.
+
+    For sources that only add files. Where a refresh rewrites them, a rewritten file would be loaded
+    again: `feeds.start_landing` replaces the rows of the hours that changed instead.
+    """
     incoming = lake_stream(spark, source, schema)
     loaded = load_by_name(incoming, target, sources)
     return lake_append_stream(loaded, path, checkpoint, trigger={"availableNow": True})

@@ -12,9 +12,9 @@ Three ways to maintain a rollup:
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,85 +30,109 @@ from mobility_lake.operators.rollup import (
     distinct_values,
     prepare,
     rollup,
+    rollup_combine,
     rollup_merge,
     rollup_partial,
 )
+from mobility_lake.session import shared_dir
 from mobility_lake.sources.lake import (
+    Layout,
     lake_read,
     lake_replace_partitions,
     path_exists,
+    read_partitions,
     stored_schema,
     with_trigger,
 )
 
 HOUR = ("event_date", "event_hour")
 Prepare = Callable[[DataFrame], DataFrame]
+Apply = Callable[[DataFrame, int], None]
 
-# Up to this many touched partitions are named in the filter, so the scan prunes them
-# at planning time; beyond it a semi-join does the same without the driver.
-MAX_NAMED_PARTITIONS = 1000
-# Up to this many of them also get their own time range.
-MAX_TIME_RANGES = 64
+# Tables that keep each micro-batch apart have this as their last partition column.
+BATCH = "batch_id"
+# The batch id of what a rebuild wrote.
+REBUILT = -1
+# Calendar columns that say the same.
+_SAME = {"event_hour": ("hour",), "hour": ("event_hour",)}
+_DAY = {"year", "month", "day"}
 
 
-def _key_text(columns: Sequence[str]) -> Column:
-    return F.concat_ws("/", *[F.col(name).cast("string") for name in columns])
+def _known(columns: Sequence[str]) -> set[str]:
+    """The columns, and the calendar columns that follow from them."""
+    known = {*columns}
+    for name in columns:
+        known.update(_SAME.get(name, ()))
+    if _DAY <= known:
+        known.add("event_date")
+    if "event_date" in known:
+        known |= _DAY
+    return known
 
 
-def _within(column: Column, ranges: list[tuple[int, int]]) -> Column:
-    """Whether a timestamp lies in one of the ranges of microseconds."""
-    tests = [
-        column.between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
-        for low, high in ranges
-    ]
-    return reduce(lambda a, b: a | b, tests)
+def check_grain(grain: Sequence[str], partition_by: Sequence[str]) -> None:
+    """Raise unless a partition holds nothing but whole groups of the grain.
+
+    Otherwise replacing the partition would delete groups that were not recomputed.
+    """
+    missing = set(grain) - _known(partition_by)
+    if missing:
+        raise ValueError(
+            f"partitions by {list(partition_by)} hold more than a group of {list(grain)}: "
+            f"{sorted(missing)} must be a partition column"
+        )
 
 
 def only_touched(
-    table: DataFrame, batch: DataFrame, grain: Sequence[str], time_column: str | None = None
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    partition_by: Sequence[str],
+    schema: T.StructType,
+    grain: Sequence[str] | None = None,
+    time_column: str | None = None,
 ) -> DataFrame | None:
-    """Rows of `table` in the groups that `batch` has rows for; None if it has none.
+    """Rows of the table in the groups that `batch` has rows for; None if there are none.
 
-    `grain` starts with the partition columns and may go finer. Every column is also
-    compared on its own, so partitions are pruned and the finer columns reach the row
-    groups. With `time_column` the rows are cut to the time span of the batch per group,
-    which skips most of the files of a partition that is still being appended to.
+    The touched partitions are named by their folders, so neither the listing nor the scan grows
+    with the table. A `grain` finer than the partitions is a semi-join on top. With `time_column`
+    the rows are cut to the time span of the batch, which skips files of a
+    partition that is still being appended to.
     """
-    touched = distinct_values(batch, grain)
-    groups = touched.withColumn("_key", _key_text(grain))
+    rows = require_all(batch, partition_by)
     if time_column:
-        groups = (
-            require_all(batch, grain)
-            .groupBy(*grain)
-            .agg(
-                F.unix_micros(F.min(time_column)).alias("_low"),
-                F.unix_micros(F.max(time_column)).alias("_high"),
-            )
-            .withColumn("_key", _key_text(grain))
-        )
-    found = groups.limit(MAX_NAMED_PARTITIONS + 1).collect()
-    if not found:
+        span = [F.min(time_column).alias("_low"), F.max(time_column).alias("_high")]
+        found = rows.groupBy(*partition_by).agg(*span).collect()
+    else:
+        found = rows.select(*partition_by).distinct().collect()
+    partitions = [tuple(row[name] for name in partition_by) for row in found]
+    table = read_partitions(spark, path, partition_by, partitions, schema)
+    if table is None:
         return None
-    if len(found) > MAX_NAMED_PARTITIONS:
-        return table.join(touched, list(grain), "left_semi")
-    tests = [F.col(name).isin(sorted({row[name] for row in found})) for name in grain]
-    if len(grain) > 1:
-        tests.append(_key_text(grain).isin([row["_key"] for row in found]))
-    if time_column and len(found) <= MAX_TIME_RANGES:
-        tests.append(_within(F.col(time_column), [(row["_low"], row["_high"]) for row in found]))
-    return table.filter(reduce(lambda a, b: a & b, tests))
+    if time_column:
+        low, high = min(row["_low"] for row in found), max(row["_high"] for row in found)
+        table = table.filter(F.col(time_column).between(F.lit(low), F.lit(high)))
+    if grain and set(grain) - set(partition_by):
+        table = table.join(distinct_values(batch, grain), list(grain), "left_semi")
+    return table
 
 
-def _start(
+def start(
     stream: DataFrame,
-    apply: Callable[[DataFrame, int], None],
+    apply: Apply,
     checkpoint: str,
-    trigger: Mapping[str, object] | None,
-    name: str | None,
+    trigger: Mapping[str, object] | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
+    """Run `apply` on every micro-batch that has rows. The batch is kept, so it is read once."""
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            apply(batch, batch_id)
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                apply(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = (
         stream.writeStream.outputMode("update")
@@ -120,6 +144,42 @@ def _start(
     return with_trigger(writer, trigger).start()
 
 
+def refuse_other_checkpoint(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """A new checkpoint would number batches from 0 again and replace the ones that are there."""
+    if stored_schema(spark, path) is not None and not path_exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{path} holds batches of another checkpoint")
+
+
+def by_batch(path: str, partition_by: Sequence[str] = (), layout: Layout = lay_out) -> Apply:
+    """Write each micro-batch to partitions of its own: a retried batch replaces itself.
+
+    There is no sink log beside the data, so a rebuild can replace the table under the stream.
+    """
+    columns = [*partition_by, BATCH]
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        lake_replace_partitions(batch.withColumn(BATCH, F.lit(batch_id)), path, columns, layout)
+
+    return apply
+
+
+def rolled_rows(
+    rows: DataFrame,
+    spec: RollupSpec,
+    prepare_rows: Prepare | None = None,
+    dedup_keys: Sequence[str] = (),
+    dedup_order: Sequence[str] = (),
+    process_ts: str | None = None,
+) -> DataFrame:
+    """A rollup of table rows, the same in a refresh and in a rebuild."""
+    if dedup_keys:
+        rows = dedup_events(rows, dedup_keys, dedup_order)
+    if prepare_rows:
+        rows = prepare_rows(rows)
+    rolled = rollup(rows, spec)
+    return stamp(rolled, process_ts) if process_ts else rolled
+
+
 def refresh_touched(
     stream: DataFrame,
     spec: RollupSpec,
@@ -129,37 +189,38 @@ def refresh_touched(
     grain: Sequence[str] = HOUR,
     partition_by: Sequence[str] = HOUR,
     schema: T.StructType | None = None,
+    silver_partitions: Sequence[str] | None = None,
     prepare_rows: Prepare | None = None,
     dedup_keys: Sequence[str] = (),
     dedup_order: Sequence[str] = (),
     process_ts: str | None = None,
+    finish: Prepare | None = None,
     trigger: Mapping[str, object] | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Recompute the `grain` groups of `silver` that each micro-batch touched.
 
-    `stream` reads the same table and only says which partitions changed; the numbers
-    come from the table, so late rows, retries and replays all end in the same result.
-    Gold partitions must nest inside the grain. With `dedup_keys` the recompute also
-    deduplicates, which never loses a late row and needs no state. `process_ts` names a
-    column for the processing time.
+    `stream` reads the same table and only says which groups changed; the numbers come from the
+    table, so late rows, retries and replays all end in the same result. `silver_partitions` are its
+    partition columns (the grain, if they are the same). A partition of the result must not hold
+    more than a group of the grain; otherwise this raises. With `dedup_keys` the recompute
+    also deduplicates, which never loses a late row and needs no state. `process_ts` names
+    a column for the processing time; `finish` shapes the rows before they are written.
     """
+    check_grain(grain, partition_by)
+    schema = schema or stored_schema(stream.sparkSession, silver) or stream.schema
+    stored_by = tuple(silver_partitions or grain)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table = lake_read(batch.sparkSession, silver, schema)
-        rows = only_touched(table, batch, grain)
+        rows = only_touched(batch.sparkSession, silver, batch, stored_by, schema, grain)
         if rows is None:
             return
-        if dedup_keys:
-            rows = dedup_events(rows, dedup_keys, dedup_order)
-        if prepare_rows:
-            rows = prepare_rows(rows)
-        rolled = rollup(rows, spec)
-        if process_ts:
-            rolled = stamp(rolled, process_ts)
+        rolled = rolled_rows(rows, spec, prepare_rows, dedup_keys, dedup_order, process_ts)
+        if finish:
+            rolled = finish(rolled)
         lake_replace_partitions(rolled, gold, partition_by, one_file_each)
 
-    return _start(stream, apply, checkpoint, trigger, name)
+    return start(stream, apply, checkpoint, trigger, name)
 
 
 def append_partials(
@@ -175,68 +236,152 @@ def append_partials(
 
     Rows carry their batch id as a partition, so a retried batch replaces itself. A new
     checkpoint would number batches from 0 again and mix with the old ones, so it is
-    refused while the table holds data.
+    refused while the table holds data. `compact_partials` keeps the number of folders down.
     """
-    spark = stream.sparkSession
-    if stored_schema(spark, path) is not None and not path_exists(spark, f"{checkpoint}/metadata"):
-        raise ValueError(f"{path} holds partials of another checkpoint")
-    partition_by = [*[key for key in ("event_date",) if key in spec.keys], "batch_id"]
+    refuse_other_checkpoint(stream.sparkSession, path, checkpoint)
+    partition_by = [*[key for key in ("event_date",) if key in spec.keys], BATCH]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = prepare_rows(batch) if prepare_rows else batch
-        partials = rollup_partial(rows, spec).withColumn("batch_id", F.lit(batch_id))
+        partials = rollup_partial(rows, spec).withColumn(BATCH, F.lit(batch_id))
         lake_replace_partitions(partials, path, partition_by, one_file_each)
 
-    return _start(stream, apply, checkpoint, trigger, name)
+    return start(stream, apply, checkpoint, trigger, name)
 
 
-def merge_partials(spark: SparkSession, spec: RollupSpec, path: str) -> DataFrame:
-    """The rollup that the partial rows add up to."""
-    return rollup_merge(lake_read(spark, path), spec)
+def _open_partials(spark: SparkSession, path: str, compacted: DataFrame | None) -> DataFrame:
+    """Partial rows that are not part of a compacted day yet."""
+    rows = lake_read(spark, path)
+    if compacted is None:
+        return rows
+    through = compacted.groupBy("event_date").agg(F.max("through_batch").alias("_through"))
+    newer = rows.join(through, "event_date", "left")
+    return newer.filter(F.coalesce(F.col(BATCH) > F.col("_through"), F.lit(True))).drop("_through")
 
 
-def append_new(
-    stream: DataFrame,
+def merge_partials(
+    spark: SparkSession, spec: RollupSpec, path: str, compacted_path: str | None = None
+) -> DataFrame:
+    """The rollup that the partial rows add up to, compacted days included."""
+    compacted = None
+    if compacted_path and stored_schema(spark, compacted_path) is not None:
+        compacted = lake_read(spark, compacted_path)
+    rows = _open_partials(spark, path, compacted).drop(BATCH)
+    if compacted is not None:
+        rows = rows.unionByName(compacted.drop("through_batch"))
+    return rollup_merge(rows, spec)
+
+
+def compact_partials(
+    spark: SparkSession, spec: RollupSpec, path: str, compacted_path: str, before: dt.date
+) -> None:
+    """Combine the partial rows of all days before `before` into one row per key.
+
+    A compacted day names the last batch it holds, and readers leave out the batches up to it. So this
+    can run again at any time, also after it was interrupted: a day is replaced whole, rows that
+    came late are added, and nothing counts twice while the old folders are still there.
+    """
+    compacted = None
+    if stored_schema(spark, compacted_path) is not None:
+        compacted = lake_read(spark, compacted_path)
+    fresh = _open_partials(spark, path, compacted).filter(F.col("event_date") < F.lit(before))
+    days = fresh.groupBy("event_date").agg(F.max(BATCH).alias("through_batch"))
+    rows = fresh.drop(BATCH)
+    if compacted is not None:
+        touched = compacted.join(days.select("event_date"), "event_date", "left_semi")
+        rows = rows.unionByName(touched.drop("through_batch"))
+    combined = rollup_combine(rows, spec).join(days, "event_date")
+    # The days being replaced are read as well, so the new ones are written aside first.
+    aside = shared_dir(spark, "compacted")
+    combined.write.parquet(aside)
+    written = lake_read(spark, aside, combined.schema)
+    lake_replace_partitions(written, compacted_path, ["event_date"], one_file_each)
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def index_rows(rows: DataFrame, keys: Sequence[str], buckets: int, batch_id: int) -> DataFrame:
+    """Keys as rows of a key index."""
+    found = rows.select(*keys, key_bucket(keys, buckets).alias("bucket"))
+    return found.withColumn(BATCH, F.lit(batch_id))
+
+
+def new_rows(
     keys: Sequence[str],
     path: str,
-    checkpoint: str,
     partition_by: Sequence[str],
+    schema: T.StructType,
     order: Sequence[str] = (),
-    keys_fix_partition: bool = True,
     time_column: str | None = None,
-    trigger: Mapping[str, object] | None = None,
-    name: str | None = None,
-) -> StreamingQuery:
-    """Append the rows whose key the table does not hold yet.
-
-    Deduplication without a horizon and without state: copies inside the micro-batch are
-    aggregated away first, what remains is anti-joined against the table. A retried
-    batch finds its own rows and adds nothing. When the partition follows from the keys
-    (they hold the event time, or name one event that has one) only the key columns of
-    the touched partitions are read, cut to the batch's time span if `time_column` is a
-    key; otherwise (`keys_fix_partition=False`) those of the whole table are.
+    index: str | None = None,
+    buckets: int = 256,
+) -> Apply:
+    """Append the rows of a micro-batch whose key the table does not hold yet.
+
+    Copies inside the micro-batch are aggregated away first; what remains is anti-joined against the
+    keys of the touched partitions, cut to the batch's time span if `time_column` is a key. That is
+    all there is to do when the keys fix the partition. When they do not, `index` names a
+    table of all keys by hash bucket, and the buckets of the batch are compared as well.
+
+    A retried batch finds its own rows in the touched partitions and adds nothing; its index rows
+    carry its batch id, do not count as known to itself, and are replaced.
     """
     if time_column is not None and time_column not in keys:
         raise ValueError("copies share the time column only if it is one of the keys")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         fresh = dedup_events(batch, keys, order)
-        schema = stored_schema(batch.sparkSession, path)
-        if schema is not None:
-            known = lake_read(batch.sparkSession, path, schema)
-            if keys_fix_partition:
-                known = only_touched(known, batch, partition_by, time_column)
-            if known is not None:
-                fresh = fresh.join(known.select(*keys), list(keys), "left_anti")
-        columns = batch.columns
-        (
-            lay_out(fresh.select(*columns), partition_by)
-            .write.mode("append")
-            .partitionBy(*partition_by)
-            .parquet(path)
-        )
+        if index is not None:
+            index_schema = index_rows(fresh, keys, buckets, batch_id).schema
+            wanted = fresh.select(key_bucket(keys, buckets).alias("bucket")).distinct().collect()
+            touched = [(row["bucket"],) for row in wanted]
+            indexed = read_partitions(spark, index, ("bucket",), touched, index_schema)
+            if indexed is not None:
+                earlier = indexed.filter(F.col(BATCH) != batch_id).select(*keys)
+                fresh = fresh.join(earlier, list(keys), "left_anti")
+            fresh = fresh.persist()
+        try:
+            stored = only_touched(
+                spark, path, batch, partition_by, schema, time_column=time_column
+            )
+            rows = fresh
+            if stored is not None:
+                rows = fresh.join(stored.select(*keys), list(keys), "left_anti")
+            (
+                lay_out(rows.select(*batch.columns), partition_by)
+                .write.mode("append")
+                .partitionBy(*partition_by)
+                .parquet(path)
+            )
+            if index is not None:
+                entries = index_rows(fresh, keys, buckets, batch_id)
+                lake_replace_partitions(entries, index, ("bucket", BATCH), one_file_each)
+        finally:
+            if index is not None:
+                fresh.unpersist()
+
+    return apply
 
-    return _start(stream, apply, checkpoint, trigger, name)
+
+def append_new(
+    stream: DataFrame,
+    keys: Sequence[str],
+    path: str,
+    checkpoint: str,
+    partition_by: Sequence[str],
+    order: Sequence[str] = (),
+    time_column: str | None = None,
+    index: str | None = None,
+    buckets: int = 256,
+    trigger: Mapping[str, object] | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Deduplication without a horizon and without state: see `new_rows`."""
+    apply = new_rows(keys, path, partition_by, stream.schema, order, time_column, index, buckets)
+    return start(stream, apply, checkpoint, trigger, name)
 
 
 def hourly_stream(
