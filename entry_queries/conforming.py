@@ -23,6 +23,7 @@ from mobility_lake.functions.values import (
 from mobility_lake.operators import conform as c
 from mobility_lake.operators import quality as q
 from mobility_lake.operators.dedup import dedup_events
+from mobility_lake.plans import marts
 from mobility_lake.plans.bronze import BRONZE
 from mobility_lake.plans.feeds import FEEDS
 from mobility_lake.plans.silver import MARK
@@ -428,13 +429,53 @@ query(
         cast(user_id as varchar) as passenger_id, cast(k as varchar) as driver_id,
         {_PRICE} as price, cast(year(ts) as integer) as year,
         cast(month(ts) as integer) as month, cast(day(ts) as integer) as day,
-        cast(hour(ts) as integer) as hour from read where k <> 99
+        cast(hour(ts) as integer) as hour,
+        case when event_id % 2 = 0 then (k + 0.5::double) / 100 end as origin_lat,
+        case when event_id % 2 = 0 then (m + 0.5::double) / 100 end as origin_lon,
+        case when event_id % 2 = 0 then -23.5::double end as destination_lat,
+        cast(null as double) as destination_lon,
+        case when event_id % 2 = 0 then k || ':' || m end as region_id from read where k <> 99
         qualify row_number() over (partition by event_id // 2, coalesce(text_ts, ts)
-            order by status, source, passenger_id, driver_id, price nulls first) = 1""",
+            order by status, source, passenger_id, driver_id, price nulls first,
+            origin_lat nulls first, origin_lon nulls first) = 1""",
         "read",
     ),
 )(_silver("trips"))
 
+# The parity of an event decides whether its payload has coordinates; of two copies one stays.
+_STORED_TRIPS = """select k, m, event_id from read where k <> 99
+    qualify row_number() over (partition by event_id // 2, coalesce(text_ts, ts)
+        order by event_type, case when event_id % 2 = 0 then 'src' || (event_id % 3) else 'simulado' end,
+        cast(user_id as varchar), cast(k as varchar), """ + _PRICE + """ nulls first) = 1"""
+
+
+@query(
+    "top_regions_of_silver",
+    with_views(
+        f"""select k || ':' || m as region_id, count(*) as trips from ({_STORED_TRIPS})
+        where event_id % 2 = 0 group by 1 order by trips desc, region_id limit 5""",
+        "read",
+    ),
+)
+def top_regions_of_silver(spark, sf):
+    """The five grid cells where most stored trips start."""
+    return marts.top_regions(_silver("trips")(spark, sf).filter("region_id is not null"), 5)
+
+
+@query(
+    "geo_grid_of_silver",
+    with_views(
+        f"""select cast(k as bigint) as cell_lat, cast(m as bigint) as cell_lon, count(*) as trips
+        from ({_STORED_TRIPS}) where event_id % 2 = 0 group by 1, 2""",
+        "read",
+    ),
+)
+def geo_grid_of_silver(spark, sf):
+    """Stored trips per grid cell of their origin."""
+    trips = _silver("trips")(spark, sf).filter("origin_lat is not null")
+    return marts.geo_grid(trips, "origin_lat", "origin_lon")
+
+
 query(
     "silver_gps",
     with_views(

@@ -338,3 +338,18 @@ def trip_duration(spark, sf):
 )
 def incidents_by_region(spark, sf):
     return m.incidents_by_region(v.gold_incidents(spark, sf))
+
+
+@query(
+    "mart_trips_by_processing_day",
+    with_views(
+        f"""select event_date + 1 as date, cast(sum(distinct_trips) as bigint) as total_trips,
+        {v.total('total_price')} as revenue from gold_trips group by event_date""",
+        "gold_trips",
+    ),
+)
+def trips_by_processing_day(spark, sf):
+    """Daily trips by the day the rollup was made, which is the day after the event here."""
+    stamp = F.col("event_date").cast("timestamp") + F.expr("interval 30 hours")
+    rolled = v.gold_trips(spark, sf).withColumn("gold_process_ts", stamp)
+    return m.trips_daily(rolled, date_column="gold_process_ts")

@@ -175,6 +175,9 @@ def trip_records(spark: SparkSession, sf: str) -> DataFrame:
             time, trip.alias("id_viagem"), passenger.alias("id_passageiro"),
             driver.alias("id_motorista"), price.alias("preco"), status,
             _numbered("src", F.col("event_id") % 3).alias("fonte"),
+            ((F.col("k") + 0.5) / 100).alias("origem_lat"),
+            ((F.col("m") + 0.5) / 100).alias("origem_lon"),
+            F.lit(-23.5).alias("destino_lat"), F.lit("x").alias("destino_lon"),
         )
     )
     second = F.to_json(

@@ -43,7 +43,8 @@ RECORD = _schema(
 TRIP_PAYLOAD = _schema(
     """ts_evento string, id_viagem string, viagem_id string, id_passageiro string,
     passageiro_id string, id_motorista string, motorista_id string, preco string,
-    preco_estimado string, status string, fonte string"""
+    preco_estimado string, status string, fonte string, origem_lat string, origem_lon string,
+    destino_lat string, destino_lon string"""
 )
 GPS_PAYLOAD = _schema(
     """ts_evento string, veiculo_id string, id_motorista string, tipo_veiculo string,
@@ -75,7 +76,7 @@ WEATHER_OBJECT = T.StructType(
     ]
 )
 
-# Canonical column -> accepted spellings, in order of precedence.
+# Canonical column -> accepted spellings, in order of precedence (fixed values).
 TRIP_ALIASES = {
     "status": ("status",),
     "source": ("fonte",),
@@ -84,6 +85,12 @@ TRIP_ALIASES = {
     "driver_id": ("id_motorista", "motorista_id"),
     "price": ("preco", "preco_estimado"),
 }
+TRIP_PLACES = {
+    "origin_lat": ("origem_lat",),
+    "origin_lon": ("origem_lon",),
+    "destination_lat": ("destino_lat",),
+    "destination_lon": ("destino_lon",),
+}
 GPS_ALIASES = {
     "vehicle_id": ("veiculo_id", "id_motorista"),
     "speed_kmh": ("velocidade_kmh", "velocidade"),
@@ -95,7 +102,7 @@ INCIDENT_ALIASES = {
     "severity": ("severidade", "gravidade"),
 }
 
-# Spellings a table handed to the trip rollup may use; the first one present is taken.
+# Spellings a table handed to the trip rollup may use; the first one present is taken (fixed values).
 TRIP_COLUMN_NAMES = {
     "trip_id": ("viagem_id", "id_viagem", "trip_id"),
     "passenger_id": ("passageiro_id", "id_passageiro", "passenger_id"),
@@ -148,7 +155,8 @@ SILVER = {
     "trips": _schema(
         """status string, source string, event_ts timestamp, ingest_ts timestamp,
         trip_id string, passenger_id string, driver_id string, price double, year int,
-        month int, day int, hour int"""
+        month int, day int, hour int, origin_lat double, origin_lon double,
+        destination_lat double, destination_lon double, region_id string"""
     ),
     "gps": _schema(
         """event_ts timestamp, vehicle_id string, vehicle_type string, line string,
@@ -208,7 +216,7 @@ LANDING = {
     ),
 }
 
-# Gold columns that feed a landing column of another name.
+# Gold columns that feed a landing column of another name (fixed values).
 LANDING_SOURCES = {
     "weather_hourly": {"CHUVA_MM": "precipitacao_total", "CONDICAO": "condicao_climatica"},
     "incidents_hourly": {"TIPO_INCIDENTE": "tipo", "QUANTIDADE": "qtd_incidentes"},
@@ -226,6 +234,10 @@ WIRE_NAMES = {
         "passenger_id": "id_passageiro",
         "driver_id": "id_motorista",
         "price": "preco",
+        "origin_lat": "origem_lat",
+        "origin_lon": "origem_lon",
+        "destination_lat": "destino_lat",
+        "destination_lon": "destino_lon",
         **_PARTS,
     },
     "silver.gps": {

@@ -115,6 +115,16 @@ def congestion_ratio(current_time: Column, free_flow_time: Column) -> Column:
     return F.when(free > 0, current / free)
 
 
+def cell_of(degrees: Column) -> Column:
+    """Number of a grid line of 0.01 degrees, from south or west."""
+    return F.floor(degrees * 100).cast("bigint")
+
+
+def grid_cell(lat: Column, lon: Column) -> Column:
+    """Name of the grid cell of a place; NULL unless both coordinates are there."""
+    return F.concat(cell_of(lat).cast("string"), F.lit(":"), cell_of(lon).cast("string"))
+
+
 def is_json_object(text: Column) -> Column:
     return F.ltrim(text).startswith("{")
 

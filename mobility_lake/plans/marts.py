@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mobility_lake.functions.times import day_of
-from mobility_lake.functions.values import exact_mean, exact_total
+from mobility_lake.functions.values import cell_of, exact_mean, exact_total
 from mobility_lake.operators.conform import zero_fill
 from mobility_lake.operators.rollup import rollup
 from mobility_lake.plans.gold import TRIPS_DAILY
@@ -181,10 +181,12 @@ def top_regions(trips: DataFrame, n: int, region: str = "region_id") -> DataFram
 
 
 def geo_grid(trips: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Trips per cell of 0.01 degrees, numbered from south and west."""
+    """Trips per cell of 0.01 degrees, numbered from south and west.
+
+    For silver trips the coordinates are `origin_lat`, `origin_lon` or those of the destination.
+    """
     return trips.groupBy(
-        F.floor(F.col(lat) * 100).cast("bigint").alias("cell_lat"),
-        F.floor(F.col(lon) * 100).cast("bigint").alias("cell_lon"),
+        cell_of(F.col(lat)).alias("cell_lat"), cell_of(F.col(lon)).alias("cell_lon")
     ).agg(F.count("*").alias("trips"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from mobility_lake import contracts
 from mobility_lake.functions.times import parse_event_time
-from mobility_lake.functions.values import to_number
+from mobility_lake.functions.values import grid_cell, to_number
 from mobility_lake.operators.conform import (
     JSON_FIELD,
     WEATHER_OBJECT,
@@ -45,7 +45,10 @@ def mark_trips(
     default_source: str = contracts.DEFAULT_SOURCE,
     now_if_missing: bool = False,
 ) -> DataFrame:
-    """Trips from columns where they exist, else from the payload, in either spelling."""
+    """Trips from columns where they exist, else from the payload, in either spelling.
+
+    The region of a trip is the grid cell of its origin.
+    """
     df = bronze
     if "value" in df.columns:
         df = pick_fields(df, contracts.TRIP_PAYLOAD.names)
@@ -56,6 +59,9 @@ def mark_trips(
         columns = (name, *[s for s in spellings if s != name])
         picked[name] = resolve_alias(df, columns, spellings, dtype, defaults.get(name))
     picked["price"] = to_number(picked["price"])
+    for name, spellings in contracts.TRIP_PLACES.items():
+        picked[name] = to_number(resolve_alias(df, (name, *spellings), spellings, "double"))
+    picked["region_id"] = grid_cell(picked["origin_lat"], picked["origin_lon"])
     picked["event_ts"] = resolve_event_time(
         df,
         (
