@@ -27,7 +27,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
     model = language_mixture.train(docs, F.lit(True))
     found = language_mixture.predict(docs, model)
-    kept = found.filter(F.col("lang_pred") != language_mixture.UNKNOWN)
+    known = F.col("lang_pred") != language_mixture.UNKNOWN
+    # Without any label there is nothing to tell languages by; letters still tell text.
+    kept = found.filter(known if model.languages else F.col("text").rlike(r"\p{L}"))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(columns)
 
 
