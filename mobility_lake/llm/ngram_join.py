@@ -11,7 +11,7 @@
 3. Groups that overlap are gathered into work units of bounded size, first with a signature per document:
    the parity of the shingles that fall on each of its bits. Two signatures that differ in d bits belong to sets
    that differ in d shingles or more, so pairs that cannot reach the threshold are dropped
-   for certain, at a fortieth of the bytes of the sets.
+   for certain, at less than a sixtieth of the bytes of the sets.
 4. What is still connected makes the final units, each with the whole sets of
    its documents. A unit stores its sets in a prefix tree in the global order; a probe walks the tree level
    by level, adding up its overlap once per shared path, and drops every subtree whose overlap plus the
@@ -137,8 +137,8 @@ def _digests(keys: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
 
 
 def signature(keys: np.ndarray) -> bytes:
-    """Parity bits of a set: twice as many as shingles or up to four times, a power of two."""
-    width = max(64, 1 << (2 * len(keys)).bit_length())
+    """Parity bits of a set: as many as shingles or up to twice as many, a power of two."""
+    width = max(64, 1 << len(keys).bit_length())
     parity = np.bincount((keys & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
 
@@ -190,6 +190,8 @@ def _screen_units(percent: int):
                 if row[0] != current:
                     yield flush()
                     current, ids, sizes, marks = row[0], [], [], []
+                if ids and ids[-1] == row[1]:
+                    continue
                 ids.append(row[1])
                 sizes.append(row[2])
                 marks.append(row[3])
@@ -604,10 +606,11 @@ def near_duplicates(
         named.groupBy("members").agg(F.array_sort(F.collect_set("class")).alias("classes"))
         .select(F.col("classes").alias("members")).filter(F.size("members") > 1).distinct()
     )
-    screens = _units(groups, screen_docs).distinct()
-    signs = screens.join(marked, "id").groupBy("unit", "id").agg(F.min(F.struct("size", "d1", "d2", "bits")).alias("s"))
-    dealt = signs.select("unit", "id", "s.size", "s.bits").repartition(lanes(spark), "unit")
-    edges = dealt.sortWithinPartitions("unit", "id").mapInArrow(*_screen_units(percent))
+    screens = written(_units(groups, screen_docs).distinct(), "screens")
+    signs = _likely(marked, screens).join(screens, "id").select("unit", "id", "size", "d1", "d2", "bits")
+    # Rows of one id are neighbours, the set that counts first.
+    dealt = signs.repartition(lanes(spark), "unit").sortWithinPartitions("unit", "id", "size", "d1", "d2")
+    edges = dealt.mapInArrow(*_screen_units(percent))
     units = written(_blocks(components(edges), unit_docs), "units")
     work = _likely(rows, units).join(units, "id").select("unit", "id", "text").mapInArrow(
         whole_sets, "unit string, id long, size long, d1 long, d2 long, keys binary"
