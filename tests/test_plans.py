@@ -6,6 +6,7 @@ import pytest
 from helpers import at
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401  (registers the queries)
 from entry_queries.registry import QUERIES
 from entry_queries import views as v
 from mobility_lake import contracts
