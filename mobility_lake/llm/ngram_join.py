@@ -50,7 +50,7 @@ INVERSE = pow(ODD, -1, 1 << 64)
 LETTERS = np.random.default_rng(20240601).integers(1, 1 << 64, 256, dtype=np.uint64)
 COUNTERS = 22  # bits: the sketch has this many counters, whatever the input
 BLOCK = 1 << 16  # counters that travel together
-BATCH = 2 << 20  # bytes of text at a time
+BATCH = 1 << 19  # bytes of text at a time
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -268,7 +268,7 @@ def _prefixes(words: int, percent: int, classes: np.ndarray, pieces: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for batch in by_bytes(batches, "text", 8 * BATCH):
+        for batch in by_bytes(batches, "text", 16 * BATCH):
             ids = np.asarray(batch.column("id"))
             taken = [[], [], [], []]
             for start, part in _parts(batch):
