@@ -13,7 +13,7 @@ from mobility_lake.operators.spine import missing_hours
 from mobility_lake.plans import marts as m
 from mobility_lake.plans import reports
 from mobility_lake.sources.lake import register_view
-from mobility_lake.sources.regions import load_regions
+from mobility_lake.sources.regions import load_regions, valid_regions
 from mobility_lake.session import shared_dir
 
 
@@ -197,12 +197,6 @@ def detail_table(spark, sf):
 # --- joins, spine --------------------------------------------------------------------------------
 
 
-def _regions(spark, sf):
-    path = shared_dir(spark, "regions")
-    v.region_source(spark, sf).write.json(path)
-    return load_regions(spark, path, array=False)
-
-
 @query(
     "region_dimension",
     with_views(
@@ -212,7 +206,9 @@ def _regions(spark, sf):
     ),
 )
 def region_dimension(spark, sf):
-    valid, rejects = _regions(spark, sf)
+    path = shared_dir(spark, "regions")
+    v.region_source(spark, sf).write.json(path)
+    valid, rejects = load_regions(spark, path, array=False)
     return valid.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejects)
 
 
@@ -227,7 +223,7 @@ def region_dimension(spark, sf):
     ),
 )
 def traffic_with_region(spark, sf):
-    valid, _ = _regions(spark, sf)
+    valid, _ = valid_regions(v.region_source(spark, sf))
     seen = v.traffic(spark, sf).select("event_id", "region_id", "city", "event_ts")
     return with_region(seen, valid)
 
