@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobility_lake.functions.values import exact_mean, exact_total
@@ -53,9 +53,8 @@ def series(mart: DataFrame, measure: str, drop_null: bool = False) -> DataFrame:
 def pairs(mart: DataFrame, x: str, y: str) -> DataFrame:
     """Complete (x, y) pairs for a scatter plot; none at all unless there are at least two."""
     complete = complete_pairs(mart, [x, y])
-    # Counted where the pairs are: the mart is small, and nothing runs before the plan does.
-    counted = complete.withColumn("_pairs", F.count("*").over(Window.partitionBy(F.lit(1))))
-    return counted.filter(F.col("_pairs") > 1).drop("_pairs")
+    # A subquery of the plan: nothing runs before the result is asked for.
+    return complete.filter(complete.select(F.count("*")).scalar() > 1)
 
 
 def detail_table(mart: DataFrame) -> DataFrame:

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mobility_lake.contracts import REGIONS
-from mobility_lake.operators.quality import missing, split_rejects
+from mobility_lake.operators.quality import REASON, missing, split_rejects
 
 
 def load_regions(
@@ -27,12 +25,14 @@ def load_regions(
 
 def valid_regions(regions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid regions, rejects) of a frame with the region fields."""
-    incomplete = missing(*REGIONS.names)
-    # Complete rows come first, so an incomplete one never takes the place of another.
-    order = Window.partitionBy("region_id").orderBy(
-        incomplete, *[name for name in REGIONS.names if name != "region_id"]
-    )
-    numbered = regions.withColumn("_nth", F.row_number().over(order))
-    rules = {"incomplete": incomplete, "repeated id": F.col("_nth") > 1}
-    good, bad = split_rejects(numbered, rules)
-    return good.drop("_nth"), bad.drop("_nth")
+    marked, incomplete = split_rejects(regions, {"incomplete": missing(*REGIONS.names)})
+    names = [name for name in REGIONS.names if name != "region_id"]
+    # Equal rows once with their number, and the row of each id that stays; no id meets in one task
+    # with all of its rows.
+    distinct = marked.groupBy(*REGIONS.names).agg(F.count("*").alias("_copies"))
+    kept = marked.groupBy("region_id").agg(F.min(F.struct(*names)).alias("_kept"))
+    valid = kept.select("_kept.*", "region_id").select(*REGIONS.names)
+    stays = (F.struct(*names) == F.col("_kept")).cast("int")
+    surplus = F.array_repeat(F.lit("repeated id"), (F.col("_copies") - stays).cast("int"))
+    repeated = distinct.join(kept, "region_id").select(*REGIONS.names, F.explode(surplus).alias(REASON))
+    return valid, incomplete.unionByName(repeated)

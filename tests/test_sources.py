@@ -20,7 +20,7 @@ from mobility_lake.sources.lake import (
     stored_schema,
 )
 from mobility_lake.sources.landing import load_by_name, load_new_files, load_report
-from mobility_lake.sources.regions import load_regions
+from mobility_lake.sources.regions import load_regions, valid_regions
 from mobility_lake.plans import gold, reports
 from mobility_lake.operators.rollup import rollup
 
@@ -207,3 +207,12 @@ def test_catalog_and_session(spark):
     assert session.shuffle_partitions(0, 8) == 16
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
     assert session.pin(spark).conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_repeated_regions_are_rejected(spark):
+    rows = [("A", "r1", "x", 1.0, 2.0), ("B", "r1", "x", 1.0, 2.0), ("A", "r1", "x", 1.0, 2.0), ("C", "r2", None, 1.0, 2.0),
+            ("C", "r2", "y", 3.0, 4.0)]
+    valid, rejects = valid_regions(spark.createDataFrame(rows, contracts.REGIONS))
+    assert sorted((r["city"], r["region_id"]) for r in valid.collect()) == [("A", "r1"), ("C", "r2")]
+    found = sorted((r["city"], r["reject_reason"]) for r in rejects.collect())
+    assert found == [("A", "repeated id"), ("B", "repeated id"), ("C", "incomplete")]
