@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import io
 import zipfile
@@ -70,7 +72,7 @@ _SHIPPED: set[str] = set()
 
 
 # Arrow batches are cut at this many bytes, so that long texts do not add up in a worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -90,7 +92,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def by_bytes(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut so that a text column stays near `most` bytes; a longer text is alone."""
+    """Arrow batches cut so that a text column stays near `most` bytes; a longer text is alone.
+
+    A worker outlives its task, so what the batches used goes back to the system behind the last.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
         ends = np.cumsum(sizes)
@@ -100,6 +106,15 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20
             stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system, where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def gathered(batches: Iterable[pa.RecordBatch], column: str, least: int) -> Iterator[pa.RecordBatch]:
