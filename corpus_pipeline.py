@@ -39,13 +39,17 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words are in no group and stay; of rows that share an id one stays, and so do rows without an id.
     """
     ship(session.pin(spark))
-    groups = ngram_join.near_duplicates(docs, words=5, percent=75)
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("_first")).drop("_first")
+    groups = written(ngram_join.near_duplicates(docs, words=5, percent=75), "groups")
+    dropped = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    repeated = groups.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    # Most documents stay as they are; only those in question are shuffled.
+    asked = written(dropped.union(repeated).distinct(), "asked")
+    maybe, stays = ngram_join.split_likely(docs.filter("doc_id is not null"), asked, "doc_id")
+    kept = maybe.join(dropped, "doc_id", "left_anti").select(docs.columns)
     # A repeated id is one document; one of its rows stays.
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns))
     once = kept.withColumn("_row", F.row_number().over(order)).filter(F.col("_row") == 1).drop("_row")
-    return once.unionByName(docs.filter("doc_id is null")).select(docs.columns)
+    return stays.unionByName(once).unionByName(docs.filter("doc_id is null")).select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

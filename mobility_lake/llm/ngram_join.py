@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mobility_lake.llm.common import by_bytes, lanes, written
@@ -557,18 +557,25 @@ def _blocks(clusters: DataFrame, unit_docs: int) -> DataFrame:
 FILTER = 23  # bits of the row filter, as a power of two
 
 
-def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`rows` whose id hashes to a bit that some wanted id hashes to, before their texts are shuffled.
+def split_likely(rows: DataFrame, wanted: DataFrame, row_id: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose id may be among the wanted ones, and rows whose id certainly is not; nothing is shuffled.
 
-    The bits are a table of at most 2**17 rows whatever the number of ids, so it is broadcast; the more ids are
-    wanted the fewer rows it drops, and the join behind it decides.
+    An id hashes to a bit, which is set if some wanted id hashes to it. The bits are a table of at most
+    2**17 rows whatever the number of ids, so it is broadcast. The more ids are wanted the more rows may be; a
+    join behind this decides.
     """
-    bit = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER)).cast("int")
+    bit = F.pmod(F.xxhash64(row_id), F.lit(1 << FILTER)).cast("int")
     bits = wanted.select(bit.alias("bit")).groupBy(F.expr("int(bit div 64)").alias("_word"))
     words = bits.agg(F.bit_or(F.expr("shiftleft(1L, bit % 64)")).alias("_bits"))
     marked = rows.withColumn("_bit", bit).withColumn("_word", F.expr("int(_bit div 64)"))
-    near = marked.join(F.broadcast(words), "_word").filter("shiftrightunsigned(_bits, _bit % 64) & 1 = 1")
-    return near.select(rows.columns)
+    marked = marked.join(F.broadcast(words), "_word", "left")
+    may = F.expr("coalesce(shiftrightunsigned(_bits, _bit % 64) & 1 = 1, false)")
+    return marked.filter(may).select(rows.columns), marked.filter(~may).select(rows.columns)
+
+
+def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows that a join with the wanted ids can keep, before their texts are shuffled."""
+    return split_likely(rows, wanted, "id")[0]
 
 
 def near_duplicates(
