@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 from mobility_lake.llm.common import by_bytes, gathered, spliced, written
 from mobility_lake.llm.merges import Merges, byte_letters
 
-CACHED_WORDS = 200_000  # in each of two generations
+CACHED_WORDS = 150_000  # in each of two generations
 LONG_WORD = 256
 # Texts of Latin letters only have one lower case, before and after normalising.
 PLAIN_WORD = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
 STOPPED = r"^\pL+[,.]$"
 NOT_PLAIN = r"[^\x00-\x{12f}\x{131}-\x{24f}]|<\|"
-BATCH = 24 << 20  # bytes of text at a time
+BATCH = 16 << 20  # bytes of text at a time
 
 
 class WordTokenizer:
