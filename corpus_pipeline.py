@@ -14,7 +14,8 @@ from mobility_lake.llm import language_mixture, ngram_join, packing, suffix_dedu
 from mobility_lake.llm.common import ship, written
 
 TOKENIZER = "word_bpe_49k.json"
-PASSAGE = 256  # bytes; about 40 words, so that a repeated passage of 50 is found whatever its words
+PASSAGE = 256  # bytes of a repeated string that goes whatever its words
+WORDS = 51  # words of a repeated passage that goes whatever its bytes
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,12 +54,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut out byte strings of `PASSAGE` or more that also start elsewhere; documents with nothing left go.
+    """Cut out strings of `WORDS` words or `PASSAGE` bytes or more that also start elsewhere; documents with nothing left go.
 
     What is left of a character that was cut into goes as well. `n_chars` is counted anew.
     """
     ship(session.pin(spark))
-    removed = suffix_dedup.remove_repeats(docs, length=PASSAGE, as_text=True)
+    removed = suffix_dedup.remove_passages(docs, words=WORDS, length=PASSAGE, as_text=True)
     texts = removed.withColumn("text", F.col("kept")).filter("text <> ''")
     if "n_chars" in docs.columns:
         texts = texts.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

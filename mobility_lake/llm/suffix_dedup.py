@@ -33,12 +33,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mobility_lake.llm.common import by_bytes, lanes, written
-from mobility_lake.llm.ngram_join import LETTERS, ODD, _POWERS, mixed
+from mobility_lake.llm.ngram_join import LETTERS, ODD, SPACE, _POWERS, mixed
 
 CHUNK = 1 << 20  # bytes of a text at a time
 LOW = np.uint64((1 << 32) - 1)
@@ -349,12 +349,7 @@ def _remove(passed: list[str], as_text: bool):
             texts = pc.fill_null(batch.column("_body").cast(pa.binary()), b"")
             for at, found in enumerate(batch.column("_found").to_pylist()):
                 text = texts[at].as_py()
-                merged: list[list[int]] = []
-                for interval in sorted((i["start"], i["stop"]) for i in found or ()):
-                    if merged and interval[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], interval[1])
-                    else:
-                        merged.append(list(interval))
+                merged = _merged(found)
                 edges = [0, *(x for pair in merged for x in pair), len(text)]
                 rest = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])) if merged else text
                 kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
@@ -365,19 +360,90 @@ def _remove(passed: list[str], as_text: bool):
     return run
 
 
-def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, most: int = 50_000,
-    as_text: bool = False,
-) -> DataFrame:
-    """`docs` with `spans`, the removed byte ranges, and `kept`, the remaining bytes.
+def _string_rows(words: int, length: int):
+    """The strings that a document's intervals cover, of at least `words` words or `length` bytes."""
+    schema = pa.schema(
+        [("id", pa.int64()), ("_text", pa.int32()), ("start", pa.int64()), ("body", pa.binary())]
+        + [("opens", pa.bool_()), ("closes", pa.bool_())]
+    )
 
-    `as_text` gives `kept` as a string, without the rests of characters that were cut into.
-    """
-    spark = docs.sparkSession
-    passed = [c for c in docs.columns if c not in ("spans", "kept") and not c.startswith("_")]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "text", 4 << 20):
+            out: dict[str, list] = {n: [] for n in schema.names}
+            ids, numbers = batch.column("id").to_pylist(), batch.column("_text").to_pylist()
+            texts = pc.fill_null(batch.column("text").cast(pa.binary()), b"")
+            for at, found in enumerate(batch.column("_found").to_pylist()):
+                text = texts[at].as_py()
+                for start, stop in _merged(found):
+                    body = text[start:stop]
+                    if len(body) < length and len(body.split()) < words:
+                        continue
+                    # Whether the words at its ends are whole.
+                    opens, closes = not text[max(0, start - 1) : start].strip(), not text[stop : stop + 1].strip()
+                    for own, value in zip(out.values(), (ids[at], numbers[at], start, body, opens, closes)):
+                        own.append(value)
+            yield pa.RecordBatch.from_pydict(out, schema)
+
+    return run, "id long, _text int, start long, body binary, opens boolean, closes boolean"
+
+
+def _word_windows(words: int):
+    """Two digests of every string of `words` whole words, from the first one's start to the last one's end."""
+    schema = pa.schema([(n, pa.int64()) for n in ("id", "start", "stop", "d1", "d2")] + [("_text", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "body", 1 << 20):
+            columns = [batch.column(c).to_pylist() for c in ("id", "_text", "start", "body", "opens", "closes")]
+            taken: list[list[np.ndarray]] = [[] for _ in schema]
+            for number, text, start, body, opens, closes in zip(*columns):
+                whole = np.frombuffer(body, np.uint8)
+                edge = np.diff(np.concatenate([[1], SPACE[whole].view(np.int8), [1]]))
+                begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+                keep = (opens | (begin > 0)) & (closes | (end < len(whole)))
+                begin, end = begin[keep], end[keep]
+                n = len(begin) - words + 1
+                if n < 1:
+                    continue
+                begin, end = begin[:n], end[words - 1 :]
+                up, down = _POWERS.to(len(whole) + 1)
+                digests = []
+                for letters in (LETTERS, mixed(LETTERS)):
+                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters[whole] * up[: len(whole)])])
+                    value = (sums[end] - sums[begin]) * down[begin]
+                    digests.append(mixed(value + (end - begin).astype(np.uint64)).view(np.int64))
+                parts = (np.full(n, number), begin + start, end + start, *digests, np.full(n, text, np.int32))
+                for own, part in zip(taken, parts):
+                    own.append(part)
+            if taken[0]:
+                yield pa.record_batch([pa.array(np.concatenate(t)) for t in taken], schema=schema)
+
+    return run, "id long, start long, stop long, d1 long, d2 long, _text int"
+
+
+def _merged(found: list[dict] | None) -> list[list[int]]:
+    merged: list[list[int]] = []
+    for interval in sorted((i["start"], i["stop"]) for i in found or ()):
+        if merged and interval[0] <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], interval[1])
+        else:
+            merged.append(list(interval))
+    return merged
+
+
+def _numbered(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, Column]:
+    """What tells documents apart: the id and a number from the text."""
     number = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("id"), F.col(text).alias("text"), number.alias("_text"))
-    pieces = lanes(spark)
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), number
+
+
+def _together(intervals: DataFrame) -> DataFrame:
+    """All intervals of each document."""
+    return intervals.groupBy("id", "_text").agg(F.collect_set(F.struct("start", "stop")).alias("_found"))
+
+
+def _repeats(rows: DataFrame, length: int, most: int) -> DataFrame:
+    """(id, _text, start, stop): what repeated windows cover in documents (id, _text, text)."""
+    pieces = lanes(rows.sparkSession)
     sent = rows.mapInArrow(*_send(length, pieces)).repartitionById(pieces, F.col("piece"))
     settled = written(sent.mapInArrow(*_settle(length, most)), "settled")
 
@@ -396,14 +462,65 @@ def remove_repeats(
     # A suffix that stands for several counts as often; its own windows are settled anyway.
     twice = windows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     hit = windows.join(twice, ["d1", "d2"], "left_semi").select("id", "_text", "start", (F.col("start") + length).alias("stop"))
-    found = intervals.unionByName(hit).groupBy("id", "_text").agg(F.collect_set(F.struct("start", "stop")).alias("_found"))
-    found = found.withColumnsRenamed({"id": "_of", "_text": "_of_text"})
+    return intervals.unionByName(hit)
 
-    whole = docs.select(
-        *passed, F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("_id"), number.alias("_number"), F.col(text).alias("_body")
-    )
+
+def _cut(docs: DataFrame, doc_id: str, text: str, intervals: DataFrame, as_text: bool) -> DataFrame:
+    """`docs` with `spans` and `kept`."""
+    passed = [c for c in docs.columns if c not in ("spans", "kept") and not c.startswith("_")]
+    found = _together(intervals).withColumnsRenamed({"id": "_of", "_text": "_of_text"})
+    key, number = _numbered(docs, doc_id, text)
+    whole = docs.select(*passed, key.alias("_id"), number.alias("_number"), F.col(text).alias("_body"))
     met = whole.join(found, (F.col("_id") == F.col("_of")) & (F.col("_number") == F.col("_of_text")), "left")
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
     fields = [docs.schema[c] for c in passed]
     schema = T.StructType([*fields, T.StructField("spans", span), T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
     return met.select(*passed, "_body", "_found").mapInArrow(_remove(passed, as_text), schema)
+
+
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, most: int = 50_000,
+    as_text: bool = False,
+) -> DataFrame:
+    """`docs` with `spans`, the removed byte ranges, and `kept`, the remaining bytes.
+
+    `as_text` gives `kept` as a string, without the rests of characters that were cut into.
+    """
+    key, number = _numbered(docs, doc_id, text)
+    rows = docs.select(key.alias("id"), F.col(text).alias("text"), number.alias("_text"))
+    return _cut(docs, doc_id, text, _repeats(rows, length, most), as_text)
+
+
+def remove_passages(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 51, length: int = 256, most: int = 50_000,
+    as_text: bool = False,
+) -> DataFrame:
+    """As `remove_repeats` for strings of `words` words, however short, and for strings of `length` bytes.
+
+    Words are what white space separates, and a window of words counts with the white space inside. `words` words
+    have 2 * `words` - 1 bytes or more, so whatever repeats is inside the strings that windows of so many bytes
+    give. These are few; in them the windows of words are counted, and the windows of `length` bytes are
+    found as in documents. Shorter strings, of fewer words, stay.
+    """
+    key, number = _numbered(docs, doc_id, text)
+    rows = docs.select(key.alias("id"), F.col(text).alias("text"), number.alias("_text"))
+    within = _together(_repeats(rows, min(2 * words - 1, length), most))
+    strings = written(rows.join(within, ["id", "_text"]).mapInArrow(*_string_rows(words, length)), "strings")
+
+    windows = strings.select("id", "_text", "start", "body", "opens", "closes").mapInArrow(*_word_windows(words))
+    windows = written(windows, "windows")
+    twice = windows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    passages = windows.join(twice, ["d1", "d2"], "left_semi").select("id", "_text", "start", "stop")
+
+    # A string is a document of its own, told apart by its place as well.
+    of = F.xxhash64("id", "_text", "start")
+    long = strings.filter(F.octet_length("body") >= length).withColumn("of", of)
+    parts = long.select(F.col("of").alias("id"), F.col("body").alias("text"), "_text")
+    inside = _repeats(parts, length, most).select(
+        F.col("id").alias("of"), F.col("_text").alias("of_text"), F.col("start").alias("a"), F.col("stop").alias("b")
+    )
+    places = long.select("of", "id", "_text", "start").distinct()
+    bytes_ = inside.join(places, (F.col("of_text") == F.col("_text")) & (inside["of"] == places["of"])).select(
+        "id", "_text", (F.col("start") + F.col("a")).alias("at"), (F.col("start") + F.col("b")).alias("stop")
+    ).withColumnRenamed("at", "start")
+    return _cut(docs, doc_id, text, passages.unionByName(bytes_), as_text)

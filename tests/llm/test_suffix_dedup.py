@@ -1,4 +1,6 @@
+import collections
 import random
+import re
 
 import brute
 import numpy as np
@@ -64,3 +66,39 @@ def test_odd_rows(documents, clashing, nothing):
         assert ([(s["start"], s["stop"]) for s in r["spans"]], bytes(r["kept"])) == expected[r["doc_id"], r["text"]]
     assert "id" in got[0].asDict()
     assert sd.remove_repeats(nothing, length=400).collect() == []
+
+
+def test_passages_of_short_words_go_and_shorter_ones_stay(spark):
+    random.seed(12)
+    word = lambda: "".join(random.choices("abcdefghijk", k=random.randint(2, 3)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    passage, short, other = words(51), words(45), words(45)
+    assert len(passage) < 256 and len(short) > 101
+    texts = [
+        f"{words(70)} {passage} {words(40)}", f"{words(20)} {passage}\n{words(30)}", f"{words(30)} {short} {other} {words(9)}",
+        f"{words(12)} {short} {words(30)}", f"{other} {words(25)}", words(300), "a" * 2000, None,
+    ]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r["text"]: r["kept"] for r in sd.remove_passages(docs, as_text=True).collect()}
+    assert len(got) == len(texts)
+    for text in texts[:2]:
+        assert passage not in got[text] and got[text].split() == text.replace(passage, "").split()
+    # Two repeated strings in a row are not one: each is of fewer words.
+    for text in texts[2:6]:
+        assert got[text] == text
+    assert got["a" * 2000] == ""
+
+
+@pytest.mark.parametrize("most", [50_000, 2])
+def test_passages_are_words_or_bytes(spark, most):
+    texts = corpus(5, 60)
+    windows = lambda t: [(m[0].start(), m[-1].end()) for m in zip(*(list(re.finditer(rb"[^ ]+", t))[i:] for i in range(7)))]
+    raw = [(t or "").encode() for t in texts]
+    seen = collections.Counter(t[a:b] for t in raw for a, b in windows(t))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: bytes(r["kept"]) for r in sd.remove_passages(docs, words=7, length=60, most=most).collect()}
+    for i, (t, (spans, _)) in enumerate(zip(raw, brute.without_repeats(texts, 60))):
+        gone = bytearray(len(t))
+        for a, b in spans + [(a, b) for a, b in windows(t) if seen[t[a:b]] > 1]:
+            gone[a:b] = b"\1" * (b - a)
+        assert got[i] == bytes(b for b, g in zip(t, gone) if not g), i
