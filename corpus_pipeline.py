@@ -6,7 +6,7 @@ documents with the columns they came with; the last returns packed token pieces.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobility_lake import session
@@ -35,22 +35,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies (five words, Jaccard of 0.75): its smallest id.
+    """Keep one row of each group of near copies (five words, Jaccard of 0.75): that of the smallest id, null last.
 
-    Documents without words are in no group and stay; of rows that share an id one stays, and so do rows without an id.
+    Every row is a document of its own, whatever its id. Rows without words are in no group and stay.
     """
     ship(session.pin(spark))
-    groups = written(ngram_join.near_duplicates(docs, words=5, percent=75), "groups")
-    dropped = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    repeated = groups.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    # Most documents stay as they are; only those in question are shuffled.
-    asked = written(dropped.union(repeated).distinct(), "asked")
-    maybe, stays = ngram_join.split_likely(docs.filter("doc_id is not null"), asked, "doc_id")
-    kept = maybe.join(dropped, "doc_id", "left_anti").select(docs.columns)
-    # A repeated id is one document; one of its rows stays.
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns))
-    once = kept.withColumn("_row", F.row_number().over(order)).filter(F.col("_row") == 1).drop("_row")
-    return stays.unionByName(once).unionByName(docs.filter("doc_id is null")).select(docs.columns)
+    columns = docs.columns
+    keyed = written(docs.withColumn("_key", F.monotonically_increasing_id()), "keyed")
+    groups = ngram_join.near_duplicates(keyed, doc_id="_key", words=5, percent=75)
+    ranks = keyed.select(F.col("_key").alias("key"), F.col("doc_id").isNull().alias("none"), "doc_id")
+    groups = groups.join(ranks, groups["_key"] == ranks["key"]).select("key", "component_id", "none", "doc_id")
+    groups = written(groups, "groups")
+    first = groups.groupBy("component_id").agg(F.min(F.struct("none", "doc_id", "key")).alias("_first"))
+    dropped = groups.join(first.select(F.col("_first.key").alias("key")), "key", "left_anti")
+    dropped = written(dropped.select(F.col("key").alias("_key")), "dropped")
+    # Most rows stay as they are; only those in question are shuffled.
+    maybe, stays = ngram_join.split_likely(keyed, dropped, "_key")
+    return stays.unionByName(maybe.join(dropped, "_key", "left_anti")).select(columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

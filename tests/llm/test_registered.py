@@ -74,3 +74,14 @@ def test_pipeline_stages(spark, documents, sf):
 
 def test_pipeline_runs_over_its_table(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_near_copies_takes_rows_not_ids(spark):
+    texts = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(6)]
+    near = texts[1] + " end"
+    rows = [(1, texts[0]), (1, texts[2]), (1, texts[3]), (None, near), (4, texts[1]), (None, texts[4]), (None, texts[4]), (7, texts[2]), (1, texts[5]), (1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((tuple(r) for r in dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, "").collect()), key=repr)
+    assert kept == sorted(
+        [(1, texts[0]), (1, texts[2]), (1, texts[3]), (4, texts[1]), (None, texts[4]), (1, texts[5]), (1, None)], key=repr
+    )
