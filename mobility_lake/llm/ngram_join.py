@@ -29,7 +29,6 @@ texts one set counts, the smallest by size and digest; rows with a null id are l
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -263,28 +262,31 @@ def ordered(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(words: int, percent: int, classes: np.ndarray, pieces: int):
-    """Prefix shingles of a batch, packed by the piece they are dealt to."""
+    """Prefix shingles of a batch, packed by the piece they are dealt to, with the first digest of their set.
+
+    Sets of one first digest would only be candidates for the same partners.
+    """
     schema = pa.schema([("piece", pa.int32())] + [(c, pa.binary()) for c in ("keys", "ids", "sizes", "places")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+        seen: set[tuple[int, int]] = set()
         for batch in by_bytes(batches, "text", 16 * BATCH):
-            ids = np.asarray(batch.column("id"))
             taken = [[], [], [], []]
-            for start, part in _parts(batch):
-                keys, bounds = distinct_sets(*_keyed(part, words, classes), part.num_rows)
+            for part in by_bytes([batch], "text", BATCH):
+                owner, hashes = shingles(part.column("text"), words)
+                digests = _digests(*distinct_sets(owner, hashes, part.num_rows))
+                keys, bounds = distinct_sets(owner, ordered(hashes, classes), part.num_rows)
                 sizes = np.diff(bounds)
                 length = np.where(sizes > 0, sizes - -(-percent * sizes // 100) + 1, 0)
-                for at in range(part.num_rows):  # a repeat within the task adds no group
-                    digest = hashlib.blake2b(keys[bounds[at] : bounds[at + 1]].tobytes(), digest_size=16).digest()
-                    if digest in seen:
+                for at, digest in enumerate(zip(*(d.tolist() for d in digests))):
+                    if digest in seen:  # a repeat within the task adds no group
                         length[at] = 0
                     seen.add(digest)
                 total = int(length.sum())
                 place = np.arange(total) - np.repeat(np.cumsum(length) - length, length)
                 owner = np.repeat(np.arange(part.num_rows), length)
                 taken[0].append(keys[bounds[owner] + place])
-                taken[1].append(ids[start + owner])
+                taken[1].append(digests[0][owner])
                 taken[2].append(sizes[owner].astype(np.int32))
                 taken[3].append(place.astype(np.int32))
             key, *rest = (np.concatenate(t) for t in taken)
@@ -303,20 +305,8 @@ def _prefixes(words: int, percent: int, classes: np.ndarray, pieces: int):
     return run, "piece int, keys binary, ids binary, sizes binary, places binary"
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
-    at = 0
-    for part in by_bytes([batch], "text", BATCH):
-        yield at, part
-        at += part.num_rows
-
-
-def _keyed(batch: pa.RecordBatch, words: int, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    owner, hashes = shingles(batch.column("text"), words)
-    return owner, ordered(hashes, classes)
-
-
 def _groups(percent: int):
-    """Documents that meet at a shingle, from all packed prefixes of a piece."""
+    """Sets that meet at a shingle, by their first digest, from all packed prefixes of a piece."""
     schema = pa.schema([("members", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -590,7 +580,7 @@ def near_duplicates(
     given = described.filter("block is null").select("id", "size", "d1", "d2")
     marked = described.filter("block is null").select("id", "size", "d1", "d2", "bits")
     sets = given.groupBy("id").agg(F.min(F.struct("size", "d1", "d2")).alias("s")).select("id", "s.*")
-    same = sets.filter("size > 0").groupBy("size", "d1", "d2").agg(F.min("id").alias("class"))
+    same = written(sets.filter("size > 0").groupBy("size", "d1", "d2").agg(F.min("id").alias("class")), "classes")
     member = written(sets.join(same, ["size", "d1", "d2"], "left").select("id", "size", "class"), "members")
 
     shared = spark.sparkContext.broadcast(classes)  # a byte per counter
@@ -604,11 +594,9 @@ def near_duplicates(
 
     packed = rows.mapInArrow(prefixes, "piece int, keys binary, ids binary, sizes binary, places binary")
     met = packed.repartitionById(pieces, F.col("piece")).mapInArrow(*_groups(percent)).distinct()
-    # Members by class; equal sets need no candidate.
+    # Members by class; equal sets need no candidate, sets that do not count for an id have no class.
     met = written(met.withColumn("group", F.xxhash64("members")), "met")
-    named = met.select("group", "members", F.explode("members").alias("id")).join(
-        member.filter("class is not null").select("id", "class"), "id"
-    )
+    named = met.select("group", "members", F.explode("members").alias("d1")).join(same.select("d1", "class"), "d1")
     groups = (
         named.groupBy("members").agg(F.array_sort(F.collect_set("class")).alias("classes"))
         .select(F.col("classes").alias("members")).filter(F.size("members") > 1).distinct()

@@ -86,3 +86,16 @@ def test_screen_keeps_every_linked_pair_connected():
             if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j])):
                 assert top[i] == top[j]
     assert len(edges) < len(sets) - 20
+
+
+def test_repeated_ids_with_differing_texts_hide_no_candidate(spark):
+    random.seed(21)
+    word = lambda: "".join(random.choices("abcdefgh", k=4))
+    base = [word() for _ in range(80)]
+    small, text = " ".join(word() for _ in range(10)), " ".join(base)
+    near = " ".join(base[:70] + [word() for _ in range(5)])
+    # Of id 5 the smaller set counts; its other text is that of 7, and 9 is near it.
+    rows = [(5, small), (5, text), (7, text), (9, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {(i, c) for i, _, c in run(docs)}
+    assert found == {(5, 5), (7, 7), (9, 7)}
