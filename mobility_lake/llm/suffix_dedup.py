@@ -22,7 +22,7 @@ gives the digests of all its windows instead, and equal ones are counted. The re
 
 Texts are UTF-8 bytes; null is empty. Matches never cross documents, they may overlap within
 one. Equal rows are documents of their own, so each repeats the other. Ids are whole numbers and may
-be null or repeat: documents are told apart by id and text. An empty table gives no rows. Columns of the
+be null or repeat: documents are told apart by id and text (two 64-bit hashes of both). An empty table gives no rows. Columns of the
 input pass through; `spans`, `kept` and names that start with `_` are replaced.
 """
 
@@ -43,7 +43,7 @@ from mobility_lake.llm.ngram_join import LETTERS, ODD, SPACE, _POWERS, mixed
 CHUNK = 1 << 20  # bytes of a text at a time
 LOW = np.uint64((1 << 32) - 1)
 FIELDS = ("keys", "digests", "ids", "texts", "places", "before", "behind")
-KINDS = (np.uint64, np.uint64, np.int64, np.int32, np.int32, np.int16, np.int16)
+KINDS = (np.uint64, np.uint64, np.int64, np.int64, np.int32, np.int16, np.int16)
 
 
 def anchors(text: bytes, length: int) -> list[tuple[np.ndarray, ...]]:
@@ -99,7 +99,7 @@ def _send(length: int, pieces: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text", 16 << 20):
             taken: list[list[np.ndarray]] = [[] for _ in FIELDS]
-            ids = np.asarray(pc.fill_null(batch.column("id"), 0))
+            ids = np.asarray(batch.column("id"))
             numbers = np.asarray(batch.column("_text"))
             texts = pc.fill_null(batch.column("text").cast(pa.binary()), b"")
             for at in range(batch.num_rows):
@@ -128,7 +128,7 @@ def _send(length: int, pieces: int):
 def _settle(length: int, most: int):
     """Count leading hashes and surroundings of a piece: intervals of what is settled, suffixes to compare."""
     schema = pa.schema(
-        [("id", pa.int64()), ("_text", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())]
+        [("id", pa.int64()), ("_text", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())]
         + [("key", pa.int64()), ("single", pa.bool_()), ("many", pa.bool_())]
     )
 
@@ -170,7 +170,7 @@ def _settle(length: int, most: int):
         at = place[order].astype(np.int64)[compare]
         yield rows(compare, at, at, True)
 
-    return run, "id long, _text int, start long, stop long, key long, single boolean, many boolean"
+    return run, "id long, _text long, start long, stop long, key long, single boolean, many boolean"
 
 
 def _surround(length: int):
@@ -199,10 +199,10 @@ def _surround(length: int):
 
 
 SURROUNDED = pa.schema(
-    [("id", pa.int64()), ("_text", pa.int32()), ("place", pa.int64()), ("key", pa.int64()), ("single", pa.bool_())]
+    [("id", pa.int64()), ("_text", pa.int64()), ("place", pa.int64()), ("key", pa.int64()), ("single", pa.bool_())]
     + [("many", pa.bool_()), ("left", pa.binary()), ("right", pa.binary())]
 )
-SURROUNDED_SQL = "id long, _text int, place long, key long, single boolean, many boolean, left binary, right binary"
+SURROUNDED_SQL = "id long, _text long, place long, key long, single boolean, many boolean, left binary, right binary"
 
 
 def multikey_sort(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -277,8 +277,8 @@ def repeated_windows(left: list[bytes], right: list[bytes], length: int) -> tupl
     return out_small, out_large
 
 
-INTERVALS = pa.schema([("id", pa.int64()), ("_text", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())])
-INTERVALS_SQL = "id long, _text int, start long, stop long"
+INTERVALS = pa.schema([("id", pa.int64()), ("_text", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
+INTERVALS_SQL = "id long, _text long, start long, stop long"
 
 
 def _compare(length: int):
@@ -309,7 +309,7 @@ def _windows(length: int):
     """Two digests of each window of a suffix that is one of very many."""
     lead = length // 2
     schema = pa.schema(
-        [("id", pa.int64()), ("_text", pa.int32()), ("start", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())]
+        [("id", pa.int64()), ("_text", pa.int64()), ("start", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,14 +327,14 @@ def _windows(length: int):
                 yield pa.record_batch(
                     [
                         pa.array([row["id"]] * n, pa.int64()),
-                        pa.array([row["_text"]] * n, pa.int32()),
+                        pa.array([row["_text"]] * n, pa.int64()),
                         pa.array(row["place"] - offsets),
                         *map(pa.array, digests),
                     ],
                     schema=schema,
                 )
 
-    return run, "id long, _text int, start long, d1 long, d2 long"
+    return run, "id long, _text long, start long, d1 long, d2 long"
 
 
 def _remove(passed: list[str], as_text: bool):
@@ -363,7 +363,7 @@ def _remove(passed: list[str], as_text: bool):
 def _string_rows(words: int, length: int):
     """The strings that a document's intervals cover, of at least `words` words or `length` bytes."""
     schema = pa.schema(
-        [("id", pa.int64()), ("_text", pa.int32()), ("start", pa.int64()), ("body", pa.binary())]
+        [("id", pa.int64()), ("_text", pa.int64()), ("start", pa.int64()), ("body", pa.binary())]
         + [("opens", pa.bool_()), ("closes", pa.bool_())]
     )
 
@@ -384,12 +384,12 @@ def _string_rows(words: int, length: int):
                         own.append(value)
             yield pa.RecordBatch.from_pydict(out, schema)
 
-    return run, "id long, _text int, start long, body binary, opens boolean, closes boolean"
+    return run, "id long, _text long, start long, body binary, opens boolean, closes boolean"
 
 
 def _word_windows(words: int):
     """Two digests of every string of `words` whole words, from the first one's start to the last one's end."""
-    schema = pa.schema([(n, pa.int64()) for n in ("id", "start", "stop", "d1", "d2")] + [("_text", pa.int32())])
+    schema = pa.schema([(n, pa.int64()) for n in ("id", "start", "stop", "d1", "d2")] + [("_text", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "body", 1 << 20):
@@ -411,13 +411,13 @@ def _word_windows(words: int):
                     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters[whole] * up[: len(whole)])])
                     value = (sums[end] - sums[begin]) * down[begin]
                     digests.append(mixed(value + (end - begin).astype(np.uint64)).view(np.int64))
-                parts = (np.full(n, number), begin + start, end + start, *digests, np.full(n, text, np.int32))
+                parts = (np.full(n, number), begin + start, end + start, *digests, np.full(n, text))
                 for own, part in zip(taken, parts):
                     own.append(part)
             if taken[0]:
                 yield pa.record_batch([pa.array(np.concatenate(t)) for t in taken], schema=schema)
 
-    return run, "id long, start long, stop long, d1 long, d2 long, _text int"
+    return run, "id long, start long, stop long, d1 long, d2 long, _text long"
 
 
 def _merged(found: list[dict] | None) -> list[list[int]]:
@@ -431,9 +431,10 @@ def _merged(found: list[dict] | None) -> list[list[int]]:
 
 
 def _numbered(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, Column]:
-    """What tells documents apart: the id and a number from the text."""
-    number = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-    return F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), number
+    """What tells documents apart: two hashes of the id and the text. Hashing skips nulls, so null is a value of its own."""
+    own = F.col(doc_id).cast("long")
+    parts = (own.isNull(), own, F.coalesce(F.col(text), F.lit("")))
+    return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
 
 
 def _together(intervals: DataFrame) -> DataFrame:
@@ -513,14 +514,14 @@ def remove_passages(
     passages = windows.join(twice, ["d1", "d2"], "left_semi").select("id", "_text", "start", "stop")
 
     # A string is a document of its own, told apart by its place as well.
-    of = F.xxhash64("id", "_text", "start")
-    long = strings.filter(F.octet_length("body") >= length).withColumn("of", of)
-    parts = long.select(F.col("of").alias("id"), F.col("body").alias("text"), "_text")
+    of = F.xxhash64("id", "start")
+    long = strings.filter(F.octet_length("body") >= length).withColumns({"of": of, "of_text": F.xxhash64("_text", "start")})
+    parts = long.select(F.col("of").alias("id"), F.col("body").alias("text"), F.col("of_text").alias("_text"))
     inside = _repeats(parts, length, most).select(
         F.col("id").alias("of"), F.col("_text").alias("of_text"), F.col("start").alias("a"), F.col("stop").alias("b")
     )
-    places = long.select("of", "id", "_text", "start").distinct()
-    bytes_ = inside.join(places, (F.col("of_text") == F.col("_text")) & (inside["of"] == places["of"])).select(
+    places = long.select("of", "of_text", "id", "_text", "start").distinct()
+    bytes_ = inside.join(places, ["of", "of_text"]).select(
         "id", "_text", (F.col("start") + F.col("a")).alias("at"), (F.col("start") + F.col("b")).alias("stop")
     ).withColumnRenamed("at", "start")
     return _cut(docs, doc_id, text, passages.unionByName(bytes_), as_text)

@@ -102,3 +102,18 @@ def test_passages_are_words_or_bytes(spark, most):
         for a, b in spans + [(a, b) for a, b in windows(t) if seen[t[a:b]] > 1]:
             gone[a:b] = b"\1" * (b - a)
         assert got[i] == bytes(b for b, g in zip(t, gone) if not g), i
+
+
+def test_texts_of_one_id_that_collide_in_31_bits_stay_apart(spark):
+    passage = "a passage of some length that occurs in more than one text"
+    pool = spark.range(400_000).selectExpr(
+        "id", f"if(id % 2 = 0, concat(sha1(string(id)), '{passage}'), concat(sha1(string(id)), sha2(string(id), 256))) as text"
+    ).selectExpr("id % 2 as clean", "text", "xxhash64(text) & 2147483647 as number")
+    other = pool.filter("clean = 1").selectExpr("text as other", "number")
+    pairs = pool.filter("clean = 0").join(other, "number").select("text", "other").collect()
+    assert pairs
+    rows = [(None, t) for pair in pairs for t in pair] + [(0, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["text"]: bytes(r["kept"]) for r in sd.remove_repeats(docs, length=40).collect()}
+    assert kept == {t: rest for (_, t), (_, rest) in zip(rows, brute.without_repeats([t for _, t in rows], 40))}
+    assert all(kept[clean].decode() == clean for _, clean in pairs)
