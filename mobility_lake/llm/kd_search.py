@@ -10,9 +10,10 @@ Two passes: a query first searches the shard it is dealt to, then its k-th score
 to all other shards, where most boxes, or the whole tree, fall below it. The queries are a
 stated set and meet each shard once; a shard returns at most k rows per query.
 
-Components are whole numbers: `floor(scale * x)` with x as double. A vector that is null,
-empty, or holds a component that is null, not finite or at least 2**28 when scaled takes no
-part, neither does a null id. Only vectors of the same length are compared. A query never
+Components are whole numbers: `floor(scale * x)` with x as double, of any size. A vector that is null,
+empty, or holds a component that is null or not finite (when scaled) takes no part, neither does a
+null id. Scores are exact: added as doubles, as longs or as Python's whole numbers, whichever hold them;
+one beyond a long has its right rank and is null. Only vectors of the same length are compared. A query never
 returns rows of its own id; a query id that occurs twice counts once, with its smallest
 vector. Ties go to the smaller id; fewer rows than k give all of them. Repeated rows are
 rows of their own. Columns other than id and vector are ignored.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from mobility_lake.llm.common import lanes, written
 
 LEAF = 128
-LIMIT = 1 << 28
+USUAL = 1 << 24  # rows with a larger component have a tree of their own, so that the others stay fast
 QUERY_BLOCK = 256
 
 
@@ -40,11 +42,7 @@ class Tree:
     """Rows of one shard and length; nodes are numbered, children after their parent."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray) -> None:
-        reach = int(np.abs(rows).max(initial=0)) + 1
-        # Doubles add whole numbers exactly up to 2**53, and much faster than longs.
-        exact = rows.shape[1] * reach * LIMIT < 1 << 53 or rows.shape[1] * reach * reach < 1 << 50
-        self.kind = np.float64 if exact else np.int64
-        self.reach = reach
+        self.reach = int(np.abs(rows).max(initial=0)) + 1
         order = np.arange(len(ids))
         low, high, self.children, self.spans = [], [], [], []
         todo = [(0, len(ids), -1, 0)]
@@ -66,25 +64,30 @@ class Tree:
                 order[start:stop] = order[start:stop][halves]
                 todo.append((start + middle, stop, node, 1))
                 todo.append((start, start + middle, node, 0))
-        self.low, self.high = np.array(low, self.kind).T, np.array(high, self.kind).T
-        self.ids, self.rows = ids[order], np.ascontiguousarray(rows[order], dtype=self.kind)
+        self.low, self.high = np.array(low).T, np.array(high).T
+        self.ids, self.rows = ids[order], np.ascontiguousarray(rows[order])
+        self.held: dict[type, tuple] = {}
+
+    def _as(self, kind: type) -> tuple:
+        if kind not in self.held:
+            self.held[kind] = tuple(_exactly(x, kind) for x in (self.low, self.high, self.rows))
+        return self.held[kind]
 
     def search(self, ids: np.ndarray, queries: np.ndarray, k: int, least: np.ndarray) -> list[list]:
         """For each query up to k (score, -id) of at least `least`, best first."""
-        if self.kind is np.float64 and rows_exact(self.reach, queries):
-            queries = queries.astype(np.float64)
-            low, high = self.low, self.high
-            rows = self.rows
-        else:
-            queries = queries.astype(np.int64)
-            low, high, rows = (x.astype(np.int64) for x in (self.low, self.high, self.rows))
-        bounds = np.maximum(queries, 0) @ high + np.minimum(queries, 0) @ low
-        return [
-            self._one(int(ids[i]), queries[i], rows, bounds[i].tolist(), k, int(least[i]))
-            for i in range(len(ids))
-        ]
+        found: list[list] = [[] for _ in ids]
+        reaches = [int(r) for r in np.abs(queries).max(axis=1, initial=0)]
+        kinds = [kind_of(queries.shape[1], self.reach, r + 1) for r in reaches]
+        for kind in dict.fromkeys(kinds):
+            own = [i for i, k in enumerate(kinds) if k is kind]
+            low, high, rows = self._as(kind)
+            asked = _exactly(queries[own], kind)
+            bounds = np.maximum(asked, 0) @ high + np.minimum(asked, 0) @ low
+            for at, i in enumerate(own):
+                found[i] = self._one(int(ids[i]), asked[at], rows, bounds[at].tolist(), k, least[i])
+        return found
 
-    def _one(self, own: int, query: np.ndarray, rows: np.ndarray, bounds: list, k: int, least: int) -> list:
+    def _one(self, own: int, query: np.ndarray, rows: np.ndarray, bounds: list, k: int, least: float) -> list:
         best: list[tuple[int, int]] = []  # a heap, its worst first
         open_nodes = [(-bounds[0], 0)]
         while open_nodes:
@@ -112,53 +115,78 @@ class Tree:
         return sorted(best, reverse=True)
 
 
-def rows_exact(reach: int, queries: np.ndarray) -> bool:
-    """Whether doubles hold every partial sum exactly."""
-    return queries.shape[1] * reach * (int(np.abs(queries).max(initial=0)) + 1) < 1 << 53
+def kind_of(size: int, reach: int, other: int) -> type:
+    """What holds every partial sum exactly. Doubles do up to 2**53, and add much faster than longs."""
+    most = size * reach * other
+    return np.float64 if most < 1 << 53 else np.int64 if most < 1 << 62 else object
+
+
+def _exactly(values: np.ndarray, kind: type) -> np.ndarray:
+    if kind is not object:
+        return values.astype(kind)
+    out = np.empty(values.shape, object)
+    out.ravel()[:] = [int(x) for x in values.ravel().tolist()]
+    return out
+
+
+def in_order(number: int) -> bytes:
+    """Bytes whose order is that of the numbers."""
+    size = -(-number.bit_length() // 8)
+    if number >= 0:
+        return (0x8000 + size).to_bytes(2, "big") + number.to_bytes(size, "big")
+    return (0x7FFF - size).to_bytes(2, "big") + (number + (1 << 8 * size)).to_bytes(size, "big")
 
 
 def quantised(vector: str, scale: float) -> Column:
     """The whole-number vector, or null for one that takes no part."""
     scaled = F.transform(vector, lambda x: F.lit(float(scale)) * x.cast("double"))
-    whole = F.transform(scaled, lambda x: F.floor(x).cast("int"))
-    inside = F.forall(scaled, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float(LIMIT))), F.lit(False)))
+    # A double from 2**53 on is whole, and may be beyond a long.
+    whole = F.transform(scaled, lambda x: F.when(F.abs(x) < F.lit(2.0**53), F.floor(x).cast("double")).otherwise(x))
+    inside = F.forall(scaled, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False)))
     return F.when((F.size(vector) > 0) & inside, whole)
 
 
 def _search(k: int):
     """Rows sorted by shard and length, vectors before queries: found rows of each query."""
-    out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-    lowest = -(1 << 62)
+    out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("place", pa.binary())])
 
-    def flush(tree: Tree | None, block: list) -> list[dict]:
-        if tree is None or not block:
+    def flush(trees: list[Tree], block: list) -> list[dict]:
+        if not trees or not block:
             return []
         ids = np.array([b[0] for b in block], np.int64)
-        least = np.array([lowest if b[2] is None else b[2] for b in block], np.int64)
-        found = tree.search(ids, np.array([b[1] for b in block], np.int64), k, least)
+        least = [-math.inf if b[2] is None else b[2] for b in block]
+        queries = np.array([b[1] for b in block])
+        found = [sum(lists, []) for lists in zip(*(tree.search(ids, queries, k, least) for tree in trees))]
         return [
-            {"query_id": block[i][0], "vec_id": -number, "score": score}
+            {
+                "query_id": block[i][0],
+                "vec_id": -number,
+                "score": score if -(1 << 63) <= score < 1 << 63 else None,
+                "place": in_order(score),
+            }
             for i, rows in enumerate(found)
-            for score, number in rows
+            for score, number in sorted(rows, reverse=True)[:k]
         ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = itertools.chain.from_iterable(_groups(batch) for batch in batches)
         for _, group in itertools.groupby(rows, key=lambda r: r[0]):
-            tree, ids, vectors, block = None, [], [], []
+            trees, ids, vectors, block = [], [], [], []
             for _, query, part_ids, part_vectors, least in group:
                 if not query:
                     ids.append(part_ids)
                     vectors.append(part_vectors)
                     continue
-                if tree is None and ids:
-                    tree = Tree(np.concatenate(ids), np.concatenate(vectors))
+                if not trees and ids:
+                    held, rows_ = np.concatenate(ids), np.concatenate(vectors)
+                    usual = np.abs(rows_).max(axis=1) < USUAL
+                    trees = [Tree(held[own], rows_[own]) for own in (usual, ~usual) if own.any()]
                 for at in range(len(part_ids)):
                     block.append((int(part_ids[at]), part_vectors[at], least[at]))
                     if len(block) == QUERY_BLOCK:
-                        yield pa.RecordBatch.from_pylist(flush(tree, block), out)
+                        yield pa.RecordBatch.from_pylist(flush(trees, block), out)
                         block = []
-            yield pa.RecordBatch.from_pylist(flush(tree, block), out)
+            yield pa.RecordBatch.from_pylist(flush(trees, block), out)
 
     return run
 
@@ -175,7 +203,7 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple]:
     for start, stop in zip(edges, edges[1:]):
         part = batch.slice(start, stop - start)
         flat = np.asarray(part.column("vector").flatten())
-        vectors = flat.reshape(stop - start, -1).astype(np.int64)
+        vectors = flat.reshape(stop - start, -1)
         key = (int(shard[start]), int(size[start]))
         yield key, bool(query[start]), np.asarray(part.column("id")), vectors, part.column("least").to_pylist()
 
@@ -209,14 +237,14 @@ def top_k(
     def search(queries: DataFrame) -> DataFrame:
         both = stored.unionByName(queries.withColumn("is_query", F.lit(True)).select(*schema))
         dealt = both.repartition(min(shards, lanes(spark)), "shard").sortWithinPartitions("shard", "size", "is_query")
-        return dealt.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+        return dealt.mapInArrow(_search(k), "query_id long, vec_id long, score long, place binary")
 
     near = written(
         search(asked.withColumn("shard", F.col("home")).withColumn("least", F.lit(None).cast("long"))), "near"
     )
     found = near
     if shards > 1:
-        # The k-th score at home, if there are as many, is the least that counts elsewhere.
+        # The k-th score at home, if there are as many within a long, is the least that counts elsewhere.
         kth = near.groupBy("query_id").agg(
             F.when(F.count("score") >= k, F.min("score")).alias("least")
         )
@@ -224,7 +252,7 @@ def top_k(
             "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
         )
         found = near.unionByName(search(others.filter("shard <> home")))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.desc("place"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)

@@ -49,3 +49,21 @@ def test_tree_prunes_and_large_numbers_stay_exact():
     for i in range(3):
         exact = sorted(((int(sum(int(a) * int(b) for a, b in zip(query[i], r))), -j) for j, r in enumerate(rows) if j != i), reverse=True)
         assert found[i] == exact[:4]
+
+
+@pytest.mark.parametrize("shard_rows", [10_000, 40])
+def test_large_finite_components_take_part(spark, shard_rows):
+    random.seed(8)
+    rows = [(i, [float(np.float32(random.gauss(0, 1))) for _ in range(4)]) for i in range(200)]
+    for i, large in ((5, 2.0**21), (6, -(2.0**22)), (10, 2.0**30), (11, -(2.0**35)), (15, float(np.float32(3e38))), (16, float(np.float32(-3e38)))):
+        rows[i][1][i % 4] = large
+    rows += [(201, rows[0][1]), (202, [2.0**21, 0.0, 0.0, 0.0])]
+    got = search(spark, [(*r, 0, 0) for r in rows], 5, shard_rows=shard_rows)
+    expected = brute(rows, 5, lambda i: i % 5 == 0)
+    assert {r[0] for r in expected} >= {5, 10, 15}
+    assert got == {(q, rank, i, s if -(1 << 63) <= s < 1 << 63 else None) for q, rank, i, s in expected}
+
+
+def test_bytes_are_in_the_order_of_numbers():
+    numbers = sorted({s * x for x in (0, 1, 2, 127, 128, 255, 256, 257, 65535, 65536, 10**40, 10**76) for s in (1, -1)})
+    assert sorted(numbers, key=kd.in_order) == numbers
