@@ -1,7 +1,8 @@
 """Document fingerprints: invertible Bloom lookup tables over paragraph digests.
 
 A text is cut into paragraphs: at least `PARAGRAPH` characters, up to the next line or sentence
-end. The distinct 64-bit digests of its paragraphs go into a table of cells, each digest into one cell
+end, or if none is near up to a weaker mark of the text itself, or to 200 characters at most. The
+last 300 characters, and so short texts, are cut into units of some words, the last 12 into pairs. The distinct 64-bit digests of its paragraphs go into a table of cells, each digest into one cell
 of each of three parts; a cell holds a count, the xor of its digests and the xor of their
 check sums. Subtracting the tables of two versions cancels what they share, and peeling
 (a cell of one digest gives it away, which frees others) recovers the digests in which they differ. If that
@@ -28,7 +29,20 @@ PART = 8  # cells in each of the three parts of the smallest table
 LEVELS = 24  # doublings before a difference is read off the digests themselves
 ROUNDS = 20  # of peeling in one table
 
-PARAGRAPHS = rf"(?s).{{{PARAGRAPH},}}?(?:\n|[.!?](?=\s)|$)|.+"
+# Ends of a paragraph, the stronger first; all are told by the text around them, so that versions meet again behind a change.
+STOP = r"(?:\n|[.!?](?=\s)|[。！？])"
+SOFT = r"(?:[,;:)}\]](?=\s)|[，；：、])"
+MARK = r"(?:\s(?=[aeghknrtAEGHKNRT0369])|[的了是のはをに]|[aeost058](?=[bdgmnpr147])|[;{}])"
+# (characters that must follow, least, most) of a paragraph: units are smaller where little text is left.
+SIZES = ((300, PARAGRAPH, 200), (60, 30, 40), (12, 6, 8))
+
+
+def _sized(left: int, least: int, most: int) -> str:
+    ends = "|".join(f".{{{least},{most}}}?{end}" for end in (STOP, SOFT, MARK, r"\s"))
+    return rf"(?=.{{{left}}})(?:{ends}|.{{{most}}})"
+
+
+PARAGRAPHS = "(?s)" + "|".join(_sized(*size) for size in SIZES) + "|.{1,2}"
 
 
 def digests(text: Column) -> Column:

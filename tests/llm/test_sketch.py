@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -58,3 +59,20 @@ def test_query_on_odd_documents(spark, documents, folder):
     for (doc_id, text) in given:
         assert prints.setdefault(text, by_id[doc_id]["fingerprint"]) == by_id[doc_id]["fingerprint"]
     assert len(set(prints.values())) == len(prints)
+
+
+def test_versions_of_undelimited_texts_share_paragraphs(spark):
+    random.seed(6)
+    texts = [
+        "".join(random.choices("的一是了我不在人有他这中大来上个国", k=3000)), "".join(random.choices("abcdefgh0123", k=2500)),
+        " ".join("".join(random.choices("abcdefghij", k=random.randint(2, 9))) for _ in range(600)),
+        "\t".join(f"k{i} = f({i * i})" for i in range(200)), " ".join(f"word{i * i}" for i in range(30)), "a short text of some few words only",
+    ]
+    rows = [(t, t[: len(t) - len(t) // 3] + "".join(random.choices("xyz ", k=len(t) // 3)), t[:7] + "+" + t[7:]) for t in texts]
+    df = spark.createDataFrame(rows, "t string, cut string, put string").select(*(ps.digests(F.col(c)).alias(c) for c in ("t", "cut", "put")))
+    for text, row in zip(texts, df.collect()):
+        own, cut, put = (set(row[c]) for c in ("t", "cut", "put"))
+        assert len(own) == len(paragraphs(text))
+        assert len(own & cut) / len(own | cut) > 0.1, text
+        if len(text) > 500:
+            assert len(own & put) / len(own | put) > 0.5, text
