@@ -19,6 +19,7 @@ the id and text columns are used, so other columns may have any name.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import zlib
@@ -233,6 +234,17 @@ def _pairs(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(size, 1)
 
 
+def _two_of_each(held: list[int], lengths: list[int]) -> list[int]:
+    """Pieces whose pairs have every sum that pairs of `held` have: two of a length stand for all of it."""
+    times: dict[int, int] = {}
+    out = []
+    for i in held:
+        times[lengths[i]] = times.get(lengths[i], 0) + 1
+        if times[lengths[i]] <= 2:
+            out.append(i)
+    return out
+
+
 def _best_step(giver, underfull, bins, fill, lengths, capacity):
     """(other bin, pieces given, pieces taken) that adds most to a bin at least as full, or None."""
     others = [n for n in underfull if n != giver and fill[n] >= fill[giver]]
@@ -254,7 +266,7 @@ def _best_step(giver, underfull, bins, fill, lengths, capacity):
             gain, best = size, (others[at], tuple(given), ())
             break
     # One or two of ours for one of theirs.
-    ours = [(i,) for i in own] + [(a, b) for k, a in enumerate(own[:32]) for b in own[k + 1 : 32]]
+    ours = [(i,) for i in own] + list(itertools.combinations(_two_of_each(own, lengths), 2))
     for given in ours:
         size = sum(lengths[i] for i in given)
         more = size - sizes
@@ -264,7 +276,7 @@ def _best_step(giver, underfull, bins, fill, lengths, capacity):
             gain, best = int(allowed[at]), (others[owner[at]], given, (pieces[at],))
     # One of ours for two of theirs.
     for at, n in enumerate(others):
-        theirs = sorted(bins[n], key=lambda i: lengths[i])[:32]
+        theirs = _two_of_each(sorted(bins[n], key=lambda i: lengths[i]), lengths)
         if len(theirs) < 2 or room[at] <= gain:
             continue
         left, right = _pairs(len(theirs))

@@ -73,3 +73,13 @@ def test_search_empties_bins_that_best_fit_leaves():
         assert all(sum(lengths[i] for i in b) <= 100 for b in end) and len(end) <= len(start)
         better += len(end) < len(start)
     assert better
+
+
+def test_a_step_may_use_any_pieces():
+    lengths = [20] * 34 + [3, 3] + [5, 2042]
+    step = packing._best_step(0, {0, 1}, [list(range(36)), [36, 37]], [686, 2047], lengths, 2048)
+    assert step == (1, (34, 35), (36,))
+    # One of ours for two of theirs, which are behind 32 smaller ones.
+    lengths = [63] + [1] * 40 + [31, 31, 1944]
+    step = packing._best_step(0, {0, 1}, [[0], list(range(1, 44))], [63, 2046], lengths, 2048)
+    assert step == (1, (0,), (41, 42))
