@@ -14,13 +14,16 @@ from mobility_lake.llm import bpe
 from mobility_lake.llm import histogram_sort as hs
 from mobility_lake.llm import kd_search as kd
 from mobility_lake.llm import language_mixture as lm
+from mobility_lake.llm import lexical_rank as lr
 from mobility_lake.llm import ngram_join as nj
 from mobility_lake.llm import packing
 from mobility_lake.llm import paragraph_sketch as ps
 from mobility_lake.llm import reply_trees as rt
+from mobility_lake.llm import run_detection as rd
 from mobility_lake.llm import suffix_dedup as sd
+from mobility_lake.llm import token_file as tf
 from mobility_lake.llm import warc
-from mobility_lake.llm.common import ship, table, whole
+from mobility_lake.llm.common import ship, table, whole, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -325,3 +328,86 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def _with_cycles(docs: DataFrame) -> DataFrame:
+    """In a tenth of the documents, by a hash of their id, the words from one on follow a cycle of the first of them."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    given, count = F.floor(hashed / 10), F.size("words")
+    words = F.when(hashed % 10 == 0, F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)"))
+    docs = docs.withColumn("words", words).withColumn("words", F.when(count > 0, F.col("words")))
+    docs = docs.withColumn("first", (given % count).cast("int"))
+    rest = count - F.col("first")
+    docs = docs.withColumn("period", (1 + F.floor(rest / (3 + given % 8))).cast("int"))
+    cycle = F.array_repeat(F.slice("words", F.col("first") + 1, F.col("period")), F.ceil(rest / F.col("period")).cast("int"))
+    cycled = F.concat(F.slice("words", F.lit(1), F.col("first")), F.slice(F.flatten(cycle), F.lit(1), rest))
+    return docs.select("doc_id", F.coalesce(F.array_join(cycled, " "), F.col("text")).alias("text"))
+
+
+@query("op11_run_detection")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's periodic runs of words, with cycles planted in a tenth of them, and its text without the repeats."""
+    docs = _with_cycles(table(spark, sf, "documents").select("doc_id", "text"))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    spelled = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    top = F.col("strongest")
+    return rd.find_runs(docs).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        top["start"].alias("start"),
+        top["length"].alias("length"),
+        top["period"].alias("period"),
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(spelled, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_huffman_token_file")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's token ids, written to Huffman coded files by document id and read back from them."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rows = written(tf.token_ids(docs, _tokenizer("byte_bpe_50k.json"), end_id=2), "token-ids")
+    folder = session.shared_dir(spark, "token-files")
+    tf.write(rows, folder)
+    found = tf.read(spark, folder).select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "file", "inside")
+    return tf.with_starts(found, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+RANK_SQL = r"""
+with folded as (
+    select doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term, row
+    from (select *, row_number() over () as row from documents)
+), sizes as (
+    select row, count(*) as n from folded group by row
+), corpus as (
+    select count(*) as docs, sum(n)::bigint as terms from sizes
+), counted as (
+    select row, any_value(doc_id) as doc_id, term, count(*) as tf from folded group by row, term
+), weights as (
+    select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)))::bigint as w
+    from counted, corpus group by term
+), wanted as (
+    select item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+), scored as (
+    select item_id, row, any_value(doc_id) as doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::bigint as score
+    from wanted join counted using (term) join weights using (term) join sizes using (row), corpus
+    group by item_id, row
+), ranked as (
+    select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank
+    from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
+
+@query("op13_best_position_search", RANK_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 documents that score highest for the terms of every benchmark item."""
+    return lr.rank(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=20)
