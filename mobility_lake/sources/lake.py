@@ -1,4 +1,8 @@
-"""Partitioned Parquet tables: batch and streaming reads, rebuilds, appends."""
+"""Partitioned Parquet tables: batch and streaming reads, rebuilds, appends.
+
+A rebuild writes a new version beside the old one and then points to it (see `versions`). Readers and
+writers here resolve the pointer when they are called.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from mobility_lake.operators.layout import lay_out
+from mobility_lake.sources.versions import current, names_in, publish
 
 Layout = Callable[[DataFrame, Sequence[str]], DataFrame]
 
@@ -19,7 +24,11 @@ _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def lake_read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Batch scan. With a declared schema no file is opened to infer one, and only its columns come."""
+    """Batch scan. With a declared schema no file is opened to infer one, and only its columns come.
+
+    A rebuild that ends meanwhile does not show: the version is chosen here.
+    """
+    path = current(spark, path)
     if schema is None:
         return spark.read.parquet(path)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
@@ -39,25 +48,35 @@ def read_partitions(
     partitions: Iterable[Sequence[object]],
     schema: T.StructType,
 ) -> DataFrame | None:
-    """Those partitions of a table that exist, or None. Only their folders are listed."""
-    folders = [
-        "/".join([path.rstrip("/"), *[folder_name(c, x) for c, x in zip(partition_by, values)]])
-        for values in partitions
-    ]
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    store = hadoop.Path(path).getFileSystem(conf)
-    folders = [folder for folder in folders if store.exists(hadoop.Path(folder))]
+    """Those partitions of a table that exist, or None. Only the folders around them are listed.
+
+    One listing of each parent tells which are there, so many partitions of a few days or months
+    cost a few calls.
+    """
+    base = current(spark, path).rstrip("/")
+    listed: dict[str, set[str]] = {}
+    folders = []
+    for values in partitions:
+        place = base
+        for column, value in zip(partition_by, values):
+            name = folder_name(column, value)
+            if place not in listed:
+                listed[place] = names_in(spark, place)
+            if name not in listed[place]:
+                break
+            place = f"{place}/{name}"
+        else:
+            folders.append(place)
     if not folders:
         return None
-    reader = spark.read.schema(schema).option("basePath", path)
+    reader = spark.read.schema(schema).option("basePath", base)
     return reader.parquet(*folders).select(*schema.names)
 
 
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """Schema of the data at `path`, or None when nothing is there yet."""
     try:
-        return spark.read.parquet(path).schema
+        return spark.read.parquet(current(spark, path)).schema
     except AnalysisException as error:
         if error.getCondition() in _NOTHING_THERE:
             return None
@@ -85,8 +104,10 @@ def lake_stream(
     """Parquet files as a stream, at most `max_files` per micro-batch.
 
     Without a declared schema the existing data lends its own, and an empty table falls
-    back to `contract`.
+    back to `contract`. A stream stays with the version it started on; started again after a
+    rebuild it takes all files of the new one as new.
     """
+    path = current(spark, path)
     schema = schema or stored_schema(spark, path) or contract
     if schema is None:
         raise ValueError(f"no schema declared and nothing to borrow one from at {path}")
@@ -99,13 +120,15 @@ def lake_stream(
 def lake_rebuild(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), layout: Layout = lay_out
 ) -> None:
-    """Replace the whole table."""
-    writer = layout(df, partition_by).write.mode("overwrite")
-    # Explicit, so a session set to dynamic overwrite cannot leave old partitions behind.
-    writer = writer.option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Replace the whole table in one step; until then, and if this fails, the old one stays."""
+
+    def write(folder: str) -> None:
+        writer = layout(df, partition_by).write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(folder)
+
+    publish(df.sparkSession, path, write)
 
 
 def lake_replace_partitions(
@@ -117,7 +140,7 @@ def lake_replace_partitions(
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
-        .parquet(path)
+        .parquet(current(df.sparkSession, path))
     )
 
 

@@ -44,6 +44,7 @@ from mobility_lake.sources.lake import (
     stored_schema,
     with_trigger,
 )
+from mobility_lake.sources.versions import current
 
 HOUR = ("event_date", "event_hour")
 Prepare = Callable[[DataFrame], DataFrame]
@@ -210,8 +211,11 @@ def refresh_touched(
     check_grain(grain, partition_by)
     schema = schema or stored_schema(stream.sparkSession, silver) or stream.schema
     stored_by = tuple(silver_partitions or grain)
+    version = current(stream.sparkSession, silver)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        if current(batch.sparkSession, silver) != version:
+            raise RuntimeError(f"{silver} was rebuilt: start this query again to read its new version")
         rows = only_touched(batch.sparkSession, silver, batch, stored_by, schema, grain)
         if rows is None:
             return
@@ -354,7 +358,7 @@ def new_rows(
                 lay_out(rows.select(*batch.columns), partition_by)
                 .write.mode("append")
                 .partitionBy(*partition_by)
-                .parquet(path)
+                .parquet(current(spark, path))
             )
             if index is not None:
                 entries = index_rows(fresh, keys, buckets, batch_id)
