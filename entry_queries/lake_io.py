@@ -151,10 +151,10 @@ def _bounded(estimated, exact):
 
 @query("partials_merge", with_views(f"select *, {_BOUNDED} from gold_trips", "gold_trips"))
 def partials(spark, sf):
-    """Mergeable partial rows of six micro-batches, the older half of the days compacted."""
+    """Mergeable partial rows of six micro-batches, compacted."""
     trips = v.trips(spark, sf)
     files = v.as_files(spark, trips, "event_ts")
-    target, compacted = shared_dir(spark, "partials"), shared_dir(spark, "compacted")
+    target = shared_dir(spark, "partials")
     append_partials(
         lake_stream(spark, files.path, trips.schema, files.max_files),
         gold.TRIPS_HOURLY,
@@ -162,8 +162,8 @@ def partials(spark, sf):
         shared_dir(spark, "checkpoint"),
         trigger=NOW,
     ).awaitTermination()
-    compact_partials(spark, gold.TRIPS_HOURLY, target, compacted, dt.date(2024, 1, 16))
-    merged = merge_partials(spark, gold.TRIPS_HOURLY, target, compacted)
+    compact_partials(spark, gold.TRIPS_HOURLY, target, fan=4)
+    merged = merge_partials(spark, gold.TRIPS_HOURLY, target)
     return _bounded(merged, v.gold_trips(spark, sf))
 
 

@@ -27,13 +27,13 @@ from mobility_lake.streaming.incremental import (
     BATCH,
     REBUILT,
     by_batch,
-    index_rows,
     new_rows,
     refresh_touched,
     refuse_other_checkpoint,
     rolled_rows,
     start,
 )
+from mobility_lake.streaming import key_index
 
 
 @dataclass(frozen=True)
@@ -143,8 +143,8 @@ def start_silver(
     """Conform new bronze files into the silver table.
 
     Feeds with dedup keys are deduplicated against the table itself, without a horizon: the touched
-    partitions where the event time is part of the key, and otherwise also a bucketed index of
-    all keys, of which only the buckets of the micro-batch are read.
+    partitions where the event time is part of the key, and otherwise also an index of all
+    keys, whose filters tell which of its parts may hold a key of the micro-batch.
     With `horizon` the repeats are dropped in stream state instead, which reads nothing
     back but treats later repeats as late rows.
 
@@ -283,7 +283,7 @@ def silver_batch(
 
 
 def rebuild_silver(
-    spark: SparkSession, lake: Lake, feed: str, now_if_missing: bool = False, buckets: int = 256
+    spark: SparkSession, lake: Lake, feed: str, now_if_missing: bool = False
 ) -> None:
     """Replace silver from bronze, and its key index. The silver stream must be stopped meanwhile.
 
@@ -299,8 +299,7 @@ def rebuild_silver(
         lake_rebuild(rows, path, (*plan.silver_partitions, BATCH))
     if _has_index(plan):
         stored = lake_read(spark, path, contracts.SILVER[feed])
-        entries = index_rows(stored, plan.dedup_keys, buckets, REBUILT)
-        lake_rebuild(entries, lake.table("index", feed), ("bucket", BATCH), one_file_each)
+        key_index.rebuild(stored, plan.dedup_keys, lake.table("index", feed), REBUILT)
 
 
 def rebuild_gold(spark: SparkSession, lake: Lake, feed: str, spec: RollupSpec) -> None:

@@ -23,6 +23,7 @@ from pyspark.sql import SparkSession
 
 POINTERS, DATA = "_versions", "_data"
 State = dict
+KEPT = 8  # pointers that stay behind the newest
 PATIENCE_S = 5.0  # how long an unfinished pointer may belong to a writer that lives
 
 
@@ -85,32 +86,48 @@ def _read(store: _Store, path: str, number: int) -> State | None:
         return None  # not finished, or just removed
 
 
+def _newest(store: _Store, path: str) -> tuple[list[int], int | None, State | None]:
+    """(all numbers, that of the newest finished pointer, what it says)."""
+    numbers = _numbers(store, path)
+    for number in reversed(numbers):
+        found = _read(store, path, number)
+        if found is not None:
+            return numbers, number, found
+    return numbers, None, None
+
+
 def state(spark: SparkSession, path: str) -> State | None:
     """What the newest finished pointer says; None for a path without one."""
     path = path.rstrip("/")
-    store = _Store(spark, path)
-    for number in reversed(_numbers(store, path)):
-        found = _read(store, path, number)
-        if found is not None:
-            return found
-    return None
+    return _newest(_Store(spark, path), path)[2]
+
+
+def _names(found: State | None) -> set[str]:
+    """The data folders that a state holds live."""
+    found = found or {}
+    return {*([found["folder"]] if "folder" in found else []), *[run["name"] for run in found.get("runs", [])]}
 
 
 def commit(spark: SparkSession, path: str, change: Callable[[State | None], State]) -> State:
-    """Put `change(state)` in the place of the state. `change` may be called again with a newer one."""
+    """Put `change(state)` in the place of the state. `change` may be called again with a newer one.
+
+    The new state notes under `retired` which folders it no longer holds, and since when.
+    """
     path = path.rstrip("/")
     store = _Store(spark, path)
     until = time.monotonic() + PATIENCE_S
     while True:
-        numbers = _numbers(store, path)
-        finished = [n for n in reversed(numbers) if _read(store, path, n) is not None][:1]
-        if numbers and finished != numbers[-1:] and time.monotonic() < until:
+        numbers, finished, before = _newest(store, path)
+        if numbers and finished != numbers[-1] and time.monotonic() < until:
             time.sleep(0.2)  # another writer is about to finish its pointer
             continue
-        before = _read(store, path, finished[0]) if finished else None
-        after = change(before)
+        after = dict(change(before))
+        retired = {**(before or {}).get("retired", {}), **{name: time.time() for name in _names(before)}}
+        after["retired"] = {n: at for n, at in after.get("retired", retired).items() if n not in _names(after)}
         number = numbers[-1] + 1 if numbers else 0
         if store.create(f"{path}/{POINTERS}/{number:012d}", json.dumps(after)):
+            for old in numbers[:-KEPT]:
+                store.delete(f"{path}/{POINTERS}/{old:012d}")
             return after
 
 
@@ -139,33 +156,29 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> str
 
 
 def remove_old(spark: SparkSession, path: str, older_than: dt.timedelta = dt.timedelta(days=1)) -> list[str]:
-    """Remove pointers that were replaced longer ago than `older_than`, and folders that no pointer left names.
+    """Remove data folders that were retired longer ago than `older_than`, and those that old that no state named.
 
-    A folder also has to be that old itself: a writer may be filling it. Readers and streams that
-    took up a version longer ago must be done with it. Returns what was removed.
+    Readers and streams that took up a version longer ago must be done with it, and writers that began
+    a folder longer ago too. Returns what was removed.
     """
     path = path.rstrip("/")
     store = _Store(spark, path)
-    latest = (time.time() - older_than.total_seconds()) * 1000
-    listed = sorted((int(name), at) for name, at in store.list(f"{path}/{POINTERS}") if name.isdigit())
-    finished = [n for n, _ in listed if _read(store, path, n) is not None]
-    if not finished:
+    found = state(spark, path)
+    if found is None:
         return []
-    gone = []
-    # A pointer was replaced when the next finished one was made.
-    made = dict(listed)
-    for number, follower in zip(finished, finished[1:]):
-        if made[follower] < latest:
-            store.delete(f"{path}/{POINTERS}/{number:012d}")
-            gone.append(f"{POINTERS}/{number:012d}")
-    kept = json.dumps([_read(store, path, n) for n in finished if f"{POINTERS}/{n:012d}" not in gone])
-    for name, at in store.list(f"{path}/{DATA}"):
-        if name not in kept and at < latest:
-            store.delete(f"{path}/{DATA}/{name}")
-            gone.append(f"{DATA}/{name}")
+    latest = time.time() - older_than.total_seconds()
+    retired = found.get("retired", {})
+    gone = {name for name, at in retired.items() if at < latest}
+    listed = store.list(f"{path}/{DATA}")
+    gone |= {n for n, at in listed if at < latest * 1000 and n not in retired and n not in _names(found)}
     # Files from before the table had versions.
-    for name, at in store.list(path):
-        if not name.startswith("_") and at < latest:
-            store.delete(f"{path}/{name}")
-            gone.append(name)
-    return gone
+    before = {n for n, at in store.list(path) if not n.startswith("_") and at < latest * 1000}
+    for place in [*[f"{DATA}/{name}" for name in sorted(gone)], *sorted(before)]:
+        store.delete(f"{path}/{place}")
+
+    def forget(now: State | None) -> State:
+        return {**now, "retired": {n: at for n, at in now.get("retired", {}).items() if n not in gone}}
+
+    if gone & set(retired):
+        commit(spark, path, forget)
+    return [*[f"{DATA}/{name}" for name in sorted(gone)], *sorted(before)]

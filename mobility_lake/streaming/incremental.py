@@ -12,11 +12,10 @@ Three ways to maintain a rollup:
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -34,10 +33,9 @@ from mobility_lake.operators.rollup import (
     rollup_merge,
     rollup_partial,
 )
-from mobility_lake.session import shared_dir
+from mobility_lake.sources import runs
 from mobility_lake.sources.lake import (
     Layout,
-    lake_read,
     lake_replace_partitions,
     path_exists,
     read_partitions,
@@ -45,6 +43,7 @@ from mobility_lake.sources.lake import (
     with_trigger,
 )
 from mobility_lake.sources.versions import current
+from mobility_lake.streaming import key_index
 
 HOUR = ("event_date", "event_hour")
 Prepare = Callable[[DataFrame], DataFrame]
@@ -236,80 +235,56 @@ def append_partials(
     trigger: Mapping[str, object] | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Write mergeable partial rows per micro-batch.
+    """Write mergeable partial rows per micro-batch, each as a run of the table.
 
-    Rows carry their batch id as a partition, so a retried batch replaces itself. A new
-    checkpoint would number batches from 0 again and mix with the old ones, so it is
-    refused while the table holds data. `compact_partials` keeps the number of folders down.
+    A retried batch replaces its run. A new checkpoint would number batches from 0 again and mix with
+    the old ones, so it is refused while the table holds data. `compact_partials` keeps the number of
+    runs down.
     """
-    refuse_other_checkpoint(stream.sparkSession, path, checkpoint)
-    partition_by = [*[key for key in ("event_date",) if key in spec.keys], BATCH]
+    spark = stream.sparkSession
+    if runs.live(spark, path) and not path_exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{path} holds batches of another checkpoint")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = prepare_rows(batch) if prepare_rows else batch
-        partials = rollup_partial(rows, spec).withColumn(BATCH, F.lit(batch_id))
-        lake_replace_partitions(partials, path, partition_by, one_file_each)
+        runs.add(batch.sparkSession, path, batch_id, lambda folder: _write_partials(rollup_partial(rows, spec), spec, folder))
 
     return start(stream, apply, checkpoint, trigger, name)
 
 
-def _open_partials(spark: SparkSession, path: str, compacted: DataFrame | None) -> DataFrame:
-    """Partial rows that are not part of a compacted day yet."""
-    rows = lake_read(spark, path)
-    if compacted is None:
-        return rows
-    through = compacted.groupBy("event_date").agg(F.max("through_batch").alias("_through"))
-    newer = rows.join(through, "event_date", "left")
-    return newer.filter(F.coalesce(F.col(BATCH) > F.col("_through"), F.lit(True))).drop("_through")
+def _write_partials(partials: DataFrame, spec: RollupSpec, folder: str) -> None:
+    """A run of partial rows, in the order of their keys, so that a day's rows lie together."""
+    keys = list(spec.keys)
+    if keys:
+        partials = partials.hint("rebalance", F.col(keys[0])).sortWithinPartitions(*keys)
+    partials.write.parquet(folder)
 
 
-def merge_partials(
-    spark: SparkSession, spec: RollupSpec, path: str, compacted_path: str | None = None
-) -> DataFrame:
-    """The rollup that the partial rows add up to, compacted days included."""
-    compacted = None
-    if compacted_path and stored_schema(spark, compacted_path) is not None:
-        compacted = lake_read(spark, compacted_path)
-    rows = _open_partials(spark, path, compacted).drop(BATCH)
-    if compacted is not None:
-        rows = rows.unionByName(compacted.drop("through_batch"))
-    return rollup_merge(rows, spec)
-
-
-def compact_partials(
-    spark: SparkSession, spec: RollupSpec, path: str, compacted_path: str, before: dt.date
-) -> None:
-    """Combine the partial rows of all days before `before` into one row per key.
-
-    A compacted day names the last batch it holds, and readers leave out the batches up to it. So this
-    can run again at any time, also after it was interrupted: a day is replaced whole, rows that
-    came late are added, and nothing counts twice while the old folders are still there.
-    """
-    compacted = None
-    if stored_schema(spark, compacted_path) is not None:
-        compacted = lake_read(spark, compacted_path)
-    fresh = _open_partials(spark, path, compacted).filter(F.col("event_date") < F.lit(before))
-    days = fresh.groupBy("event_date").agg(F.max(BATCH).alias("through_batch"))
-    rows = fresh.drop(BATCH)
-    if compacted is not None:
-        touched = compacted.join(days.select("event_date"), "event_date", "left_semi")
-        rows = rows.unionByName(touched.drop("through_batch"))
-    combined = rollup_combine(rows, spec).join(days, "event_date")
-    # The days being replaced are read as well, so the new ones are written aside first.
-    aside = shared_dir(spark, "compacted")
-    combined.write.parquet(aside)
-    written = lake_read(spark, aside, combined.schema)
-    lake_replace_partitions(written, compacted_path, ["event_date"], one_file_each)
+def _partial_rows(spark: SparkSession, path: str, chosen: Sequence[runs.Run]) -> DataFrame:
+    return spark.read.parquet(*runs.folders(path, chosen))
 
 
-def key_bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def merge_partials(spark: SparkSession, spec: RollupSpec, path: str) -> DataFrame:
+    """The rollup that the live partial rows add up to. Only the files of live runs are read."""
+    live = runs.live(spark, path)
+    if not live:
+        raise ValueError(f"no partial rows at {path}")
+    return rollup_merge(_partial_rows(spark, path, live), spec)
 
 
-def index_rows(rows: DataFrame, keys: Sequence[str], buckets: int, batch_id: int) -> DataFrame:
-    """Keys as rows of a key index."""
-    found = rows.select(*keys, key_bucket(keys, buckets).alias("bucket"))
-    return found.withColumn(BATCH, F.lit(batch_id))
+def compact_partials(spark: SparkSession, spec: RollupSpec, path: str, fan: int = runs.FAN) -> int:
+    """Combine the partial rows of every level that has `fan` runs into one row per key.
+
+    The combined run takes the place of the others in one step, so this can run again at any time, also
+    beside the stream or after it was interrupted, and nothing counts twice. With `fan` 2 all
+    but a few runs are combined. `versions.remove_old` clears the replaced runs away. Returns the number
+    of merges.
+    """
+
+    def write(chosen: Sequence[runs.Run], folder: str) -> None:
+        _write_partials(rollup_combine(_partial_rows(spark, path, chosen), spec), spec, folder)
+
+    return runs.merge(spark, path, write, fan=fan)
 
 
 def new_rows(
@@ -320,17 +295,16 @@ def new_rows(
     order: Sequence[str] = (),
     time_column: str | None = None,
     index: str | None = None,
-    buckets: int = 256,
 ) -> Apply:
     """Append the rows of a micro-batch whose key the table does not hold yet.
 
     Copies inside the micro-batch are aggregated away first; what remains is anti-joined against the
     keys of the touched partitions, cut to the batch's time span if `time_column` is a key. That is
-    all there is to do when the keys fix the partition. When they do not, `index` names a
-    table of all keys by hash bucket, and the buckets of the batch are compared as well.
+    all there is to do when the keys fix the partition. When they do not, `index` names an index of
+    all keys (see `key_index`), and what it may hold of the batch is compared as well.
 
-    A retried batch finds its own rows in the touched partitions and adds nothing; its index rows
-    carry its batch id, do not count as known to itself, and are replaced.
+    A retried batch finds its own rows in the touched partitions and adds nothing; its run of the
+    index does not count as known to itself, and is replaced.
     """
     if time_column is not None and time_column not in keys:
         raise ValueError("copies share the time column only if it is one of the keys")
@@ -338,16 +312,15 @@ def new_rows(
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = dedup_events(batch, keys, order)
-        if index is not None:
-            index_schema = index_rows(fresh, keys, buckets, batch_id).schema
-            wanted = fresh.select(key_bucket(keys, buckets).alias("bucket")).distinct().collect()
-            touched = [(row["bucket"],) for row in wanted]
-            indexed = read_partitions(spark, index, ("bucket",), touched, index_schema)
-            if indexed is not None:
-                earlier = indexed.filter(F.col(BATCH) != batch_id).select(*keys)
-                fresh = fresh.join(earlier, list(keys), "left_anti")
-            fresh = fresh.persist()
+        held = []
         try:
+            if index is not None:
+                key_index.merge(spark, keys, index, before=batch_id)
+                held.append(fresh.persist())
+                earlier = key_index.known(fresh, keys, index, batch_id)
+                if earlier is not None:
+                    fresh = fresh.join(earlier, list(keys), "left_anti").persist()
+                    held.append(fresh)
             stored = only_touched(
                 spark, path, batch, partition_by, schema, time_column=time_column
             )
@@ -361,11 +334,10 @@ def new_rows(
                 .parquet(current(spark, path))
             )
             if index is not None:
-                entries = index_rows(fresh, keys, buckets, batch_id)
-                lake_replace_partitions(entries, index, ("bucket", BATCH), one_file_each)
+                key_index.add(fresh, keys, index, batch_id)
         finally:
-            if index is not None:
-                fresh.unpersist()
+            for kept in held:
+                kept.unpersist()
 
     return apply
 
@@ -379,12 +351,11 @@ def append_new(
     order: Sequence[str] = (),
     time_column: str | None = None,
     index: str | None = None,
-    buckets: int = 256,
     trigger: Mapping[str, object] | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Deduplication without a horizon and without state: see `new_rows`."""
-    apply = new_rows(keys, path, partition_by, stream.schema, order, time_column, index, buckets)
+    apply = new_rows(keys, path, partition_by, stream.schema, order, time_column, index)
     return start(stream, apply, checkpoint, trigger, name)
 
 

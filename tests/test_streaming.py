@@ -16,6 +16,7 @@ from mobility_lake.operators.quality import rejected
 from mobility_lake.operators.rollup import RollupSpec, approx, low, mean, rollup, rows, total
 from mobility_lake.plans import feeds, gold
 from mobility_lake.plans.silver import MARK
+from mobility_lake.sources import runs
 from mobility_lake.sources.lake import (
     folder_name,
     lake_append_stream,
@@ -325,7 +326,7 @@ def test_append_new_across_partitions(spark, folder):
         deliver(events(spark, ("a", day, 1)).withColumn("event_date", F.to_date("event_ts")), path)
         append_new(
             lake_stream(spark, path, spark.read.parquet(path).schema), ("id",), target, checkpoint,
-            ("event_date",), index=folder + "/index", buckets=8, trigger=NOW,
+            ("event_date",), index=folder + "/index", trigger=NOW,
         ).awaitTermination()
     assert lake_read(spark, target).count() == 1
     # A retried batch adds nothing, also when only its index rows are missing.
@@ -335,10 +336,10 @@ def test_append_new_across_partitions(spark, folder):
     deliver(events(spark, ("b", "2024-02-01 00:00:00", 1)).withColumn("event_date", F.to_date("event_ts")), path)
     append_new(
         lake_stream(spark, path, spark.read.parquet(path).schema), ("id",), target, checkpoint,
-        ("event_date",), index=folder + "/index", buckets=8, trigger=NOW,
+        ("event_date",), index=folder + "/index", trigger=NOW,
     ).awaitTermination()
     assert sorted(r["id"] for r in lake_read(spark, target).collect()) == ["a", "b"]
-    assert len(glob.glob(folder + "/index/bucket=*")) == 2
+    assert [(run.batch, run.notes["keys"]) for run in runs.live(spark, folder + "/index")] == [(0, 1), (2, 1)]
 
 
 @pytest.mark.parametrize("feed", list(feeds.FEEDS))
@@ -409,7 +410,6 @@ def test_landing_follows_a_second_refresh_of_an_hour(spark, sf, folder):
 
 def test_partials_without_a_column_and_compaction(spark, sf, folder):
     path, target, checkpoint = (f"{folder}/{n}" for n in ("in", "out", "ck"))
-    compacted = folder + "/compacted"
     trips = v.trips(spark, sf).drop("price", "driver_id")
     spec = RollupSpec(
         "p", ("event_date", "status"),
@@ -424,7 +424,7 @@ def test_partials_without_a_column_and_compaction(spark, sf, folder):
         append_partials(stream, spec, target, checkpoint, trigger=NOW).awaitTermination()
 
     def check(parts):
-        merged = merge_partials(spark, spec, target, compacted)
+        merged = merge_partials(spark, spec, target)
         full = rollup(trips.filter(f"trip_id % 3 < {parts}"), spec)
         assert merged.schema == full.schema or merged.dtypes == full.dtypes
         assert same_rows(full, merged)
@@ -432,12 +432,12 @@ def test_partials_without_a_column_and_compaction(spark, sf, folder):
     add(0)
     add(1)
     check(2)
-    compact_partials(spark, spec, target, compacted, dt.date(2024, 1, 20))
+    assert compact_partials(spark, spec, target, fan=2) == 1
     check(2)
     add(2)
     check(3)
     for _ in range(2):
-        compact_partials(spark, spec, target, compacted, dt.date(2024, 1, 25))
+        compact_partials(spark, spec, target, fan=2)
         check(3)
 
 
