@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import hashlib
@@ -23,10 +24,33 @@ from mobility_lake import session
 def written(df: DataFrame, label: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder: its lineage is cut and any executor can read it."""
     path = session.shared_dir(df.sparkSession, label)
+    for paths in _NOTED:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_NOTED: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def noted() -> Iterator[list[str]]:
+    """The folders that `written` makes inside the block."""
+    paths: list[str] = []
+    _NOTED.append(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED.remove(paths)
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove folders of intermediate tables that nobody reads any more."""
+    for place in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole(text: str = "text") -> Column:
     """A text column with null read as empty."""
     return F.coalesce(F.col(text), F.lit(""))

@@ -138,10 +138,13 @@ def histogram_sort(
     """
     spark = rows.sparkSession
     rows = rows.drop("shard", "slot", *(c for c in rows.columns if c.startswith("_")))
+    # Rows that are equal in all else differ in their number, which the written table fixes.
+    number = F.monotonically_increasing_id()
     keyed = rows.withColumns(
-        {"_high": F.xxhash64(group), "_low": F.xxhash64(row_id), "_bytes": size.cast("long")}
+        {"_high": F.xxhash64(group), "_low": F.xxhash64(row_id, number), "_bytes": size.cast("long")}
     )
-    keys = written(keyed.select("_high", "_low", "_bytes"), "histogram-keys")
+    keyed = written(keyed, "histogram-keys")
+    keys = keyed.select("_high", "_low", "_bytes")
     cuts = splitters(keys, shards, tolerance)
     per_shard = -(-2 * lanes(spark) // shards)
     place = {

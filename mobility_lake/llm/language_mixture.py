@@ -11,7 +11,7 @@ score 0 and no languages; so is every document if nothing is labelled. The score
 the share of the predicted language among all. Ties go to the language that sorts first.
 Rows map one to one, so repeated rows get equal results; columns of the input pass through and those
 named like a result are replaced. A sampled document counts `sample_rows` per language in
-expectation: it is taken by a hash of the document's id, so a rerun takes the same.
+expectation: it is taken by a hash of the document's id and text, so a rerun takes the same.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ def train(
     if not languages:
         return Model((), np.zeros((0, BUCKETS)))
     share = F.create_map(*(F.lit(x) for name in languages for x in (name, min(1.0, sample_rows / sizes[name]))))
-    drawn = F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.col(text)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.filter(drawn < share[F.col(lang)]).select(F.col(lang).alias("_lang"), F.col(text).alias("_text"))
     number = {name: i for i, name in enumerate(languages)}
     schema = pa.schema([("language", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64())])

@@ -148,16 +148,16 @@ def screened(ids: list[int], sizes: np.ndarray, marks: list[bytes], percent: int
     sizes = sizes[order]
     marks = [np.frombuffer(marks[i], np.uint64) for i in order]
     widths = np.array([len(m) for m in marks])
-    # Of each width its own signatures, and those of the next one folded to it (parities add up).
+    # Of each width its own signatures, and those of wider ones that a partner may have, folded to it (parities add up).
+    wider = (100 // percent).bit_length()
     tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for width in np.unique(widths).tolist():
-        rows = np.flatnonzero((widths == width) | (widths == 2 * width))
-        folded = [marks[i] if len(marks[i]) == width else marks[i][:width] ^ marks[i][width:] for i in rows]
-        tables[width] = (rows, np.stack(folded))
+        rows = np.flatnonzero((widths >= width) & (widths <= width << wider))
+        tables[width] = (rows, np.stack([np.bitwise_xor.reduce(marks[i].reshape(-1, width), axis=0) for i in rows]))
     label = np.arange(len(order))
     edges = []
     for i in range(len(order)):
-        # Larger partners only, each pair once; a width never skips two steps within these sizes.
+        # Larger partners only, each pair once.
         rows, table = tables[int(widths[i])]
         begin = np.searchsorted(rows, i, side="right")
         end = np.searchsorted(rows, np.searchsorted(sizes, 100 * sizes[i] // percent, side="right"))

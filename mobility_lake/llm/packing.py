@@ -39,7 +39,9 @@ CACHED_WORDS = 150_000  # in each of two generations
 LONG_WORD = 256
 # Texts of Latin letters only have one lower case, before and after normalising.
 PLAIN_WORD = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
-STOPPED = r"^\pL+[,.]$"
+# The same letters with a mark behind: others may end in a combining mark when they are lower-cased or
+# normalised, and the library makes that and the comma or stop one token.
+STOPPED = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+[,.]$"
 NOT_PLAIN = r"[^\x00-\x{12f}\x{131}-\x{24f}]|<\|"
 BATCH = 16 << 20  # bytes of text at a time
 

@@ -7,7 +7,8 @@ of each of three parts; a cell holds a count, the xor of its digests and the xor
 check sums. Subtracting the tables of two versions cancels what they share, and peeling
 (a cell of one digest gives it away, which frees others) recovers the digests in which they differ. If that
 fails because they differ in too many, both are built again with twice the cells and other
-positions, until it succeeds.
+positions, until it succeeds. How far two versions differ is estimated first, from their smallest
+digests, so that usually one table is built.
 
 The fingerprint of a text is its smallest table as a string, so equal texts have equal
 fingerprints; the likeness of two is the Jaccard index of their paragraph sets, known exactly from
@@ -26,6 +27,8 @@ from mobility_lake.llm.common import lanes
 
 PARAGRAPH = 100
 PART = 8  # cells in each of the three parts of the smallest table
+SAMPLE = 64  # smallest digests of either set that tell how far two sets differ
+ROOM = 1.6  # cells per digest in which they are thought to differ
 LEVELS = 24  # doublings before a difference is read off the digests themselves
 ROUNDS = 20  # of peeling in one table
 
@@ -109,6 +112,19 @@ def peeled(difference: str, part: str, level: str) -> str:
     return _bind(ended, "z", "if(forall(z.cells, k -> k.n = 0 and k.id = 0 and k.chk = 0), z.found, null)")
 
 
+def apart(left: str, right: str) -> str:
+    """About how many digests two sorted lists differ in: exact for lists of `SAMPLE` and fewer.
+
+    The smallest digests of the union are a random sample of it; the share that both lists hold is
+    their Jaccard index.
+    """
+    low, high = (f"slice({x}, 1, {SAMPLE})" for x in (left, right))
+    shared = f"size(array_intersect(array_intersect({low}, {high}), u)) / double(greatest(1, size(u)))"
+    far = f"(size({left}) + size({right})) * (1 - same) / (1 + same)"
+    union = f"slice(array_sort(array_union({low}, {high})), 1, {SAMPLE})"
+    return _bind(union, "u", _bind(shared, "same", far))
+
+
 def differing(left: str, right: str, left_cells: str | None = None, right_cells: str | None = None) -> Column:
     """The digests in which two sorted digest columns differ, with their sign.
 
@@ -117,19 +133,20 @@ def differing(left: str, right: str, left_cells: str | None = None, right_cells:
     first = peeled(
         _minus(left_cells or table(left, f"{PART}", "0"), right_cells or table(right, f"{PART}", "0")), f"{PART}", "0"
     )
-    part = f"int({PART} * shiftleft(1, v))"
     retry = peeled(_minus(table(left, "sz", "v"), table(right, "sz", "v")), "sz", "v")
-    # No table can hold more differences than it has cells: start where the counts may fit.
-    least = f"int(greatest(1, ceil(log2(greatest(1, abs(size({left}) - size({right}))) / double({3 * PART})))))"
+    # The table is made for the estimated difference and grows if it still does not peel.
+    part = f"int(ceil(({ROOM} * far + {PART}) / 3) * shiftleft(1, v - 1))"
     again = (
-        f"aggregate(sequence({least}, {LEVELS}), cast(null as array<struct<id: bigint, n: int>>), "
+        f"aggregate(sequence(1, {LEVELS}), cast(null as array<struct<id: bigint, n: int>>), "
         f"(f, v) -> if(f is not null, f, {_bind(part, 'sz', retry)}))"
     )
+    # The smallest table cannot hold more differences than it has cells.
+    tables = _bind(apart(left, right), "far", f"coalesce(if(far <= {3 * PART}, {first}, null), {again})")
     plain = (
         f"concat(transform(array_except({left}, {right}), x -> named_struct('id', x, 'n', 1)), "
         f"transform(array_except({right}, {left}), x -> named_struct('id', x, 'n', -1)))"
     )
-    return F.expr(f"coalesce({first}, {again}, {plain})")
+    return F.expr(f"coalesce({tables}, {plain})")
 
 
 def likeness(left: str, right: str, difference: str) -> Column:
@@ -167,12 +184,14 @@ def with_next(docs: DataFrame, key: str, values: dict[str, Column], tie: Column)
     cuts = sorted(set(docs.approxQuantile(key, quantiles, 0.2 / pieces))) if pieces > 1 else []
     # Ranges are numbered upwards; the number is found by halving.
     steps = max(1, len(cuts).bit_length())
-    bounds = f"array({', '.join(f'{c:.0f}L' for c in cuts)})" if cuts else "cast(array() as array<bigint>)"
+    # Quantiles are doubles; any whole number near one will do.
+    cuts = [min(max(int(c), -(2**63)), 2**63 - 1) for c in cuts]
+    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.expr("cast(array() as array<bigint>)")
     number = F.expr(
         f"aggregate(sequence({steps - 1}, 0, -1), 0, (lo, b) -> if(lo + shiftleft(1, b) <= {len(cuts)} "
         f"and coalesce(get(_cuts, lo + int(shiftleft(1, b)) - 1) <= {key}, false), lo + int(shiftleft(1, b)), lo))"
     )
-    placed = docs.withColumn("_cuts", F.expr(bounds)).withColumn("_range", number).drop("_cuts")
+    placed = docs.withColumn("_cuts", bounds).withColumn("_range", number).drop("_cuts")
     # One row per range: a number that follows from the session's partitions, not from the input.
     firsts = placed.groupBy("_range").agg(F.max(key).alias("first")).orderBy("_range").collect()
     above = {r["_range"]: firsts[(i + 1) % len(firsts)]["_range"] for i, r in enumerate(firsts)}

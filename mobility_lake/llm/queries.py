@@ -199,8 +199,8 @@ with said as (
     select * from (values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
 ), sized as (
     select *, length(role) + length(text) + 13
-        + length(role) - length(replace(role, '\\', '')) + (length(role) - length(replace(role, '<|', ''))) // 2
-        + length(text) - length(replace(text, '\\', '')) + (length(text) - length(replace(text, '<|', ''))) // 2
+        + length(replace(replace(replace(role, '\\', '\\\\'), '<|', '<\\|'), '|>', '|\\>')) - length(role)
+        + length(replace(replace(replace(text, '\\', '\\\\'), '<|', '<\\|'), '|>', '|\\>')) - length(text)
         as formatted
     from said
 )

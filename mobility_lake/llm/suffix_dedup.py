@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mobility_lake.llm.common import by_bytes, lanes, written
+from mobility_lake.llm.ngram_join import split_likely
 from mobility_lake.llm.ngram_join import LETTERS, ODD, SPACE, _POWERS, mixed
 
 CHUNK = 1 << 20  # bytes of a text at a time
@@ -451,7 +452,9 @@ def _repeats(rows: DataFrame, length: int, most: int) -> DataFrame:
     wanted = settled.filter("key is not null").groupBy("id", "_text").agg(
         F.collect_list(F.struct("start", "key", "single", "many")).alias("wanted")
     )
-    around = rows.join(wanted, ["id", "_text"]).mapInArrow(_surround(length), SURROUNDED_SQL)
+    # Only texts that may hold a wanted window are shuffled.
+    likely, _ = split_likely(rows, settled.filter("key is not null").select("id"), "id")
+    around = likely.join(wanted, ["id", "_text"]).mapInArrow(_surround(length), SURROUNDED_SQL)
     around = written(around, "suffixes")
     # Range partitions by the bytes that all windows of an anchor share.
     lead = F.substring("right", 1, length // 2)
@@ -469,14 +472,18 @@ def _repeats(rows: DataFrame, length: int, most: int) -> DataFrame:
 def _cut(docs: DataFrame, doc_id: str, text: str, intervals: DataFrame, as_text: bool) -> DataFrame:
     """`docs` with `spans` and `kept`."""
     passed = [c for c in docs.columns if c not in ("spans", "kept") and not c.startswith("_")]
-    found = _together(intervals).withColumnsRenamed({"id": "_of", "_text": "_of_text"})
+    found = written(_together(intervals).withColumnsRenamed({"id": "_of", "_text": "_of_text"}), "intervals")
     key, number = _numbered(docs, doc_id, text)
     whole = docs.select(*passed, key.alias("_id"), number.alias("_number"), F.col(text).alias("_body"))
-    met = whole.join(found, (F.col("_id") == F.col("_of")) & (F.col("_number") == F.col("_of_text")), "left")
+    # Texts without an interval stay where they are.
+    may, stays = split_likely(whole, found.select(F.col("_of").alias("_id")), "_id")
+    met = may.join(found, (F.col("_id") == F.col("_of")) & (F.col("_number") == F.col("_of_text")), "left")
+    stays = stays.withColumn("_found", F.lit(None).cast(found.schema["_found"].dataType))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
     fields = [docs.schema[c] for c in passed]
     schema = T.StructType([*fields, T.StructField("spans", span), T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
-    return met.select(*passed, "_body", "_found").mapInArrow(_remove(passed, as_text), schema)
+    both = met.select(*passed, "_body", "_found").unionByName(stays.select(*passed, "_body", "_found"))
+    return both.mapInArrow(_remove(passed, as_text), schema)
 
 
 def remove_repeats(
@@ -505,8 +512,9 @@ def remove_passages(
     """
     key, number = _numbered(docs, doc_id, text)
     rows = docs.select(key.alias("id"), F.col(text).alias("text"), number.alias("_text"))
-    within = _together(_repeats(rows, min(2 * words - 1, length), most))
-    strings = written(rows.join(within, ["id", "_text"]).mapInArrow(*_string_rows(words, length)), "strings")
+    within = written(_together(_repeats(rows, min(2 * words - 1, length), most)), "within")
+    likely, _ = split_likely(rows, within.select("id"), "id")
+    strings = written(likely.join(within, ["id", "_text"]).mapInArrow(*_string_rows(words, length)), "strings")
 
     windows = strings.select("id", "_text", "start", "body", "opens", "closes").mapInArrow(*_word_windows(words))
     windows = written(windows, "windows")
