@@ -6,18 +6,46 @@ documents with the columns they came with; the last returns packed token pieces.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobility_lake import session
 from mobility_lake.llm import language_mixture, ngram_join, packing, suffix_dedup
-from mobility_lake.llm.common import ship, written
+from mobility_lake.llm.common import noted, remove, ship, written
 
+# The columns that stages work with; others get names that no operator has, and theirs back behind the stage.
+OWN = ("doc_id", "text", "lang", "n_chars")
 TOKENIZER = "word_bpe_49k.json"
 PASSAGE = 256  # bytes of a repeated string that goes whatever its words
 WORDS = 51  # words of a repeated passage that goes whatever its bytes
 
 
+_LEFT: list[str] = []  # intermediates of the stage called last
+
+
+def keeping(stage):
+    """A stage whose other columns cannot clash with those it works with.
+
+    A stage's result is written before the next one is called, which removes the intermediates it had.
+    """
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        remove(spark, _LEFT)
+        _LEFT.clear()
+        names = docs.columns
+        aside = [name if name in OWN else f"column{i}" for i, name in enumerate(names)]
+        with noted() as made:
+            out = stage(spark, docs.toDF(*aside), sf_dir)
+        _LEFT.extend(made)
+        return out.toDF(*names) if out.columns == aside else out
+
+    return run
+
+
+@keeping
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a learned language: those without a letter, or without text, go.
 
@@ -34,6 +62,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(columns)
 
 
+@keeping
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of near copies (five words, Jaccard of 0.75): that of the smallest id, null last.
 
@@ -54,6 +83,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return stays.unionByName(maybe.join(dropped, "_key", "left_anti")).select(columns)
 
 
+@keeping
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut out strings of `WORDS` words or `PASSAGE` bytes or more that also start elsewhere; documents with nothing left go.
 
@@ -67,12 +97,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return texts.select(docs.columns)
 
 
+@keeping
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens in sequences of at most 2,048."""
+    """The documents' tokens in sequences of at most 2,048: the places of their pieces, with their ids."""
     import public_tokenizers
 
     ship(session.pin(spark))
-    pieces = packing.cut_documents(docs, public_tokenizers.path(TOKENIZER), capacity=2048, end_id=0)
+    pieces = packing.cut_documents(docs, public_tokenizers.path(TOKENIZER), capacity=2048, end_id=0, with_ids=True)
     return packing.pack(pieces, capacity=2048)
 
 
