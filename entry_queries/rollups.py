@@ -282,6 +282,31 @@ def _wide(spark, sf):
     return v.events(spark, sf).withColumn("wide", wide)
 
 
+# Values below a millionth next to ordinary ones, summed by measures as they come.
+_TINY_SQL = """cast(case event_id % 3 when 0 then cast(value as decimal(38,15)) when 1 then 0.0000004
+    else 0.00000000025 * k end as decimal(38,15))"""
+_TINY = RollupSpec(
+    "tiny", ("event_type", "turn"), (rows("records"), mean("mean_value", "tiny"), total("total_value", "tiny"))
+)
+
+
+@query(
+    "agg_tiny_values",
+    with_views(
+        f"""select event_type, event_id % 3 as turn, count(*) as records,
+        cast(sum({_TINY_SQL}) as double) / count({_TINY_SQL}) as mean_value, cast(sum({_TINY_SQL}) as double) as total_value
+        from ev group by event_type, event_id % 3""",
+        "ev",
+    ),
+)
+def agg_tiny_values(spark, sf):
+    """Totals and means of values far below a millionth, and of ordinary ones."""
+    turn = F.col("event_id") % 3
+    small = 2.5e-10 * F.get_json_object("props", "$.k").cast("int")
+    tiny = F.when(turn == 0, F.col("value")).when(turn == 1, 4e-7).otherwise(small)
+    return rollup(v.events(spark, sf).withColumns({"turn": turn, "tiny": tiny}), _TINY)
+
+
 @query("agg_wide_values", _WIDE_ORACLE)
 def agg_wide_values(spark, sf):
     """Exact totals and means of values of any size and sign."""

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Doubles are summed as whole units of 10**-SCALE: exact, independent of task order (a replay
 # or a merge of partials gives the same bits). A unit is cut into three limbs, each summed in a
-# long that holds the limbs of 2**41 rows; what does not fit into a long is summed as a decimal,
-# and what does not fit into that as a double. Nothing overflows and nothing is left out.
+# long that holds the limbs of 2**41 rows; what is left of a value below a unit is summed in units of
+# 10**-FINE, what does not fit into a long as a decimal, and what does not fit into that as a double.
+# Nothing overflows and nothing is left out. Values of SCALE decimals are summed as decimals.
 SCALE = 6
+FINE = 15
 _LIMB = 22
-_LONG = 2.0**62
-_DECIMAL = 1e28
-# Suffixes of the sums that make up one exact sum, in the order of `unit_sums`.
-PARTS = ("low", "mid", "high", "large", "huge")
+_LONG = 2**62
+_DECIMAL = "1e28D"
+# Suffixes of the sums that make up one exact sum.
+PARTS = ("low", "mid", "high", "fine", "large", "huge")
 
 
 def json_pick(text: Column, path: str, dtype: str | None = None) -> Column:
@@ -35,67 +37,93 @@ def to_number(value: Column) -> Column:
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
-def to_units(value: Column, scale: int = SCALE) -> Column:
-    """Double to whole units, as a double; NULL when not finite.
+def _double(value: str) -> str:
+    return f"cast({value} as double)"
+
+
+def _bind(value: str, name: str, body: str) -> str:
+    """`body` with a name for a value that it uses more than once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def units_sql(value: str, scale: int = SCALE) -> str:
+    """SQL: double to whole units, as a double; NULL when not finite.
 
     Ties go away from zero, as a warehouse's fixed-point columns round them (`rint`
-    alone would take the even neighbour).
+    alone would take the even neighbour). The expressions here are SQL text, as a tree of column
+    objects takes longer to build than a small table to sum.
     """
-    number = value.cast("double")
-    scaled = number * float(10**scale)
-    nearest, sign = F.rint(scaled), F.signum(scaled)
-    is_low_tie = (scaled - nearest) * sign == 0.5
-    rounded = F.when(is_low_tie, nearest + sign).otherwise(nearest)
-    return F.when(F.abs(number) < float("inf"), rounded)
-
-
-def unit_sums(value: Column, scale: int = SCALE) -> list[Column]:
-    """Aggregates: the sums that make up an exact sum, one for each of `PARTS`."""
-    units = to_units(value, scale)
-    size = F.abs(units)
-    whole = F.when(size < _LONG, units).cast("bigint")
-    mask = F.lit((1 << _LIMB) - 1)
-    return [
-        F.sum(whole.bitwiseAND(mask)),
-        F.sum(F.shiftright(whole, _LIMB).bitwiseAND(mask)),
-        F.sum(F.shiftright(whole, 2 * _LIMB)),
-        F.sum(F.when(size.between(_LONG, _DECIMAL), units).cast("decimal(38,0)")),
-        F.sum(F.when(size > _DECIMAL, value.cast("double"))),
-    ]
-
-
-def finished_total(parts: list[Column], scale: int = SCALE) -> Column:
-    """The sum that the parts make up; NULL when all of them are."""
-    low, mid, high, large, huge = parts
-    one, zero = 10**scale, F.lit(0).cast("decimal(38,0)")
-
-    def limb(part: Column, bits: int) -> Column:
-        return part.cast("decimal(38,0)") * F.lit(Decimal(1 << bits))
-
-    units = limb(high, 2 * _LIMB) + limb(mid, _LIMB) + low.cast("decimal(38,0)")
-    units = (F.coalesce(units, zero) + F.coalesce(large, zero)).cast("decimal(38,0)")
-    unit = F.lit(one).cast("decimal(38,0)")
-    # A double holds units up to 2**53; beyond that whole ones and the rest are rounded apart.
-    exact = F.call_function("div", units, unit).cast("double") + (units % unit).cast("double") / float(one)
-    is_split = F.abs(units).between(F.lit(Decimal(1 << 53)), F.lit(Decimal(9 * 10**18 * one)))
-    total = F.when(is_split, exact).otherwise(units.cast("double") / float(one))
-    total = total + F.coalesce(huge, F.lit(0.0))
-    return F.when(F.coalesce(low.cast("double"), large.cast("double"), huge).isNotNull(), total)
-
-
-def exact_total(value: Column, scale: int = SCALE) -> Column:
+    number = _double(value)
+    scaled = f"({number} * 1e{scale}D)"
+    away = f"rint({scaled}) + if(({scaled} - rint({scaled})) * signum({scaled}) = 0.5D, signum({scaled}), 0D)"
+    return f"if(abs({number}) < double('Infinity'), {away}, null)"
+
+
+def to_units(value: str, scale: int = SCALE) -> Column:
+    return F.expr(units_sql(value, scale))
+
+
+def sums_sql(value: str, scale: int = SCALE, units: str | None = None) -> dict[str, str]:
+    """SQL aggregates: the sums that make up an exact sum, by part. `units` names a column that has the units already."""
+    units = units or units_sql(value, scale)
+    whole = f"cast(if(abs({units}) < {_LONG}D, {units}, null) as bigint)"
+    mask = (1 << _LIMB) - 1
+    rest = f"({_double(value)} - {units} / 1e{scale}D)"
+    return {
+        "low": f"sum({whole} & {mask}L)",
+        "mid": f"sum(shiftright({whole}, {_LIMB}) & {mask}L)",
+        "high": f"sum(shiftright({whole}, {2 * _LIMB}))",
+        "fine": f"sum(cast(rint(if(abs({units}) < {_LONG}D, {rest}, null) * 1e{FINE}D) as bigint))",
+        "large": f"sum(cast(if(abs({units}) between {_LONG}D and {_DECIMAL}, {units}, null) as decimal(38,0)))",
+        "huge": f"sum(if(abs({units}) > {_DECIMAL}, {_double(value)}, null))",
+    }
+
+
+def total_sql(parts: Mapping[str, str], scale: int = SCALE) -> str:
+    """SQL: the sum that the parts make up; NULL when all of them are."""
+    held = ", ".join(f"'{name}', {sql}" for name, sql in parts.items())
+    limbs = {"high": 1 << 2 * _LIMB, "mid": 1 << _LIMB, "low": 1}
+    whole = " + ".join(f"cast(z.{name} as decimal(38,0)) * {size}" for name, size in limbs.items())
+    units = f"cast(coalesce({whole}, 0) + coalesce(z.large, 0) as decimal(38,0))"
+    finer = f"cast(u * {10 ** (FINE - scale)} + z.fine as decimal(38,0))"
+    total = f"if(z.fine != 0 and abs(u) < 1{'0' * 22}, {_bind(finer, 'v', _as_double('v', FINE))}, {_as_double('u', scale)})"
+    some = "coalesce(cast(z.low as double), cast(z.large as double), z.huge)"
+    total = f"if({some} is null, null, {_bind(units, 'u', total)} + coalesce(z.huge, 0D))"
+    return _bind(f"named_struct({held})", "z", total)
+
+
+def _as_double(units: str, scale: int) -> str:
+    """A whole number of units as a double. A double holds them up to 2**53; beyond that whole ones and the rest
+    are rounded apart."""
+    one = 10**scale
+    whole, rest = f"cast({units} div cast({one} as decimal(38,0)) as double)", f"cast({units} % cast({one} as decimal(38,0)) as double)"
+    is_split = f"abs({units}) between {1 << 53} and {9 * 10**18 * one}"
+    return f"if({is_split}, {whole} + {rest} / {one}D, cast({units} as double) / {one}D)"
+
+
+def count_sql(value: str) -> str:
+    """SQL aggregate: how many values entered the sum."""
+    return f"count(if(abs({_double(value)}) < double('Infinity'), 1, null))"
+
+
+def exact_total(value: str, scale: int = SCALE, units: str | None = None) -> Column:
     """Aggregate: sum of a double column."""
-    return finished_total(unit_sums(value, scale), scale)
+    return F.expr(total_sql(sums_sql(value, scale, units), scale))
 
 
-def units_count(value: Column) -> Column:
-    """Aggregate: how many values entered the sum."""
-    return F.count(F.when(F.abs(value.cast("double")) < float("inf"), F.lit(1)))
+def exact_mean(value: str, scale: int = SCALE, units: str | None = None) -> Column:
+    """Aggregate: mean of a double column; NULL for a group without values."""
+    return F.expr(f"{total_sql(sums_sql(value, scale, units), scale)} / nullif({count_sql(value)}, 0)")
 
 
-def exact_mean(value: Column, scale: int = SCALE) -> Column:
-    """Aggregate: mean of a double column; NULL for a group without values."""
-    return exact_total(value, scale) / F.nullif(units_count(value), F.lit(0))
+def rounded_total(value: str) -> Column:
+    """Aggregate: sum of a double column of which each value counts to `SCALE` decimals."""
+    return F.expr(total_sql(sums_sql(value) | {"fine": "cast(null as bigint)"}))
+
+
+def rounded_mean(value: str) -> Column:
+    """Aggregate: mean of a double column of which each value, such as a mean itself, counts to `SCALE` decimals."""
+    return F.expr(f"{total_sql(sums_sql(value) | {'fine': 'cast(null as bigint)'})} / nullif({count_sql(value)}, 0)")
 
 
 def clean_label(label: Column) -> Column:

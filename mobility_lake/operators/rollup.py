@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from mobility_lake.functions.values import (
     PARTS,
     SCALE,
+    count_sql,
     exact_mean,
     exact_total,
-    finished_total,
-    unit_sums,
-    units_count,
+    sums_sql,
+    total_sql,
+    units_sql,
 )
 from mobility_lake.operators.conform import ensure_columns
 from mobility_lake.operators.quality import require_all
@@ -43,7 +44,7 @@ _RESULT_TYPE = {
 class Measure:
     """One output column of a rollup.
 
-    `scale` is the number of decimals that totals and means are summed to. `dtype` is the type of
+    `scale` is the number of decimals in whose units totals and means are summed first. `dtype` is the type of
     a missing optional column, for kinds that return the column's own type.
     """
 
@@ -62,6 +63,11 @@ class Measure:
             raise ValueError(f"measure {self.name!r} needs column {self.column!r}")
         return True
 
+    @property
+    def units(self) -> str | None:
+        """The working column of its units, shared by all measures that sum the same column."""
+        return f"_units{self.scale}_{self.column}" if self.kind in ("mean", "total") else None
+
     def full(self, present: set[str]) -> Column:
         """The finished aggregate; a typed NULL when an optional column is missing."""
         if self._is_absent(present):
@@ -74,9 +80,10 @@ class Measure:
             return F.count("*")
         if self.kind == "count_if":
             return F.count_if(F.expr(self.predicate))
-        column = F.col(self.column)
         if self.kind in ("mean", "total"):
-            return (exact_mean if self.kind == "mean" else exact_total)(column, self.scale)
+            finish = exact_mean if self.kind == "mean" else exact_total
+            return finish(f"`{self.column}`", self.scale, f"`{self.units}`")
+        column = F.col(self.column)
         return {
             "distinct": F.count_distinct,
             "approx": F.approx_count_distinct,
@@ -98,9 +105,9 @@ class Measure:
             sketch = F.hll_sketch_agg(column.cast("string"))
             seen = F.max(F.lit(not absent))
             return [sketch.alias(f"{self.name}__hll"), seen.alias(f"{self.name}__seen")]
-        sums = unit_sums(column, self.scale)
-        states = [part.alias(f"{self.name}__{suffix}") for part, suffix in zip(sums, PARTS)]
-        return [*states, units_count(column).alias(f"{self.name}__n")]
+        value = "cast(null as double)" if absent else f"`{self.column}`"
+        sums = sums_sql(value, self.scale, None if absent else f"`{self.units}`") | {"n": count_sql(value)}
+        return [F.expr(sql).alias(f"{self.name}__{suffix}") for suffix, sql in sums.items()]
 
     def merged(self) -> Column:
         """The finished value over partial rows."""
@@ -114,9 +121,10 @@ class Measure:
             estimate = F.hll_sketch_estimate(F.hll_union_agg(f"{self.name}__hll"))
             merged = F.when(F.max(f"{self.name}__seen"), estimate)
         else:
-            merged = finished_total([F.sum(f"{self.name}__{part}") for part in PARTS], self.scale)
+            merged = total_sql({part: f"sum(`{self.name}__{part}`)" for part in PARTS}, self.scale)
             if self.kind == "mean":
-                merged = merged / F.nullif(F.sum(f"{self.name}__n"), F.lit(0))
+                merged += f" / nullif(sum(`{self.name}__n`), 0)"
+            merged = F.expr(merged)
         return merged.alias(self.name)
 
     def combined(self) -> list[Column]:
@@ -203,16 +211,23 @@ def prepare(df: DataFrame, spec: RollupSpec) -> DataFrame:
     return require_all(ensure_columns(df, spec.defaults), spec.require)
 
 
+def with_units(df: DataFrame, spec: RollupSpec) -> DataFrame:
+    """`df` with the units of what is summed, computed once per value and ahead of the aggregate."""
+    present = set(df.columns)
+    wanted = {m.units: units_sql(f"`{m.column}`", m.scale) for m in spec.measures if m.units and m.column in present}
+    return df.withColumns({name: F.expr(sql) for name, sql in wanted.items()}) if wanted else df
+
+
 def rollup(df: DataFrame, spec: RollupSpec) -> DataFrame:
     """Aggregate `df` as the spec says."""
-    ready = prepare(df, spec)
+    ready = with_units(prepare(df, spec), spec)
     present = set(ready.columns)
     return ready.groupBy(*spec.keys).agg(*[m.full(present) for m in spec.measures])
 
 
 def rollup_partial(df: DataFrame, spec: RollupSpec) -> DataFrame:
     """Mergeable state per key; distinct counts become HLL sketches."""
-    ready = prepare(df, spec)
+    ready = with_units(prepare(df, spec), spec)
     present = set(ready.columns)
     states = [state for measure in spec.measures for state in measure.partial(present)]
     return ready.groupBy(*spec.keys).agg(*states)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mobility_lake.functions.times import day_of
-from mobility_lake.functions.values import cell_of, exact_mean, exact_total
+from mobility_lake.functions.values import cell_of, rounded_mean, rounded_total
 from mobility_lake.operators.conform import zero_fill
 from mobility_lake.operators.rollup import rollup
 from mobility_lake.plans.gold import TRIPS_DAILY
@@ -63,8 +63,8 @@ def mobility_daily(gold: DataFrame, silver: DataFrame | None = None) -> DataFram
         F.sum("distinct_trips").alias("total_trips"),
         F.sum("distinct_passengers").alias("total_passengers"),
         F.sum("distinct_drivers").alias("total_drivers"),
-        exact_total(F.col("total_price")).alias("total_revenue"),
-        exact_mean(F.col("mean_price")).alias("mean_price"),
+        rounded_total("total_price").alias("total_revenue"),
+        rounded_mean("mean_price").alias("mean_price"),
     )
     if silver is None:
         return daily
@@ -84,22 +84,22 @@ def trips_daily(gold: DataFrame, date_column: str = "event_date") -> DataFrame:
     """Trips and revenue per day of `date_column` (event day, or a processing stamp)."""
     return gold.groupBy(day_of(F.col(date_column)).alias("date")).agg(
         F.sum("distinct_trips").alias("total_trips"),
-        exact_total(F.col("total_price")).alias("revenue"),
+        rounded_total("total_price").alias("revenue"),
     )
 
 
 def weather_daily(gold: DataFrame, date_column: str = "event_date") -> DataFrame:
     """Mean of the hourly mean temperatures, and total rain, per day."""
     return gold.groupBy(day_of(F.col(date_column)).alias("date")).agg(
-        exact_mean(F.col("mean_temperature")).alias("mean_temperature"),
-        exact_total(F.col("total_rain")).alias("total_rain"),
+        rounded_mean("mean_temperature").alias("mean_temperature"),
+        rounded_total("total_rain").alias("total_rain"),
     )
 
 
 def speed_daily(gold: DataFrame, date_column: str = "event_date") -> DataFrame:
     """Mean of the hourly mean speeds per day."""
     return gold.groupBy(day_of(F.col(date_column)).alias("date")).agg(
-        exact_mean(F.col("mean_speed")).alias("mean_speed")
+        rounded_mean("mean_speed").alias("mean_speed")
     )
 
 
@@ -115,8 +115,8 @@ def mobility_enriched(trips: DataFrame, weather: DataFrame, speed: DataFrame) ->
 def congestion(staged: DataFrame, keys: Sequence[str] = ("city",)) -> DataFrame:
     """Mean congestion and speed per key; add `event_hour` for the view by hour."""
     return staged.groupBy(*keys).agg(
-        exact_mean(F.col("congestion_level")).alias("mean_congestion"),
-        exact_mean(F.col("mean_speed")).alias("mean_speed"),
+        rounded_mean("congestion_level").alias("mean_congestion"),
+        rounded_mean("mean_speed").alias("mean_speed"),
     )
 
 
@@ -148,7 +148,7 @@ def daily_operations(
     )
     weather = weather_daily(gold_weather).withColumn("_weather", F.lit(True))
     jam = gold_traffic.groupBy(F.col("event_date").alias("date")).agg(
-        exact_mean(F.col("mean_ratio")).alias("mean_congestion")
+        rounded_mean("mean_ratio").alias("mean_congestion")
     )
     joined = (
         trips.join(weather, "date", "left")
@@ -210,15 +210,15 @@ def weather_impact(
     """
     hour = ["event_date", "event_hour"]
     jam = gold_traffic.groupBy("city", *hour).agg(
-        exact_mean(F.col("mean_ratio")).alias("ratio")
+        rounded_mean("mean_ratio").alias("ratio")
     )
     trips = gold_trips.groupBy(*hour).agg(F.sum("records").alias("trips"))
     hours = gold_weather.select("city", "condition", *hour)
     joined = hours.join(jam, ["city", *hour], "left").join(trips, hour, "left")
     return joined.groupBy("condition").agg(
         F.count("*").alias("city_hours"),
-        exact_mean(F.col("ratio")).alias("mean_congestion"),
-        exact_mean(F.col("trips")).alias("mean_trips_per_hour"),
+        rounded_mean("ratio").alias("mean_congestion"),
+        rounded_mean("trips").alias("mean_trips_per_hour"),
     )
 
 
@@ -236,7 +236,7 @@ def trip_duration(trips: DataFrame, terminal: Sequence[str]) -> DataFrame:
         .groupBy(F.to_date("_start").alias("date"))
         .agg(
             F.count("*").alias("finished_trips"),
-            exact_mean(F.col("_seconds")).alias("mean_seconds"),
+            rounded_mean("_seconds").alias("mean_seconds"),
         )
     )
 

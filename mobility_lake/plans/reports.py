@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mobility_lake.functions.values import exact_mean, exact_total
+from mobility_lake.functions.values import rounded_mean, rounded_total
 from mobility_lake.operators.quality import complete_pairs
 
 
@@ -36,9 +36,9 @@ def kpis(mart: DataFrame) -> DataFrame:
     """Total trips and revenue, mean of the daily tickets and temperatures."""
     return mart.agg(
         F.sum("total_trips").alias("total_trips"),
-        exact_total(F.col("revenue")).alias("revenue"),
-        exact_mean(F.col("mean_ticket")).alias("mean_ticket"),
-        exact_mean(F.col("mean_temperature")).alias("mean_temperature"),
+        rounded_total("revenue").alias("revenue"),
+        rounded_mean("mean_ticket").alias("mean_ticket"),
+        rounded_mean("mean_temperature").alias("mean_temperature"),
     )
 
 

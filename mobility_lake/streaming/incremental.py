@@ -32,6 +32,7 @@ from mobility_lake.operators.rollup import (
     rollup_combine,
     rollup_merge,
     rollup_partial,
+    with_units,
 )
 from mobility_lake.sources import runs
 from mobility_lake.sources.lake import (
@@ -370,7 +371,7 @@ def hourly_stream(
     Streams cannot count distinct values exactly, so those measures become approximate.
     """
     others = [key for key in spec.keys if key not in HOUR]
-    ready = prepare(stream.withWatermark(event_ts, watermark), spec)
+    ready = with_units(prepare(stream.withWatermark(event_ts, watermark), spec), spec)
     present = set(ready.columns)
     measures = [
         replace(m, kind="approx") if m.kind == "distinct" else m for m in spec.measures

@@ -12,6 +12,8 @@ from mobility_lake.functions.values import (
     default_label,
     json_pick,
     to_number,
+    exact_mean,
+    exact_total,
     to_units,
     weather_condition,
 )
@@ -76,7 +78,7 @@ def test_to_number(spark, text, number):
 
 
 def test_units_are_exact_and_never_wrap(spark):
-    value = F.col("t").cast("double")
+    value = "cast(t as double)"
     assert one(spark, to_units(value), t="0.1") == 100_000
     assert one(spark, to_units(value), t="-179.6") == -179_600_000
     assert one(spark, to_units(value), t="1e13") == 1e19
@@ -88,6 +90,15 @@ def test_units_are_exact_and_never_wrap(spark):
     assert one(spark, to_units(value), t="NaN") is None
 
 
+def test_totals_keep_what_is_below_a_unit(spark):
+    for values, expected in (([4e-7] * 1000, 4e-4), ([1e9, 2.5e-10, -1e9], 2.5e-10), ([1e13, 4e-7, 1e13], 2e13),
+                             ([None, float("nan")], None), ([0.1] * 10, 1.0)):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        row = df.agg(exact_total("x").alias("total"), exact_mean("x").alias("mean")).first()
+        assert row["total"] == expected
+        assert row["mean"] == (None if expected is None else expected / len([v for v in values if v is not None]))
+
+
 @pytest.mark.parametrize(
     "label, cleaned",
     [(" ", None), ("", None), ("Null", None), (" NULL ", None), (None, None), (" Rio ", "Rio"),
