@@ -63,55 +63,61 @@ def _check(digest: str) -> str:
     return f"int(xxhash64({digest}, 7L) & 2147483647L)"
 
 
-def _entries(items: str, digest: str, count: str, part: str, level: str) -> str:
-    """What a list of digests adds to the cells: three entries each."""
+_CELLS = "array<struct<cell: int, n: int, id: bigint, chk: int>>"
+_EMPTY = f"cast(array() as {_CELLS})"
+
+
+def _entries(digest_list: str, count: str, part: str, level: str) -> str:
+    """What digests add to the cells: three entries each."""
     return (
-        f"flatten(transform({items}, x -> transform(array(0, 1, 2), j -> named_struct("
-        f"'cell', int(j * {part} + pmod(xxhash64({digest}, {level}, j), {part})), "
-        f"'n', {count}, 'id', {digest}, 'chk', {_check(digest)}))))"
+        f"flatten(transform({digest_list}, x -> transform(array(0, 1, 2), j -> named_struct("
+        f"'cell', int(j * {part} + pmod(xxhash64(x, {level}, j), {part})), 'n', {count}, 'id', x, 'chk', {_check('x')}))))"
     )
 
 
-def _cells(entries: str, part: str) -> str:
-    """Entries summed by cell. Entries are split by the digits of their cell's number, in base w for w * w * w
-    cells, one digit after the other, which takes 3 * w steps per entry instead of one for every cell."""
-    total = "aggregate(filter(t, e -> e.cell % w = c), named_struct('n', 0, 'id', 0L, 'chk', 0), (a, e) -> "
-    total += "named_struct('n', a.n + e.n, 'id', a.id ^ e.id, 'chk', a.chk ^ e.chk))"
-    digits = "transform(sequence(0, w - 1), {0} -> {1})"
-    last = digits.format("c", total)
-    middle = f"flatten({digits.format('b', _bind('filter(r, e -> int(e.cell div w) % w = b)', 't', last))})"
-    rows = f"flatten({digits.format('d', _bind('filter(es, e -> int(e.cell div (w * w)) = d)', 'r', middle))})"
-    width = f"int(ceil(cbrt(double(3 * {part}))))"
-    return _bind(entries, "es", _bind(width, "w", rows))
+def _summed(entries: str) -> str:
+    """Entries summed by cell, as the cells that are not empty, in order.
+
+    Sorted entries of a cell are neighbours: each stretch between two changes of the cell is summed.
+    """
+    changes = "filter(sequence(0, size(q) - 1), i -> i = 0 or q[i].cell != q[i - 1].cell)"
+    own = "slice(q, x + 1, coalesce(get(p, i + 1), size(q)) - x)"
+    total = f"aggregate({own}, named_struct('cell', 0, 'n', 0, 'id', 0L, 'chk', 0), (a, e) -> named_struct("
+    total += "'cell', e.cell, 'n', a.n + e.n, 'id', a.id ^ e.id, 'chk', a.chk ^ e.chk))"
+    # A stretch of one entry is its own sum.
+    each = f"transform(p, (x, i) -> if(coalesce(get(p, i + 1), size(q)) = x + 1, q[x], {total}))"
+    some = f"filter({_bind(changes, 'p', each)}, k -> k.n != 0 or k.id != 0 or k.chk != 0)"
+    return _bind(f"sort_array({entries})", "q", f"if(size(q) = 0, {_EMPTY}, {some})")
 
 
 def table(digest_list: str, part: str, level: str) -> str:
-    return _cells(_entries(digest_list, "x", "1", part, level), part)
+    return _summed(_entries(digest_list, "1", part, level))
 
 
 def _minus(left: str, right: str) -> str:
-    return (
-        f"zip_with({left}, {right}, (p, q) -> named_struct("
-        "'n', p.n - q.n, 'id', p.id ^ q.id, 'chk', p.chk ^ q.chk))"
-    )
+    """A table less another one."""
+    negative = "k -> named_struct('cell', k.cell, 'n', -k.n, 'id', k.id, 'chk', k.chk)"
+    return _summed(f"concat({left}, transform({right}, {negative}))")
 
 
 def peeled(difference: str, part: str, level: str) -> str:
     """The recovered digests with their sign (1: left only, -1: right only), or null on failure."""
-    pure = (
-        f"array_distinct(transform(filter(s.cells, k -> abs(k.n) = 1 and k.chk = {_check('k.id')}), "
-        "k -> named_struct('id', k.id, 'n', k.n)))"
-    )
-    less = _minus("s.cells", _cells(_entries("pure", "x.id", "x.n", part, level), part))
-    step = _bind(
-        pure,
-        "pure",
-        f"if(size(pure) = 0, s, named_struct('cells', {less}, 'found', concat(s.found, pure)))",
-    )
-    start = f"named_struct('cells', {difference}, 'found', cast(array() as array<struct<id: bigint, n: int>>))"
+
+    def pure(sign: int) -> str:
+        alone = f"filter(s.cells, k -> k.n = {sign} and k.chk = {_check('k.id')})"
+        return f"array_distinct(transform({alone}, k -> k.id))"
+
+    less = f"concat(s.cells, {_entries('up', '-1', part, level)}, {_entries('down', '1', part, level)})"
+    freed = f"named_struct('cells', {_summed(less)}, 'left', concat(s.left, up), 'right', concat(s.right, down))"
+    step = _bind(pure(1), "up", _bind(pure(-1), "down", f"if(size(up) + size(down) = 0, s, {freed})"))
+    none = "cast(array() as array<bigint>)"
+    start = f"named_struct('cells', {difference}, 'left', {none}, 'right', {none})"
     # A state that does not change any more costs one look at its cells per round.
     ended = f"aggregate(sequence(1, {ROUNDS}), {start}, (s, i) -> {step})"
-    return _bind(ended, "z", "if(forall(z.cells, k -> k.n = 0 and k.id = 0 and k.chk = 0), z.found, null)")
+    signed = ", ".join(
+        f"transform(z.{side}, x -> named_struct('id', x, 'n', {n}))" for side, n in (("left", 1), ("right", -1))
+    )
+    return _bind(ended, "z", f"if(size(z.cells) = 0, concat({signed}), null)")
 
 
 def apart(left: str, right: str) -> str:
@@ -142,8 +148,8 @@ def differing(left: str, right: str, left_cells: str | None = None, right_cells:
         f"aggregate(sequence(1, {LEVELS}), cast(null as array<struct<id: bigint, n: int>>), "
         f"(f, v) -> if(f is not null, f, {_bind(part, 'sz', retry)}))"
     )
-    # The smallest table cannot hold more differences than it has cells.
-    tables = _bind(apart(left, right), "far", f"coalesce(if(far <= {3 * PART}, {first}, null), {again})")
+    # The smallest table peels as a rule while it has 1.6 cells per difference or more.
+    tables = _bind(apart(left, right), "far", f"coalesce(if({ROOM} * far <= {3 * PART}, {first}, null), {again})")
     plain = (
         f"concat(transform(array_except({left}, {right}), x -> named_struct('id', x, 'n', 1)), "
         f"transform(array_except({right}, {left}), x -> named_struct('id', x, 'n', -1)))"
@@ -158,13 +164,13 @@ def likeness(left: str, right: str, difference: str) -> Column:
 
 
 def spelled(digest_list: str, cells: str) -> Column:
-    """A table as text: the number of digests, then count, digests and check of every cell."""
+    """A table as text: the number of digests, then place, count, digests and check of every cell that is not empty."""
     return F.concat(
         F.size(digest_list).cast("string"),
         F.lit(":"),
         F.expr(
             f"array_join(transform({cells}, k -> concat("
-            "lower(lpad(hex(bigint(k.n)), 4, '0')), lower(lpad(hex(k.id), 16, '0')), "
+            "lower(lpad(hex(bigint(k.cell)), 2, '0')), lower(lpad(hex(bigint(k.n)), 4, '0')), lower(lpad(hex(k.id), 16, '0')), "
             "lower(lpad(hex(bigint(k.chk)), 8, '0')))), '')"
         ),
     )
