@@ -101,10 +101,11 @@ class Measure:
             return [self.full(present)]
         # An absent column is a column of NULLs, whose states merge like any other.
         column = F.lit(None).cast("double") if absent else F.col(self.column)
-        if self.kind in ("distinct", "approx"):
-            sketch = F.hll_sketch_agg(column.cast("string"))
-            seen = F.max(F.lit(not absent))
-            return [sketch.alias(f"{self.name}__hll"), seen.alias(f"{self.name}__seen")]
+        seen = F.max(F.lit(not absent)).alias(f"{self.name}__seen")
+        if self.kind == "distinct":  # the values themselves are kept beside: see `distinct_ids`
+            return [seen]
+        if self.kind == "approx":
+            return [F.hll_sketch_agg(column.cast("string")).alias(f"{self.name}__hll"), seen]
         value = "cast(null as double)" if absent else f"`{self.column}`"
         sums = sums_sql(value, self.scale, None if absent else f"`{self.units}`") | {"n": count_sql(value)}
         return [F.expr(sql).alias(f"{self.name}__{suffix}") for suffix, sql in sums.items()]
@@ -117,7 +118,9 @@ class Measure:
             merged = F.min(self.name)
         elif self.kind in ("max", "latest"):
             merged = F.max(self.name)
-        elif self.kind in ("distinct", "approx"):
+        elif self.kind == "distinct":
+            merged = F.when(F.max(f"{self.name}__seen"), F.coalesce(F.sum(f"{self.name}__count"), F.lit(0)))
+        elif self.kind == "approx":
             estimate = F.hll_sketch_estimate(F.hll_union_agg(f"{self.name}__hll"))
             merged = F.when(F.max(f"{self.name}__seen"), estimate)
         else:
@@ -136,8 +139,9 @@ class Measure:
         if self.kind in ("max", "latest"):
             return [F.max(self.name).alias(self.name)]
         if self.kind in ("distinct", "approx"):
-            states = [F.hll_union_agg(f"{self.name}__hll").alias(f"{self.name}__hll")]
-            return [*states, F.max(f"{self.name}__seen").alias(f"{self.name}__seen")]
+            seen = F.max(f"{self.name}__seen").alias(f"{self.name}__seen")
+            union = [F.hll_union_agg(f"{self.name}__hll").alias(f"{self.name}__hll")] if self.kind == "approx" else []
+            return [*union, seen]
         suffixes = (*PARTS, "n")
         return [F.sum(f"{self.name}__{x}").alias(f"{self.name}__{x}") for x in suffixes]
 
@@ -225,8 +229,33 @@ def rollup(df: DataFrame, spec: RollupSpec) -> DataFrame:
     return ready.groupBy(*spec.keys).agg(*[m.full(present) for m in spec.measures])
 
 
+def distinct_ids(df: DataFrame, spec: RollupSpec) -> DataFrame | None:
+    """The mergeable state of exact distinct counts: a row per key, measure and value, each once.
+
+    None if the spec has no such measure. Sets of rows merge by union, however a group's values are
+    spread, and a group with many values is many rows and never one. The shuffle is on
+    (key, measure, value), as that of a plain distinct count.
+    """
+    ready = prepare(df, spec)
+    wanted = [m for m in spec.measures if m.kind == "distinct" and m.column in ready.columns]
+    if not any(m.kind == "distinct" for m in spec.measures):
+        return None
+    listed = F.array(*[F.struct(F.lit(m.name).alias("measure"), F.col(m.column).cast("string").alias("value")) for m in wanted])
+    if not wanted:
+        listed = F.expr("cast(array() as array<struct<measure: string, value: string>>)")
+    rows = ready.select(*spec.keys, F.explode(listed).alias("_id"))
+    return rows.select(*spec.keys, "_id.measure", "_id.value").filter("value is not null").distinct()
+
+
+def _counts(ids: DataFrame, spec: RollupSpec) -> DataFrame:
+    """Values per key as columns `<measure>__count`; the ids of several partials may repeat."""
+    names = [m.name for m in spec.measures if m.kind == "distinct"]
+    each = [F.count_if(F.col("measure") == name).alias(f"{name}__count") for name in names]
+    return ids.distinct().groupBy(*spec.keys).agg(*each)
+
+
 def rollup_partial(df: DataFrame, spec: RollupSpec) -> DataFrame:
-    """Mergeable state per key; distinct counts become HLL sketches."""
+    """Mergeable state per key but for the values of exact distinct counts, which `distinct_ids` has."""
     ready = with_units(prepare(df, spec), spec)
     present = set(ready.columns)
     states = [state for measure in spec.measures for state in measure.partial(present)]
@@ -239,8 +268,12 @@ def rollup_combine(partials: DataFrame, spec: RollupSpec) -> DataFrame:
     return partials.groupBy(*spec.keys).agg(*states)
 
 
-def rollup_merge(partials: DataFrame, spec: RollupSpec) -> DataFrame:
-    """Finish partial rows: same columns as `rollup`."""
+def rollup_merge(partials: DataFrame, spec: RollupSpec, ids: DataFrame | None = None) -> DataFrame:
+    """Finish partial rows, with the rows of `distinct_ids` if the spec counts distinct values: same columns as `rollup`."""
+    if any(m.kind == "distinct" for m in spec.measures):
+        if ids is None:
+            raise ValueError("exact distinct counts need their values")
+        partials = partials.unionByName(_counts(ids, spec), allowMissingColumns=True)
     return partials.groupBy(*spec.keys).agg(*[m.merged() for m in spec.measures])
 
 

@@ -5,7 +5,7 @@ Three ways to maintain a rollup:
 * `refresh_touched` recomputes the partitions a micro-batch touched. Exact for every
   measure and idempotent, at the cost of rereading those partitions.
 * `append_partials` writes mergeable state per micro-batch and `merge_partials` finishes
-  it on read. Each row is read once; distinct counts are estimates.
+  it on read. Each row is read once; exact distinct counts keep their values as rows.
 * `hourly_stream` keeps windows in state and emits each hour once, when the watermark
   has passed it. Rows later than the watermark are dropped.
 """
@@ -26,6 +26,7 @@ from mobility_lake.operators.layout import lay_out, one_file_each
 from mobility_lake.operators.quality import require_all
 from mobility_lake.operators.rollup import (
     RollupSpec,
+    distinct_ids,
     distinct_values,
     prepare,
     rollup,
@@ -248,21 +249,29 @@ def append_partials(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = prepare_rows(batch) if prepare_rows else batch
-        runs.add(batch.sparkSession, path, batch_id, lambda folder: _write_partials(rollup_partial(rows, spec), spec, folder))
+        states = rollup_partial(rows, spec), distinct_ids(rows, spec)
+        runs.add(batch.sparkSession, path, batch_id, lambda folder: _write_partials(*states, spec, folder))
 
     return start(stream, apply, checkpoint, trigger, name)
 
 
-def _write_partials(partials: DataFrame, spec: RollupSpec, folder: str) -> None:
+def _write_partials(partials: DataFrame, ids: DataFrame | None, spec: RollupSpec, folder: str) -> None:
     """A run of partial rows, in the order of their keys, so that a day's rows lie together."""
     keys = list(spec.keys)
-    if keys:
-        partials = partials.hint("rebalance", F.col(keys[0])).sortWithinPartitions(*keys)
-    partials.write.parquet(folder)
+    for inside, rows in (("sums", partials), ("ids", ids)):
+        if rows is not None:
+            if keys:
+                rows = rows.hint("rebalance", F.col(keys[0])).sortWithinPartitions(*keys)
+            rows.write.parquet(f"{folder}/{inside}")
 
 
-def _partial_rows(spark: SparkSession, path: str, chosen: Sequence[runs.Run]) -> DataFrame:
-    return spark.read.parquet(*runs.folders(path, chosen))
+def _partial_rows(
+    spark: SparkSession, spec: RollupSpec, path: str, chosen: Sequence[runs.Run]
+) -> tuple[DataFrame, DataFrame | None]:
+    """(partial rows, values of exact distinct counts) of some runs."""
+    sums = spark.read.parquet(*runs.folders(path, chosen, "sums"))
+    has_ids = any(m.kind == "distinct" for m in spec.measures)
+    return sums, spark.read.parquet(*runs.folders(path, chosen, "ids")) if has_ids else None
 
 
 def merge_partials(spark: SparkSession, spec: RollupSpec, path: str) -> DataFrame:
@@ -270,7 +279,8 @@ def merge_partials(spark: SparkSession, spec: RollupSpec, path: str) -> DataFram
     live = runs.live(spark, path)
     if not live:
         raise ValueError(f"no partial rows at {path}")
-    return rollup_merge(_partial_rows(spark, path, live), spec)
+    sums, ids = _partial_rows(spark, spec, path, live)
+    return rollup_merge(sums, spec, ids)
 
 
 def compact_partials(spark: SparkSession, spec: RollupSpec, path: str, fan: int = runs.FAN) -> int:
@@ -283,7 +293,8 @@ def compact_partials(spark: SparkSession, spec: RollupSpec, path: str, fan: int
     """
 
     def write(chosen: Sequence[runs.Run], folder: str) -> None:
-        _write_partials(rollup_combine(_partial_rows(spark, path, chosen), spec), spec, folder)
+        sums, ids = _partial_rows(spark, spec, path, chosen)
+        _write_partials(rollup_combine(sums, spec), None if ids is None else ids.distinct(), spec, folder)
 
     return runs.merge(spark, path, write, fan=fan)
 

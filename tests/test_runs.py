@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mobility_lake.operators.rollup import RollupSpec, mean, rollup, rollup_partial, rows, total
+from mobility_lake.operators.rollup import RollupSpec, distinct, distinct_ids, mean, rollup, rollup_partial, rows, total
 from mobility_lake.sources import runs, versions
 from mobility_lake.streaming import incremental, key_index
 
@@ -103,7 +103,7 @@ def test_parts_and_filters_of_a_larger_run(spark, path, monkeypatch):
     assert key_index.known(ids(spark, ["77"]), KEYS, path, 0) is None
 
 
-PARTIAL = RollupSpec("p", ("day", "kind"), (rows("n"), mean("m", "x"), total("t", "x")))
+PARTIAL = RollupSpec("p", ("day", "kind"), (rows("n"), mean("m", "x"), total("t", "x"), distinct("d", "who")))
 
 
 def test_compaction_shrinks_what_is_read(spark, path):
@@ -111,11 +111,12 @@ def test_compaction_shrinks_what_is_read(spark, path):
         return spark.range(200).select(
             F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 5).cast("int")).alias("day"),
             (F.col("id") % 3).alias("kind"), (F.col("id") * 0.37 + batch).alias("x"),
+            F.when(F.col("id") % 7 > 0, F.col("id") % (20 + batch)).alias("who"),
         )
 
     def add(batch):
         write = incremental._write_partials
-        runs.add(spark, path, batch, lambda folder: write(rollup_partial(part(batch), PARTIAL), PARTIAL, folder))
+        runs.add(spark, path, batch, lambda folder: write(rollup_partial(part(batch), PARTIAL), distinct_ids(part(batch), PARTIAL), PARTIAL, folder))
 
     def check(batches):
         full = part(0)
