@@ -8,11 +8,14 @@ from entry_queries import views as v
 from entry_queries.registry import query
 from entry_queries.views import with_views
 from mobility_lake.operators.joins import with_region
+from mobility_lake.operators.layout import one_file_each
 from mobility_lake.operators.quality import complete_pairs as pairs_of
+from mobility_lake.operators.rollup import rollup
 from mobility_lake.operators.spine import missing_hours
+from mobility_lake.plans import gold
 from mobility_lake.plans import marts as m
 from mobility_lake.plans import reports
-from mobility_lake.sources.lake import register_view
+from mobility_lake.sources.lake import lake_read, lake_rebuild, register_view
 from mobility_lake.sources.regions import load_regions, valid_regions
 from mobility_lake.session import shared_dir
 
@@ -57,6 +60,32 @@ def mart_mobility_daily(spark, sf):
     return m.mobility_daily(m.stage_trips(v.gold_trips(spark, sf)), v.trips(spark, sf))
 
 
+@query(
+    "mobility_daily_from_sketches",
+    with_views(
+        """select event_date, count(*) as total_records, count(distinct trip_id) as total_trips,
+            count(distinct passenger_id) as total_passengers, count(distinct driver_id) as total_drivers,
+            true as within_bound from trips group by event_date""",
+        "trips",
+    ),
+)
+def mobility_daily_from_sketches(spark, sf):
+    """Daily counts from a stored hourly table with sketches: the exact ones, and whether the estimates are near.
+
+    Within 6 %, three standard errors, and one more for the smallest days.
+    """
+    path = shared_dir(spark, "sketched")
+    lake_rebuild(rollup(v.trips(spark, sf), gold.TRIPS_SKETCHED), path, ("event_date",), one_file_each)
+    daily = m.mobility_daily_from_sketches(lake_read(spark, path))
+    names = ["total_trips", "total_passengers", "total_drivers"]
+    exact = rollup(v.trips(spark, sf), gold.TRIPS_DAILY).select(
+        "event_date", *[F.col(n.replace("total", "distinct")).alias(f"_{n}") for n in names]
+    )
+    near = [F.abs(F.col(n) - F.col(f"_{n}")) <= 0.06 * F.col(f"_{n}") + 1 for n in names]
+    both = daily.join(exact, "event_date").withColumn("within_bound", near[0] & near[1] & near[2])
+    return both.select("event_date", "total_records", *[F.col(f"_{n}").alias(n) for n in names], "within_bound")
+
+
 @query(
     "mart_trips_daily",
     with_views(

@@ -31,6 +31,7 @@ from mobility_lake.operators.quality import require_all
 _RESULT_TYPE = {
     "distinct": "bigint",
     "approx": "bigint",
+    "sketch": "binary",
     "mean": "double",
     "total": "double",
     "min": "double",
@@ -84,9 +85,11 @@ class Measure:
             finish = exact_mean if self.kind == "mean" else exact_total
             return finish(f"`{self.column}`", self.scale, f"`{self.units}`")
         column = F.col(self.column)
+        if self.kind in ("approx", "sketch"):  # the same sketch as in partial rows, so that both give one number
+            held = F.hll_sketch_agg(column.cast("string"))
+            return held if self.kind == "sketch" else F.hll_sketch_estimate(held)
         return {
             "distinct": F.count_distinct,
-            "approx": F.approx_count_distinct,
             "min": F.min,
             "max": F.max,
             "latest": F.max,
@@ -104,7 +107,7 @@ class Measure:
         seen = F.max(F.lit(not absent)).alias(f"{self.name}__seen")
         if self.kind == "distinct":  # the values themselves are kept beside: see `distinct_ids`
             return [seen]
-        if self.kind == "approx":
+        if self.kind in ("approx", "sketch"):
             return [F.hll_sketch_agg(column.cast("string")).alias(f"{self.name}__hll"), seen]
         value = "cast(null as double)" if absent else f"`{self.column}`"
         sums = sums_sql(value, self.scale, None if absent else f"`{self.units}`") | {"n": count_sql(value)}
@@ -120,9 +123,10 @@ class Measure:
             merged = F.max(self.name)
         elif self.kind == "distinct":
             merged = F.when(F.max(f"{self.name}__seen"), F.coalesce(F.sum(f"{self.name}__count"), F.lit(0)))
-        elif self.kind == "approx":
-            estimate = F.hll_sketch_estimate(F.hll_union_agg(f"{self.name}__hll"))
-            merged = F.when(F.max(f"{self.name}__seen"), estimate)
+        elif self.kind in ("approx", "sketch"):
+            held = F.hll_union_agg(f"{self.name}__hll")
+            value = held if self.kind == "sketch" else F.hll_sketch_estimate(held)
+            merged = F.when(F.max(f"{self.name}__seen"), value)
         else:
             merged = total_sql({part: f"sum(`{self.name}__{part}`)" for part in PARTS}, self.scale)
             if self.kind == "mean":
@@ -138,9 +142,9 @@ class Measure:
             return [F.min(self.name).alias(self.name)]
         if self.kind in ("max", "latest"):
             return [F.max(self.name).alias(self.name)]
-        if self.kind in ("distinct", "approx"):
+        if self.kind in ("distinct", "approx", "sketch"):
             seen = F.max(f"{self.name}__seen").alias(f"{self.name}__seen")
-            union = [F.hll_union_agg(f"{self.name}__hll").alias(f"{self.name}__hll")] if self.kind == "approx" else []
+            union = [F.hll_union_agg(f"{self.name}__hll").alias(f"{self.name}__hll")] if self.kind != "distinct" else []
             return [*union, seen]
         suffixes = (*PARTS, "n")
         return [F.sum(f"{self.name}__{x}").alias(f"{self.name}__{x}") for x in suffixes]
@@ -161,6 +165,16 @@ def approx(name: str, column: str, optional: bool = False) -> Measure:
     return Measure(name, "approx", column, optional=optional)
 
 
+def sketch(name: str, column: str, optional: bool = False) -> Measure:
+    """The sketch that `approx` estimates from, as a column: sketches of hours unite to that of a day."""
+    return Measure(name, "sketch", column, optional=optional)
+
+
+def united_count(name: str) -> Column:
+    """Aggregate: how many distinct values the sketches of a column have seen together, estimated; 0 without any."""
+    return F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(name)), F.lit(0).cast("bigint"))
+
+
 def mean(name: str, column: str, optional: bool = False, scale: int = SCALE) -> Measure:
     return Measure(name, "mean", column, optional=optional, scale=scale)
 

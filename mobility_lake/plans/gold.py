@@ -17,6 +17,7 @@ from mobility_lake.operators.rollup import (
     low,
     mean,
     rows,
+    sketch,
     total,
 )
 
@@ -41,6 +42,20 @@ TRIPS_HOURLY = RollupSpec(
 TRIPS_YMDH = TRIPS_HOURLY.with_keys(
     "status", "source", "year", "month", "day", "hour", name="trips_ymdh"
 )
+# Hourly trips with sketches of the ids, from which daily counts come without a look at silver.
+TRIPS_SKETCHED = RollupSpec(
+    "trips_sketched_hourly",
+    TRIPS_HOURLY.keys,
+    (
+        rows("records"),
+        sketch("trips_sketch", "trip_id", optional=True),
+        sketch("passengers_sketch", "passenger_id", optional=True),
+        sketch("drivers_sketch", "driver_id", optional=True),
+        mean("mean_price", "price", optional=True),
+        total("total_price", "price", optional=True),
+    ),
+    defaults=_TRIP_DEFAULTS,
+)
 TRIPS_DAILY = TRIPS_HOURLY.with_keys("event_date", name="trips_daily")
 
 GPS_HOURLY = RollupSpec(

@@ -66,6 +66,30 @@ def test_exact_columns_count_people_once_per_day(spark):
     assert (row["total_trips_exact"], row["mean_price_exact"]) == (2, 15.0)
 
 
+def test_sketches_of_hours_unite_to_the_day(spark, sf, tmp_path):
+    from entry_queries import views as v
+    from mobility_lake.operators.rollup import RollupSpec, approx, rollup, rollup_merge, rollup_partial
+    from mobility_lake.plans import gold
+    from mobility_lake.sources.lake import lake_read, lake_rebuild
+
+    trips = v.trips(spark, sf)
+    path = str(tmp_path / "gold")
+    lake_rebuild(rollup(trips, gold.TRIPS_SKETCHED), path, ("event_date",))
+    daily = m.mobility_daily_from_sketches(lake_read(spark, path))
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "trip_id" not in plan
+    exact = {r["event_date"]: r for r in rollup(trips, gold.TRIPS_DAILY).collect()}
+    for row in daily.collect():
+        own = exact[row["event_date"]]
+        assert row["total_records"] == own["records"]
+        for name in ("trips", "passengers", "drivers"):
+            assert abs(row[f"total_{name}"] - own[f"distinct_{name}"]) <= 0.06 * own[f"distinct_{name}"] + 1
+    # One estimate, whether rows are rolled up at once or from partial rows.
+    spec = RollupSpec("s", ("event_date",), (approx("people", "passenger_id"),))
+    parts = rollup_partial(trips.filter("trip_id % 2 = 0"), spec).union(rollup_partial(trips.filter("trip_id % 2 = 1"), spec))
+    assert sorted(map(tuple, rollup_merge(parts, spec).collect())) == sorted(map(tuple, rollup(trips, spec).collect()))
+
+
 def test_date_column_can_be_the_processing_stamp(spark):
     stamped = gold_trips(spark).withColumn("gold_process_ts", F.lit("2024-03-01").cast("timestamp"))
     rows = m.trips_daily(stamped, "gold_process_ts").collect()
