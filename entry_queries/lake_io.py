@@ -29,6 +29,7 @@ from mobility_lake.sources.lake import (
     lake_rebuild,
     lake_stream,
 )
+from mobility_lake.streaming.late import start_closed_hours
 from mobility_lake.streaming.incremental import (
     append_new,
     append_partials,
@@ -186,6 +187,32 @@ def windows(spark, sf):
     return _bounded(lake_read(spark, target, hourly.schema), v.gold_trips(spark, sf))
 
 
+@query(
+    "closed_hours_late",
+    with_views(
+        """select * from gold_trips where event_date + (event_hour + 1) * interval 1 hour
+            <= (select max(event_ts) - interval 1 hour from trips)""",
+        "gold_trips",
+    ),
+)
+def closed_hours(spark, sf):
+    """Hours that are over, from six micro-batches out of the order of time: late rows are in, counts are exact."""
+    trips = v.trips(spark, sf)
+    files = v.as_files(spark, trips, "trip_id", ("event_date",))
+    target, checkpoint = shared_dir(spark, "closed"), shared_dir(spark, "checkpoint")
+    start_closed_hours(
+        lake_stream(spark, files.path, trips.schema, files.max_files),
+        gold.TRIPS_HOURLY,
+        files.path,
+        target,
+        checkpoint,
+        schema=trips.schema,
+        silver_partitions=("event_date",),
+        trigger=NOW,
+    ).awaitTermination()
+    return lake_read(spark, target)
+
+
 _SURVIVORS = """select trip_id, event_id, event_ts, ingest_ts, "offset", value from duplicated
     qualify row_number() over (partition by {keys} order by ingest_ts, "offset") = 1"""
 

@@ -5,6 +5,7 @@ import os
 import pytest
 from helpers import NOW, at, drop_stamps, same_rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entry_queries import views as v
 from mobility_lake import contracts
@@ -24,6 +25,7 @@ from mobility_lake.sources.lake import (
     lake_rebuild,
     lake_stream,
 )
+from mobility_lake.streaming.late import late_rows, start_closed_hours
 from mobility_lake.streaming.incremental import (
     append_new,
     append_partials,
@@ -460,6 +462,36 @@ def test_hourly_windows_close_once_and_drop_late_rows(spark, folder):
     assert found == [(0, 2, 3.0), (5, 2, 12.0)]
 
 
+def test_hours_close_once_and_late_rows_are_counted_and_put_right(spark, folder):
+    path, target, checkpoint = (f"{folder}/{n}" for n in ("in", "out", "ck"))
+    every = []
+
+    def run(*rows_in):
+        every.extend(rows_in)
+        new = events(spark, *rows_in).withColumn("event_date", F.to_date("event_ts")).withColumn("event_hour", F.hour("event_ts"))
+        new.coalesce(1).write.mode("append").partitionBy("event_date", "event_hour").parquet(path)
+        schema = T.StructType([*_schema(spark), T.StructField("event_date", T.DateType()), T.StructField("event_hour", T.IntegerType())])
+        start_closed_hours(
+            lake_stream(spark, path, schema), HOURLY, path, target, checkpoint, schema=schema, trigger=NOW
+        ).awaitTermination()
+        if not os.path.exists(target):
+            return [], late_rows(spark, checkpoint)
+        return sorted((r["event_hour"], r["n"], r["t"]) for r in lake_read(spark, target).collect()), late_rows(spark, checkpoint)
+
+    assert run(("a", "2024-01-01 00:10:00", 1), ("b", "2024-01-01 00:50:00", 2)) == ([], 0)
+    assert run(("c", "2024-01-01 05:00:00", 4)) == ([(0, 2, 3.0)], 0)
+    # On time for its own hour, and late for another one.
+    assert run(("d", "2024-01-01 05:10:00", 8), ("late", "2024-01-01 00:30:00", 16)) == ([(0, 3, 19.0)], 1)
+    assert run(("e", "2024-01-01 04:10:00", 32)) == ([(0, 3, 19.0)], 1)  # not over yet
+    wanted = [(0, 3, 19.0), (4, 1, 32.0), (5, 2, 12.0)]
+    assert run(("sentinel", "2024-01-01 09:00:00", 64)) == (wanted, 1)
+    # A retried batch counts nothing twice.
+    last = max(glob.glob(checkpoint + "/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    os.remove(last)
+    os.remove(os.path.join(os.path.dirname(last), f".{os.path.basename(last)}.crc"))
+    assert run(("later", "2024-01-01 00:31:00", 128)) == ([(0, 4, 147.0), *wanted[1:]], 2)
+
+
 def test_stream_static_region_join(spark, sf, folder):
     path = folder + "/in"
     seen = v.traffic(spark, sf).select("event_id", "region_id")
