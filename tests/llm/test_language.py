@@ -47,3 +47,12 @@ def test_likelihood_rises_with_every_step():
     counts = rng.multinomial(200, 0.5 * probabilities[0] + 0.5 * probabilities[2], 4).astype(float)
     steps = [lm.mixture(counts, probabilities, np.ones((4, 3)), n)[1] for n in (0, 1, 2, 5, 20)]
     assert all((b >= a - 1e-6).all() for a, b in zip(steps, steps[1:]))
+
+
+def test_a_language_on_one_id_is_sampled_by_text(spark):
+    random.seed(3)
+    rows = [(5, f"aka kaa aak {i} " * 5, "aa") for i in range(4000)] + [(None, f"bobo obbo {i} " * 5, "bb") for i in range(4000)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lm.train(given, F.lit(True), sample_rows=200)
+    found = lm.predict(given, model).groupBy("lang", "lang_pred").count().collect()
+    assert {(r["lang"], r["lang_pred"]) for r in found} == {("aa", "aa"), ("bb", "bb")}

@@ -99,3 +99,10 @@ def test_repeated_ids_with_differing_texts_hide_no_candidate(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     found = {(i, c) for i, _, c in run(docs)}
     assert found == {(5, 5), (7, 7), (9, 7)}
+
+
+def test_partners_two_widths_apart_below_half(spark):
+    long = [f"w{i}" for i in range(154)]
+    docs = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(long[:67])), (3, "some other words in a row here")], "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in nj.near_duplicates(docs, words=5, percent=40).collect()}
+    assert found == {1: (150, 1), 2: (63, 1), 3: (3, 3)}

@@ -24,6 +24,23 @@ def test_words_have_the_ids_of_the_library():
         assert flat[ends[i] : ends[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids, text
 
 
+def test_marks_behind_letters_of_several_forms():
+    """Before a comma or stop: every letter whose lower case or normal form has several code points."""
+    import sys
+    import unicodedata
+
+    import pyarrow as pa
+
+    letters = [chr(c) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    odd = [c for c in letters if c.isalpha() and (len(c.lower()) > 1 or len(unicodedata.normalize("NFC", c)) > 1)]
+    assert "\u0130" in odd and "\u09dc" in odd and "\ufb2a" in odd
+    texts = [f"a{c}, {c}. x{c}{mark}" for c in odd for mark in ",."] + ["TARİHİ, ŞEHRİ."]
+    library = Tokenizer.from_file(PATH)
+    flat, ends = packing.WordTokenizer(PATH)(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert flat[ends[i] : ends[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def check(pieces, capacity):
     bins = {}
     for r in pieces:

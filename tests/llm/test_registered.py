@@ -72,6 +72,29 @@ def test_pipeline_stages(spark, documents, sf):
         assert stage(spark, nothing, sf).collect() == []
 
 
+def test_formatted_length_counts_all_marks(spark, folder):
+    rows = [(1, 0, "user", "x |> y <| \\ |><|"), (1, 1, "assistant", "|>|>"), (2, 0, None, None)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    connection = duckdb.connect()
+    connection.sql(f"create view conversations as select * from '{folder}/conversations.parquet/*.parquet'")
+    name = "op7_reply_trees"
+    assert not any(oracle.compare(queries.QUERIES[name](spark, folder), connection, queries.ORACLE[name]))
+
+
+def test_pipeline_keeps_foreign_columns(spark, clashing, sf):
+    """Columns named like working columns of the stages keep their values."""
+    from pyspark.sql import functions as F
+
+    names = "_part _key _bit _word split_likely languages proportions column5 _found _id".split()
+    docs = clashing.withColumns({n: F.lit(0.125) for n in names if n not in clashing.columns})
+    (_, language), (_, near), (_, repeats), _ = corpus_pipeline.STAGES
+    for stage in (language, near, repeats):
+        docs = written(stage(spark, docs, sf), "test")
+        for row in docs.collect():
+            assert all(row[n] == 0.125 for n in names) and row["score"] == row["spans"] == row["kept"] == row["_row"] == 7
+    assert docs.count() > 5
+
+
 def test_pipeline_runs_over_its_table(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
 

@@ -48,3 +48,14 @@ def test_odd_rows(clashing, nothing, n):
     assert len(rows) == 16
     check(rows, n)
     assert shards(nothing, shards=n).collect() == []
+
+
+def test_rows_equal_in_id_and_text_are_spread(spark):
+    docs = spark.range(1200).select(
+        F.when(F.col("id") < 400, F.lit(-1)).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") < 400, F.lit("the same row again")).otherwise(F.concat(F.lit("text "), F.col("id") * 7)).alias("text"),
+    )
+    rows = shards(docs, shards=16).collect()
+    check(rows, 16)
+    sizes = [sum(r["bytes"] for r in rows if r["shard"] == s) for s in range(16)]
+    assert max(sizes) - min(sizes) < 0.1 * sum(sizes) / 16

@@ -76,3 +76,24 @@ def test_versions_of_undelimited_texts_share_paragraphs(spark):
         assert len(own & cut) / len(own | cut) > 0.1, text
         if len(text) > 500:
             assert len(own & put) / len(own | put) > 0.5, text
+
+
+def test_ids_up_to_the_largest_and_ties(spark):
+    top = 2**63 - 1
+    rows = [(top - i, f"t{i}") for i in range(300)] + [(-(2**63) + i, f"u{i}") for i in range(300)] + [(top, "again")]
+    found = ps.with_next(spark.createDataFrame(rows, "k long, v string"), "k", {"v": F.col("v")}, F.col("v")).collect()
+    order = sorted(rows, key=lambda r: (-r[0], r[1]))
+    following = {order[i]: order[(i + 1) % len(order)][1] for i in range(len(order))}
+    assert {(r["k"], r["v"]): r["next_v"] for r in found} == following
+
+
+def test_estimated_difference_is_exact_for_small_sets(spark):
+    rows = [(list(range(40)), list(range(10, 60))), ([], []), ([], [1, 2]), (list(range(9)), list(range(9)))]
+    df = spark.createDataFrame(rows, "l array<long>, r array<long>")
+    found = [round(r["far"], 9) for r in df.select(F.expr(ps.apart("l", "r")).alias("far")).collect()]
+    assert found == [30.0, 0.0, 2.0, 0.0]
+
+
+def test_query_on_nothing(spark, nothing, folder):
+    nothing.write.parquet(f"{folder}/documents.parquet")
+    assert queries.QUERIES["op1_paragraph_sketch"](spark, folder).collect() == []
