@@ -282,8 +282,9 @@ def _wide(spark, sf):
     return v.events(spark, sf).withColumn("wide", wide)
 
 
-# Values below a millionth next to ordinary ones, summed by measures as they come.
-_TINY_SQL = """cast(case event_id % 3 when 0 then cast(value as decimal(38,15)) when 1 then 0.0000004
+# Values below a millionth next to ordinary ones, summed by measures as they come. By way of its text a wide
+# decimal becomes the nearest double.
+_TINY_SQL = """cast(case event_id % 3 when 0 then cast(value as decimal(18,2)) when 1 then 0.0000004
     else 0.00000000025 * k end as decimal(38,15))"""
 _TINY = RollupSpec(
     "tiny", ("event_type", "turn"), (rows("records"), mean("mean_value", "tiny"), total("total_value", "tiny"))
@@ -294,7 +295,8 @@ _TINY = RollupSpec(
     "agg_tiny_values",
     with_views(
         f"""select event_type, event_id % 3 as turn, count(*) as records,
-        cast(sum({_TINY_SQL}) as double) / count({_TINY_SQL}) as mean_value, cast(sum({_TINY_SQL}) as double) as total_value
+        cast(cast(sum({_TINY_SQL}) as varchar) as double) / count({_TINY_SQL}) as mean_value,
+        cast(cast(sum({_TINY_SQL}) as varchar) as double) as total_value
         from ev group by event_type, event_id % 3""",
         "ev",
     ),
