@@ -150,7 +150,9 @@ def cut_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _tokenizer(path)
         # Large batches: each distinct word of one is looked up once.
-        for batch in by_bytes(gathered(batches, text, BATCH // 2), text, BATCH):
+        # Ids that go out with their pieces need room beside them.
+        most = BATCH // 8 if with_ids else BATCH
+        for batch in by_bytes(gathered(batches, text, most // 2), text, most):
             owner, piece, start, length, crc, ids = [], [], [], [], [], []
             flat, ends = encode(batch.column(text))
             raw, ends = flat.tobytes(), (4 * ends).tolist()
