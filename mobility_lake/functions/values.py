@@ -79,16 +79,25 @@ def sums_sql(value: str, scale: int = SCALE, units: str | None = None) -> dict[s
     }
 
 
-def total_sql(parts: Mapping[str, str], scale: int = SCALE) -> str:
-    """SQL: the sum that the parts make up; NULL when all of them are."""
-    held = ", ".join(f"'{name}', {sql}" for name, sql in parts.items())
+def total_sql(parts: Mapping[str, str], scale: int = SCALE, bound: bool = False) -> str:
+    """SQL: the sum that the parts make up; NULL when all of them are.
+
+    As one expression it is compiled with the aggregate. `bound` names what is used more than once, which
+    keeps the text of long parts short, and is interpreted: for results of few rows.
+    """
+    p = {name: f"z.{name}" for name in parts} if bound else {name: f"({sql})" for name, sql in parts.items()}
     limbs = {"high": 1 << 2 * _LIMB, "mid": 1 << _LIMB, "low": 1}
-    whole = " + ".join(f"cast(z.{name} as decimal(38,0)) * {size}" for name, size in limbs.items())
-    units = f"cast(coalesce({whole}, 0) + coalesce(z.large, 0) as decimal(38,0))"
-    finer = f"cast(u * {10 ** (FINE - scale)} + z.fine as decimal(38,0))"
-    total = f"if(z.fine != 0 and abs(u) < 1{'0' * 22}, {_bind(finer, 'v', _as_double('v', FINE))}, {_as_double('u', scale)})"
-    some = "coalesce(cast(z.low as double), cast(z.large as double), z.huge)"
-    total = f"if({some} is null, null, {_bind(units, 'u', total)} + coalesce(z.huge, 0D))"
+    whole = " + ".join(f"cast({p[name]} as decimal(38,0)) * {size}" for name, size in limbs.items())
+    units = f"cast(coalesce({whole}, 0) + coalesce({p['large']}, 0) as decimal(38,0))"
+    u = "u" if bound else units
+    finer = f"cast({u} * {10 ** (FINE - scale)} + {p['fine']} as decimal(38,0))"
+    fine = _bind(finer, "v", _as_double("v", FINE)) if bound else _as_double(finer, FINE)
+    total = f"if({p['fine']} != 0 and abs({u}) < 1{'0' * 22}, {fine}, {_as_double(u, scale)})"
+    some = f"coalesce(cast({p['low']} as double), cast({p['large']} as double), {p['huge']})"
+    total = f"if({some} is null, null, {_bind(units, 'u', total) if bound else total} + coalesce({p['huge']}, 0D))"
+    if not bound:
+        return total
+    held = ", ".join(f"'{name}', {sql}" for name, sql in parts.items())
     return _bind(f"named_struct({held})", "z", total)
 
 
@@ -108,22 +117,22 @@ def count_sql(value: str) -> str:
 
 def exact_total(value: str, scale: int = SCALE, units: str | None = None) -> Column:
     """Aggregate: sum of a double column."""
-    return F.expr(total_sql(sums_sql(value, scale, units), scale))
+    return F.expr(total_sql(sums_sql(value, scale, units), scale, bound=units is None))
 
 
 def exact_mean(value: str, scale: int = SCALE, units: str | None = None) -> Column:
     """Aggregate: mean of a double column; NULL for a group without values."""
-    return F.expr(f"{total_sql(sums_sql(value, scale, units), scale)} / nullif({count_sql(value)}, 0)")
+    return F.expr(f"{total_sql(sums_sql(value, scale, units), scale, bound=units is None)} / nullif({count_sql(value)}, 0)")
 
 
 def rounded_total(value: str) -> Column:
     """Aggregate: sum of a double column of which each value counts to `SCALE` decimals."""
-    return F.expr(total_sql(sums_sql(value) | {"fine": "cast(null as bigint)"}))
+    return F.expr(total_sql(sums_sql(value) | {"fine": "cast(null as bigint)"}, bound=True))
 
 
 def rounded_mean(value: str) -> Column:
     """Aggregate: mean of a double column of which each value, such as a mean itself, counts to `SCALE` decimals."""
-    return F.expr(f"{total_sql(sums_sql(value) | {'fine': 'cast(null as bigint)'})} / nullif({count_sql(value)}, 0)")
+    return F.expr(f"{total_sql(sums_sql(value) | {'fine': 'cast(null as bigint)'}, bound=True)} / nullif({count_sql(value)}, 0)")
 
 
 def clean_label(label: Column) -> Column:

@@ -1,4 +1,3 @@
-import datetime as dt
 import glob
 import os
 
