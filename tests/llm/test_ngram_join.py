@@ -106,3 +106,22 @@ def test_partners_two_widths_apart_below_half(spark):
     docs = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(long[:67])), (3, "some other words in a row here")], "doc_id long, text string")
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in nj.near_duplicates(docs, words=5, percent=40).collect()}
     assert found == {1: (150, 1), 2: (63, 1), 3: (3, 3)}
+
+
+def test_prefix_shingles_send_set_digest_and_size_once_per_run():
+    import pyarrow as pa
+
+    texts = corpus(7)
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    run_of, _ = nj._prefixes(5, 75, np.zeros(1 << nj.COUNTERS, np.uint8), 4)
+    packed = list(run_of(iter([batch])))
+    held = {n: [b for x in packed for b in x.column(n).to_pylist()] for n in nj.PACKED}
+    sent = sum(len(b) for parts in held.values() for b in parts)
+    key, ids, sizes, places = nj.unpacked(held)
+    assert len(key) and sent < 16 * len(key)  # 24 bytes a shingle before
+    # Each set sent has all places of its prefix, with its own size.
+    for digest in np.unique(ids):
+        own = ids == digest
+        size = int(sizes[own][0])
+        assert (sizes[own] == size).all()
+        assert sorted(places[own].tolist()) == list(range(size - -(-75 * size // 100) + 1))
