@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mobility_lake.functions.values import json_pick
 from mobility_lake.operators.conform import with_event_calendar
@@ -379,18 +380,20 @@ def as_files(
 def as_ordered_files(
     spark: SparkSession, df: DataFrame, order: str, partition_by: tuple[str, ...] = (), steps: int = 6
 ) -> FileStream:
-    """The same, written one range after the other, so that the stream meets them in that order."""
-    path, files = shared_dir(spark, "files"), 4
+    """The same, written one range after the other, so that the stream meets them in that order.
+
+    Every row is given its range in one pass and staged in a folder split by range; each range is then
+    written from its own part, so `df` is read twice in all, not once for every range.
+    """
+    path, staged, files = shared_dir(spark, "files"), shared_dir(spark, "ranges"), 4
     numbered = df.withColumn("_at", F.unix_micros(F.col(order).cast("timestamp")))
     bounds = numbered.approxQuantile("_at", [i / steps for i in range(1, steps)], 0.001)
-    edges = [None, *bounds, None]
-    for low, high in zip(edges, edges[1:]):
-        part = numbered
-        if low is not None:
-            part = part.filter(F.col("_at") >= int(low))
-        if high is not None:
-            part = part.filter(F.col("_at") < int(high))
-        writer = part.drop("_at").repartition(files).write.mode("append")
+    step = sum(((F.col("_at") >= int(high)).cast("int") for high in bounds), F.lit(0))  # null time: no range
+    numbered.withColumn("_step", step).drop("_at").write.partitionBy("_step").parquet(staged)
+    schema = T.StructType([*df.schema.fields, T.StructField("_step", T.IntegerType())])
+    for i in range(len(bounds) + 1):
+        part = spark.read.schema(schema).parquet(staged).filter(F.col("_step") == i)
+        writer = part.drop("_step").repartition(files).write.mode("append")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
